@@ -5,7 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.plans.catalog import register
-from tessera.plans.sql_snippets import sql_clean_text, sql_slice_nlp_llm, sql_slice_short
+from tessera.functions.text import STOPWORDS, effective_stopwords
+from tessera.plans.sql_snippets import (
+    sql_clean_text,
+    sql_slice_nlp_llm,
+    sql_slice_short,
+    sql_str_list,
+    sql_word_count,
+)
 from tessera.plans.text_eval import SEED, TEST_SIZE, cleaned_text, evaluate_text
 from tessera.plans.views import with_views
 
@@ -91,3 +98,239 @@ _TEXT_EXPR = "title || ' ' || description"
 def q_text_clean(spark, sf):
     """FP1 + ST-7: cleaned text feature per document."""
     return cleaned_text(spark, sf)
+
+
+# ---------------------------------------------------------------------------
+# Split, shuffle, sample (WN10, FP4, SO1, SK1, SK2)
+
+def _split(spark, sf):
+    from tessera.operators.split import stratified_split
+    from tessera.plans.views import v_text
+
+    return stratified_split(v_text(spark, sf), key="id", stratify="tag", test_size=TEST_SIZE, seed=SEED)
+
+
+@register("text_split_assignment", with_views(f"WITH {_SPLIT_CTE} SELECT id, tag, _split FROM split", "v_text"))
+def q_text_split_assignment(spark, sf):
+    """WN10 + SO1: every row with its exact stratified split."""
+    return _split(spark, sf).select("id", "tag", "_split")
+
+
+@register(
+    "text_split_counts",
+    with_views(
+        f"WITH {_SPLIT_CTE} SELECT tag, _split, CAST(count(*) AS BIGINT) AS n FROM split GROUP BY tag, _split",
+        "v_text",
+    ),
+)
+def q_text_split_counts(spark, sf):
+    """WN10: per-class train/test counts (exact, ceil(0.2 n) test rows)."""
+    return _split(spark, sf).groupBy("tag", "_split").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
+
+
+@register(
+    "text_train_rows",
+    with_views(f"WITH {_SPLIT_CTE} SELECT id, tag, title FROM split WHERE _split = 'train'", "v_text"),
+)
+def q_text_train_rows(spark, sf):
+    """FP4: the train split, helper column dropped."""
+    from tessera.operators.split import filter_split
+
+    return filter_split(_split(spark, sf), "train").select("id", "tag", "title")
+
+
+@register(
+    "text_leakage",
+    with_views(
+        f"""WITH {_SPLIT_CTE}
+SELECT _split, CAST(count(*) AS BIGINT) AS n_shared FROM split a
+WHERE EXISTS (SELECT 1 FROM split b WHERE b._split <> a._split
+              AND b.title = a.title AND b.description = a.description)
+GROUP BY _split""",
+        "v_text",
+    ),
+)
+def q_text_leakage(spark, sf):
+    """JN11: rows of each split whose (title, description) also occurs in the
+    other split (left semi join on the compound key)."""
+    s = _split(spark, sf)
+    other = s.select(
+        F.col("title"), F.col("description"),
+        F.when(F.col("_split") == "train", "test").otherwise("train").alias("_split"),
+    ).distinct()
+    shared = s.join(other, on=["title", "description", "_split"], how="left_semi")
+    return shared.groupBy("_split").agg(F.count(F.lit(1)).cast("bigint").alias("n_shared"))
+
+
+@register(
+    "text_shuffle_take",
+    with_views(
+        f"""SELECT id, tag FROM v_text ORDER BY md5(CAST(id AS VARCHAR) || ':' || '{SEED}'), id LIMIT 100""",
+        "v_text",
+    ),
+)
+def q_text_shuffle_take(spark, sf):
+    """SK1 + SK2: the first 100 rows of the seeded shuffle (top-n: the limit is the feature)."""
+    from tessera.operators.core import take_sample
+    from tessera.plans.views import v_text
+
+    return take_sample(v_text(spark, sf), "id", 100, seed=SEED).select("id", "tag")
+
+
+@register(
+    "text_shuffle_rank",
+    with_views(
+        f"""SELECT id, CAST(row_number() OVER (ORDER BY md5(CAST(id AS VARCHAR) || ':' || '{SEED}'), id) AS BIGINT) AS rank
+FROM v_text""",
+        "v_text",
+    ),
+)
+def q_text_shuffle_rank(spark, sf):
+    """SK1: each row's position in the seeded permutation (bucketed exact rank)."""
+    from tessera.operators.core import hash_rank
+    from tessera.plans.views import v_text
+
+    return hash_rank(v_text(spark, sf).select("id"), "id", SEED)
+
+
+# ---------------------------------------------------------------------------
+# Class index, label lookup (AG1-AG3, JN1, JN2)
+
+@register("text_distinct_tags", with_views("SELECT DISTINCT tag FROM v_text", "v_text"))
+def q_text_distinct_tags(spark, sf):
+    from tessera.operators.text import distinct_labels
+    from tessera.plans.views import v_text
+
+    return distinct_labels(v_text(spark, sf))
+
+
+@register(
+    "text_num_classes",
+    with_views("SELECT CAST(count(DISTINCT tag) AS BIGINT) AS num_classes FROM v_text", "v_text"),
+)
+def q_text_num_classes(spark, sf):
+    from tessera.operators.text import num_classes
+    from tessera.plans.views import v_text
+
+    return num_classes(v_text(spark, sf))
+
+
+@register("text_class_index", with_views(f"WITH {_CLASSES_CTE} SELECT tag, CAST(class_index AS BIGINT) AS class_index FROM classes", "v_text"))
+def q_text_class_index(spark, sf):
+    from tessera.operators.text import fit_class_index
+    from tessera.plans.views import v_text
+
+    return fit_class_index(v_text(spark, sf))
+
+
+@register(
+    "text_label_encode",
+    with_views(
+        f"""WITH {_SPLIT_CTE},
+tr AS (SELECT * FROM split WHERE _split = 'train'),
+classes AS (SELECT tag, row_number() OVER (ORDER BY tag) - 1 AS class_index FROM (SELECT DISTINCT tag FROM tr))
+SELECT v.id, v.tag, CAST(c.class_index AS BIGINT) AS class_index,
+       coalesce(d.tag, 'unknown') AS predicted_tag
+FROM v_text v LEFT JOIN classes c ON v.tag = c.tag
+LEFT JOIN classes d ON d.class_index = (CASE WHEN v.y_pred = 'en' THEN 0 ELSE 7 END)""",
+        "v_text",
+    ),
+)
+def q_text_label_encode(spark, sf):
+    """JN1 + JN2: encode with the class table fitted on the train split
+    (unseen labels -> NULL), decode an index back to a name (no such index ->
+    'unknown')."""
+    from tessera.operators.split import filter_split
+    from tessera.operators.text import decode_labels, encode_labels, fit_class_index
+    from tessera.plans.views import v_text
+
+    vt = v_text(spark, sf)
+    tr = filter_split(_split(spark, sf), "train")
+    classes = fit_class_index(tr)
+    enc = encode_labels(vt.select("id", "tag", "y_pred"), classes)
+    enc = enc.withColumn("pred_index", F.when(F.col("y_pred") == "en", 0).otherwise(7).cast("bigint"))
+    dec = decode_labels(enc, classes, "pred_index")
+    return dec.select("id", "tag", "class_index", F.coalesce("predicted_tag", F.lit("unknown")).alias("predicted_tag"))
+
+
+# ---------------------------------------------------------------------------
+# String functions (ST-1..ST-9, FP11-FP13)
+
+@register(
+    "text_word_count",
+    with_views(
+        f"SELECT id, CAST({sql_word_count(_TEXT_EXPR)} AS BIGINT) AS n_words FROM v_text",
+        "v_text",
+    ),
+)
+def q_text_word_count(spark, sf):
+    """ST-9: whitespace token count of the raw text feature."""
+    from tessera.functions.text import text_feature, word_count
+    from tessera.plans.views import v_text
+
+    vt = v_text(spark, sf)
+    return vt.select("id", word_count(text_feature(F.col("title"), F.col("description"))).cast("bigint").alias("n_words"))
+
+
+@register(
+    "text_slices",
+    with_views(
+        f"""SELECT id, unnest(list_filter([CASE WHEN {sql_slice_nlp_llm('tag', _TEXT_EXPR)} THEN 'nlp_llm' END,
+                                      CASE WHEN {sql_slice_short(_TEXT_EXPR)} THEN 'short_text' END],
+                                     lambda x: x IS NOT NULL)) AS slice FROM v_text""",
+        "v_text",
+    ),
+)
+def q_text_slices(spark, sf):
+    """FP11 + FP12 + FP13: long form (id, slice) of slice membership."""
+    from tessera.operators.metrics import slice_flags
+    from tessera.plans.text_eval import default_slices
+    from tessera.plans.views import v_text
+
+    vt = v_text(spark, sf).withColumn("text", F.concat("title", F.lit(" "), "description"))
+    return slice_flags(vt, default_slices(), "id")
+
+
+@register(
+    "text_stopwords_lower",
+    with_views(
+        r"""SELECT id, array_to_string(list_transform(
+    regexp_extract_all(lower(title), '([\p{L}\p{N}_]+|[^\p{L}\p{N}_]+)', 1),
+    lambda t: CASE WHEN list_contains(""" + sql_str_list(dict.fromkeys(effective_stopwords(STOPWORDS))) + r""", t) THEN ' ' ELSE t END), '') AS t
+FROM v_text""",
+        "v_text",
+    ),
+)
+def q_text_stopwords_lower(spark, sf):
+    """ST-1 + ST-2: lower-case, then stop words replaced by a space."""
+    from tessera.functions.text import remove_stopwords
+    from tessera.plans.views import v_text
+
+    return v_text(spark, sf).select("id", remove_stopwords(F.lower("title")).alias("t"))
+
+
+@register(
+    "text_punct_steps",
+    with_views(
+        r"""SELECT id,
+  regexp_replace(title, '([!"''#$%&()*\+,\-./:;<=>?@\\\[\]^_`{|}~])', ' \1 ', 'g') AS padded,
+  regexp_replace(title, '[^A-Za-z0-9]+', ' ', 'g') AS alnum,
+  trim(regexp_replace(title, ' +', ' ', 'g')) AS collapsed,
+  regexp_replace(title, 'http\S+', '', 'g') AS nolinks
+FROM v_text""",
+        "v_text",
+    ),
+)
+def q_text_punct_steps(spark, sf):
+    """ST-3..ST-6 one by one on the title."""
+    from tessera.functions.text import collapse_spaces, pad_punctuation, remove_links, strip_non_alnum
+    from tessera.plans.views import v_text
+
+    t = F.col("title")
+    return v_text(spark, sf).select(
+        "id",
+        pad_punctuation(t).alias("padded"),
+        strip_non_alnum(t).alias("alnum"),
+        collapse_spaces(t).alias("collapsed"),
+        remove_links(t).alias("nolinks"),
+    )
