@@ -334,3 +334,224 @@ def q_text_punct_steps(spark, sf):
         collapse_spaces(t).alias("collapsed"),
         remove_links(t).alias("nolinks"),
     )
+
+
+# ---------------------------------------------------------------------------
+# Metrics one by one (AG4-AG7, SK4)
+
+def _scored(spark, sf):
+    from tessera.plans.text_eval import scored_test_rows
+
+    return scored_test_rows(spark, sf)
+
+
+_METRIC_BASE = f"WITH {_SPLIT_CTE},\n{_SCORED_CTE},\n{_PRF_CTES}"
+
+
+@register(
+    "text_confusion_counts",
+    with_views(
+        _METRIC_BASE + "\nSELECT label, CAST(tp AS BIGINT) AS tp, CAST(n_pred AS BIGINT) AS n_pred, "
+        "CAST(support AS BIGINT) AS support FROM lab",
+        "v_text",
+    ),
+)
+def q_text_confusion_counts(spark, sf):
+    """AG4 + SO3: tp / predicted / support over truth ∪ prediction labels."""
+    from tessera.operators.metrics import confusion_counts
+
+    return confusion_counts(_scored(spark, sf))
+
+
+@register(
+    "text_overall_metrics",
+    with_views(
+        _METRIC_BASE
+        + """
+SELECT round(sum(support * precision) / sum(support), 9) AS precision,
+       round(sum(support * recall) / sum(support), 9) AS recall,
+       round(sum(support * f1) / sum(support), 9) AS f1, sum(support)::DOUBLE AS num_samples FROM prf""",
+        "v_text",
+    ),
+)
+def q_text_overall_metrics(spark, sf):
+    """AG5: support-weighted precision, recall, F1."""
+    from tessera.operators.metrics import overall_metrics
+
+    o = overall_metrics(_scored(spark, sf))
+    return o.select(*[F.round(c, 9).alias(c) for c in ("precision", "recall", "f1")], "num_samples")
+
+
+@register(
+    "text_per_class_metrics",
+    with_views(
+        _METRIC_BASE
+        + f""",
+{_CLASSES_CTE},
+pc AS (
+  SELECT c.tag AS class, CAST(c.class_index AS BIGINT) AS class_index,
+         coalesce(p.precision, 0.0) AS precision, coalesce(p.recall, 0.0) AS recall,
+         coalesce(p.f1, 0.0) AS f1, coalesce(p.support, 0)::DOUBLE AS num_samples
+  FROM classes c LEFT JOIN prf p ON c.tag = p.label)
+SELECT class, class_index, round(precision, 9) AS precision, round(recall, 9) AS recall,
+       round(f1, 9) AS f1, num_samples,
+       CAST(row_number() OVER (ORDER BY f1 DESC, class_index) AS BIGINT) AS rank FROM pc""",
+        "v_text",
+    ),
+)
+def q_text_per_class_metrics(spark, sf):
+    """AG6 + SK4: per-class metrics ranked by F1 descending."""
+    from tessera.operators.metrics import per_class_metrics
+    from tessera.operators.text import fit_class_index
+    from tessera.plans.views import v_text
+
+    pc = per_class_metrics(_scored(spark, sf), fit_class_index(v_text(spark, sf)))
+    return pc.select(
+        "class", "class_index", *[F.round(c, 9).alias(c) for c in ("precision", "recall", "f1")], "num_samples", "rank"
+    )
+
+
+@register(
+    "text_slice_metrics",
+    with_views(
+        _METRIC_BASE
+        + f""",
+{_slices_sql()}
+SELECT slice, round(avg(hit), 9) AS precision, round(avg(hit), 9) AS recall, round(avg(hit), 9) AS f1,
+       CAST(count(*) AS BIGINT) AS num_samples FROM slice_rows GROUP BY slice""",
+        "v_text",
+    ),
+)
+def q_text_slice_metrics(spark, sf):
+    """AG7: micro metrics per non-empty slice."""
+    from tessera.operators.metrics import slice_metrics
+    from tessera.plans.text_eval import default_slices
+
+    s = slice_metrics(_scored(spark, sf), default_slices())
+    return s.select("slice", *[F.round(c, 9).alias(c) for c in ("precision", "recall", "f1")], "num_samples")
+
+
+@register("text_metric_document")
+def q_text_metric_document(spark, sf):
+    """AG8 + AR12 nested document: overall struct, per-class and slice maps."""
+    from tessera.operators.metrics import metric_document, metric_rows
+    from tessera.operators.text import fit_class_index
+    from tessera.plans.text_eval import default_slices
+    from tessera.plans.views import v_text
+
+    rows = metric_rows(_scored(spark, sf), fit_class_index(v_text(spark, sf)), default_slices())
+    return metric_document(rows)
+
+
+# ---------------------------------------------------------------------------
+# Scores / logits (AR1-AR3, SM11, AG17-AG20, JN2)
+
+from tessera.plans.views import LOGIT_CLASSES, LOGIT_FALLBACK, LOGIT_THRESHOLD  # noqa: E402
+
+_LOGIT_PRED_SQL = with_views(
+    f"""SELECT key,
+  CAST(list_position(z, list_max(z)) - 1 AS BIGINT) AS argmax_index,
+  CAST(CASE WHEN list_max(z) > {LOGIT_THRESHOLD}::DOUBLE THEN list_position(z, list_max(z)) - 1
+            ELSE {LOGIT_FALLBACK} END AS BIGINT) AS pred_index,
+  'c' || CAST(CASE WHEN list_max(z) > {LOGIT_THRESHOLD}::DOUBLE THEN list_position(z, list_max(z)) - 1
+            ELSE {LOGIT_FALLBACK} END AS VARCHAR) AS pred_class,
+  list_max(z) > {LOGIT_THRESHOLD}::DOUBLE AS confident
+FROM v_logits""",
+    "v_logits",
+)
+
+
+def _class_names(spark):
+    return spark.range(LOGIT_CLASSES).select(
+        F.col("id").alias("pred_index"), F.concat(F.lit("c"), F.col("id").cast("string")).alias("pred_class")
+    )
+
+
+@register("logits_predict", _LOGIT_PRED_SQL)
+def q_logits_predict(spark, sf):
+    """AR1 + AR2 + SM11 + JN2: argmax, thresholded argmax with fallback, decode."""
+    from tessera.functions.arrays import argmax, thresholded_argmax
+    from tessera.plans.views import v_logits
+
+    lg = v_logits(spark, sf)
+    scored = lg.select(
+        "key",
+        argmax("z").alias("argmax_index"),
+        thresholded_argmax("z", LOGIT_THRESHOLD, LOGIT_FALLBACK).alias("pred_index"),
+        (F.array_max("z") > F.lit(LOGIT_THRESHOLD)).alias("confident"),
+    )
+    return scored.join(F.broadcast(_class_names(spark)), on="pred_index", how="left")
+
+
+@register(
+    "logits_one_hot",
+    with_views(
+        f"SELECT key, list_transform(range(0, {LOGIT_CLASSES}), lambda i: CASE WHEN i = target THEN 1.0 ELSE 0.0 END) AS onehot FROM v_logits",
+        "v_logits",
+    ),
+)
+def q_logits_one_hot(spark, sf):
+    """AR3: one-hot target vectors."""
+    from tessera.functions.arrays import one_hot
+    from tessera.plans.views import v_logits
+
+    return v_logits(spark, sf).select("key", one_hot(F.col("target"), LOGIT_CLASSES).alias("onehot"))
+
+
+BATCH_SIZE = 64
+_BATCH_CTE = f"""b AS (
+  SELECT *, CAST(floor((row_number() OVER (ORDER BY md5(CAST(key AS VARCHAR) || ':' || '0'), key) - 1) / {BATCH_SIZE}) AS BIGINT) AS batch
+  FROM v_logits)"""
+
+
+@register("logits_batches", with_views(f"WITH {_BATCH_CTE} SELECT key, batch FROM b", "v_logits"))
+def q_logits_batches(spark, sf):
+    """AG20: fixed-size batches of 64 in a stable hashed order (last one short)."""
+    from tessera.operators.core import fixed_batches
+    from tessera.plans.views import v_logits
+
+    return fixed_batches(v_logits(spark, sf), "key", BATCH_SIZE).select("key", "batch")
+
+
+_BCE_ROW = (
+    "list_sum(list_transform(range(0, 10), lambda i: greatest(z[i + 1], 0.0) - z[i + 1] * "
+    "(CASE WHEN i = target THEN 1.0 ELSE 0.0 END) + ln(1.0 + exp(-abs(z[i + 1])))))"
+)
+
+
+@register(
+    "logits_bce_per_batch",
+    with_views(
+        f"WITH {_BATCH_CTE} SELECT batch, round(sum({_BCE_ROW}) / (count(*) * {LOGIT_CLASSES}), 9) AS loss FROM b GROUP BY batch",
+        "v_logits",
+    ),
+)
+def q_logits_bce_per_batch(spark, sf):
+    """AG18: mean BCE-with-logits per batch over rows x classes."""
+    return _bce_batches(spark, sf).select("batch", F.round("loss", 9).alias("loss"))
+
+
+def _bce_batches(spark, sf):
+    from tessera.operators.core import fixed_batches
+    from tessera.operators.losses import batch_means, bce_with_logits_sum
+    from tessera.plans.views import v_logits
+
+    b = fixed_batches(v_logits(spark, sf), "key", BATCH_SIZE)
+    b = b.withColumn("__l", bce_with_logits_sum("z", "target", LOGIT_CLASSES))
+    return batch_means(b, "batch", F.col("__l"), F.lit(float(LOGIT_CLASSES)))
+
+
+@register(
+    "logits_bce_running_mean",
+    with_views(
+        f"""WITH {_BATCH_CTE}, pb AS (SELECT batch, sum({_BCE_ROW}) / (count(*) * {LOGIT_CLASSES}) AS loss FROM b GROUP BY batch)
+SELECT round(avg(loss), 9) AS avg_loss, CAST(count(*) AS BIGINT) AS num_batches FROM pb""",
+        "v_logits",
+    ),
+)
+def q_logits_bce_running_mean(spark, sf):
+    """AG19: running mean of batch losses = mean of batch means."""
+    from tessera.operators.losses import running_mean_of_batches
+
+    r = running_mean_of_batches(_bce_batches(spark, sf))
+    return r.select(F.round("avg_loss", 9).alias("avg_loss"), "num_batches")
