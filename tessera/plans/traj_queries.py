@@ -1,3 +1,271 @@
-"""Checked queries (filled in as operators land)."""
+"""Checked queries over the trajectory view (V_traj)."""
 
-from tessera.plans.catalog import register  # noqa: F401
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tessera.functions.hashing import hash_gaussian, sql_hash_gaussian
+from tessera.operators import trajectory as T
+from tessera.plans.catalog import register
+from tessera.plans.views import TRAJ_WINDOW, v_traj, with_views
+
+L = TRAJ_WINDOW
+NOISE_STD = 0.3  # fixture noise level (keeps noise values well above rounding)
+NOISE_SEED = 11
+PRED_SEED = 7
+PRED_STD = 0.05
+SEED_FRAMES = L - 1
+DIM = 2
+
+_LONG = """long AS (
+  SELECT traj_id, particle, frame, d, pos[d + 1] AS x
+  FROM (SELECT *, unnest(range(len(pos))) AS d FROM v_traj))"""
+
+
+def _r(c, n=9):
+    return F.round(F.col(c), n).alias(c)
+
+
+@register(
+    "traj_window_counts",
+    with_views(
+        f"""SELECT traj_id, particle, CAST(max(frame) + 1 AS BIGINT) AS T,
+  CAST(greatest(max(frame) + 1 - {L} + 1, 0) AS BIGINT) AS n_windows FROM v_traj GROUP BY traj_id, particle""",
+        "v_traj",
+    ),
+)
+def q_traj_window_counts(spark, sf):
+    """WN1: windows per particle track (none when shorter than L)."""
+    return T.window_counts(v_traj(spark, sf), L)
+
+
+@register(
+    "traj_windows_materialized",
+    with_views(
+        f"""SELECT traj_id, particle, start, hist, target FROM (
+  SELECT traj_id, particle, CAST(frame AS BIGINT) AS start,
+    list(pos) OVER (PARTITION BY traj_id, particle ORDER BY frame ROWS BETWEEN CURRENT ROW AND {L - 2} FOLLOWING) AS hist,
+    lead(pos, {L - 1}) OVER (PARTITION BY traj_id, particle ORDER BY frame) AS target
+  FROM v_traj) WHERE target IS NOT NULL""",
+        "v_traj",
+    ),
+)
+def q_traj_windows_materialized(spark, sf):
+    """WN2 + AR9 + AR10: L-1 history positions and the target per window."""
+    return T.materialize_windows(v_traj(spark, sf), L)
+
+
+@register(
+    "traj_velocity",
+    with_views(
+        f"""WITH {_LONG}
+SELECT * FROM (SELECT traj_id, particle, frame, CAST(d AS INTEGER) AS d,
+  round(x - lag(x) OVER (PARTITION BY traj_id, particle, d ORDER BY frame), 9) AS v FROM long) WHERE v IS NOT NULL""",
+        "v_traj",
+    ),
+)
+def q_traj_velocity(spark, sf):
+    """WN3: first differences per dimension."""
+    return T.velocity(T.to_long(v_traj(spark, sf))).select(*T.KEYS, "frame", "d", _r("v"))
+
+
+_ACC_SQL = f"""acc AS (
+  SELECT * FROM (
+    SELECT traj_id, particle, frame, d,
+      lead(x) OVER w - 2 * x + lag(x) OVER w AS a
+    FROM long WINDOW w AS (PARTITION BY traj_id, particle, d ORDER BY frame)) WHERE a IS NOT NULL),
+stats AS (SELECT d, avg(a) AS acc_mean, sqrt(greatest(avg(a * a) - avg(a) * avg(a), 0.0)) AS acc_std FROM acc GROUP BY d)"""
+
+
+@register(
+    "traj_acceleration_normalized",
+    with_views(
+        f"""WITH {_LONG}, {_ACC_SQL}
+SELECT a.traj_id, a.particle, a.frame, CAST(a.d AS INTEGER) AS d, round(a.a, 9) AS a,
+  round((a.a - s.acc_mean) / sqrt(s.acc_std * s.acc_std + {NOISE_STD}::DOUBLE * {NOISE_STD}::DOUBLE), 9) AS a_norm
+FROM acc a JOIN stats s ON a.d = s.d""",
+        "v_traj",
+    ),
+)
+def q_traj_acceleration_normalized(spark, sf):
+    """WN6 + SM4 + JN8: second differences normalized with metadata
+    (acc mean/std per dimension computed from the data, broadcast)."""
+    acc = T.acceleration(T.to_long(v_traj(spark, sf)))
+    stats = T.acc_stats(acc)
+    return T.normalize_acc(acc, stats, NOISE_STD).select(*T.KEYS, "frame", "d", _r("a"), _r("a_norm"))
+
+
+@register(
+    "traj_acc_stats",
+    with_views(
+        f"""WITH {_LONG}, {_ACC_SQL}
+SELECT CAST(d AS INTEGER) AS d, round(acc_mean, 9) AS acc_mean, round(acc_std, 9) AS acc_std FROM stats""",
+        "v_traj",
+    ),
+)
+def q_traj_acc_stats(spark, sf):
+    """Domain metadata: acceleration mean and population std per dimension."""
+    stats = T.acc_stats(T.acceleration(T.to_long(v_traj(spark, sf))))
+    return stats.select("d", _r("acc_mean"), _r("acc_std"))
+
+
+_WIN_SQL = f"""wins AS (
+  SELECT v.traj_id, v.particle, CAST(v.frame AS BIGINT) AS start FROM v_traj v
+  JOIN (SELECT particle, max(frame) AS mf FROM v_traj GROUP BY particle) m ON v.particle = m.particle
+  WHERE v.frame + {L - 1} <= m.mf)"""
+
+
+@register(
+    "traj_noise",
+    with_views(
+        f"""WITH {_WIN_SQL},
+g AS (
+  SELECT w.traj_id, w.particle, w.start, j, d,
+    {sql_hash_gaussian(['w.traj_id', 'w.particle', 'w.start', 'j', 'd'], NOISE_SEED)} * ({NOISE_STD}::DOUBLE / sqrt({L - 2}::DOUBLE)) AS vn
+  FROM wins w, (SELECT unnest(range(1, {L - 1})) AS j) js, (SELECT unnest(range({DIM})) AS d) ds),
+c1 AS (SELECT *, sum(vn) OVER (PARTITION BY traj_id, particle, start, d ORDER BY j) AS vc FROM g),
+c2 AS (SELECT *, sum(vc) OVER (PARTITION BY traj_id, particle, start, d ORDER BY j) AS noise FROM c1)
+SELECT traj_id, particle, start, CAST(j AS INTEGER) AS j, CAST(d AS INTEGER) AS d, round(noise, 9) AS noise FROM c2
+UNION ALL
+SELECT traj_id, particle, start, 0, CAST(d AS INTEGER), 0.0 FROM wins, (SELECT unnest(range({DIM})) AS d) ds""",
+        "v_traj",
+    ),
+)
+def q_traj_noise(spark, sf):
+    """WN4 + SM8: hash-seeded random-walk position noise per window."""
+    wins = T.materialize_windows(v_traj(spark, sf), L)
+    n = T.random_walk_noise(wins, L, DIM, NOISE_STD, NOISE_SEED)
+    return n.select(*T.KEYS, "start", F.col("j").cast("int").alias("j"), "d", _r("noise"))
+
+
+@register(
+    "traj_context_join",
+    with_views(
+        f"""WITH {_WIN_SQL}
+SELECT w.traj_id, w.particle, w.start, v.context FROM wins w
+JOIN v_traj v ON v.particle = w.particle AND v.traj_id = w.traj_id AND v.frame = w.start + {L - 2}""",
+        "v_traj",
+    ),
+)
+def q_traj_context_join(spark, sf):
+    """JN6 + SC6: each window's global context taken at its last input frame."""
+    vt = v_traj(spark, sf)
+    wins = T.materialize_windows(vt, L).select(*T.KEYS, "start")
+    ctx = vt.select(*T.KEYS, (F.col("frame") - (L - 2)).cast("bigint").alias("start"), "context")
+    return wins.join(ctx, on=T.KEYS + ["start"], how="inner")
+
+
+@register(
+    "traj_frame_skip",
+    with_views(
+        """SELECT v.traj_id, v.particle, v.frame FROM v_traj v
+JOIN (SELECT particle, max(frame) + 1 AS T FROM v_traj GROUP BY particle) m ON v.particle = m.particle
+WHERE v.frame % 3 = 0 AND floor(v.frame / 3) < floor(m.T / 3)""",
+        "v_traj",
+    ),
+)
+def q_traj_frame_skip(spark, sf):
+    """FP14: every third frame, T // 3 frames per track."""
+    return T.frame_skip(v_traj(spark, sf), 3).select(*T.KEYS, "frame")
+
+
+@register(
+    "traj_flatten_velocity",
+    with_views(
+        f"""WITH vel AS (
+  SELECT traj_id, particle, frame,
+    [pos[1] - (lag(pos) OVER w)[1], pos[2] - (lag(pos) OVER w)[2]] AS v,
+    lead(frame, {L - 1}) OVER w AS last_frame
+  FROM v_traj WINDOW w AS (PARTITION BY traj_id, particle ORDER BY frame)),
+seqs AS (
+  SELECT traj_id, particle, CAST(frame AS BIGINT) AS start, last_frame,
+    list(v) OVER (PARTITION BY traj_id, particle ORDER BY frame ROWS BETWEEN 1 FOLLOWING AND {L - 2} FOLLOWING) AS vs
+  FROM vel)
+SELECT traj_id, particle, start, list_transform(flatten(vs), lambda x: round(x, 9)) AS vflat FROM seqs WHERE last_frame IS NOT NULL""",
+        "v_traj",
+    ),
+)
+def q_traj_flatten_velocity(spark, sf):
+    """WN3 + AR8: each window's history velocities flattened time-major."""
+    wins = T.materialize_windows(v_traj(spark, sf), L)
+    flat = T.flatten_time_major(T.window_velocities(F.col("hist")))
+    return wins.select(*T.KEYS, "start", F.transform(flat, lambda x: F.round(x, 9)).alias("vflat"))
+
+
+def _pred_acc(long):
+    """Predicted accelerations standing in for model scores: the true
+    acceleration that produced frame t plus seeded Gaussian error."""
+    acc = T.acceleration(long).withColumn("frame", F.col("frame") + 1)
+    return acc.withColumn("a", F.col("a") + hash_gaussian(["particle", "frame", "d"], PRED_SEED) * F.lit(PRED_STD))
+
+
+_ROLLOUT_SQL = f"""acc AS (
+  SELECT traj_id, particle, frame, d,
+    x - 2 * lag(x) OVER w + lag(x, 2) OVER w
+      + {sql_hash_gaussian(['particle', 'frame', 'd'], PRED_SEED)} * {PRED_STD}::DOUBLE AS a
+  FROM long WINDOW w AS (PARTITION BY traj_id, particle, d ORDER BY frame)),
+anchor AS (
+  SELECT traj_id, particle, d, max(x) FILTER (WHERE frame = {SEED_FRAMES - 1}) AS x_last,
+         max(x) FILTER (WHERE frame = {SEED_FRAMES - 2}) AS x_prev
+  FROM long WHERE frame IN ({SEED_FRAMES - 2}, {SEED_FRAMES - 1}) GROUP BY traj_id, particle, d
+  HAVING x_last IS NOT NULL AND x_prev IS NOT NULL),
+v AS (
+  SELECT a.traj_id, a.particle, a.frame, a.d, n.x_last,
+    n.x_last - n.x_prev + sum(a.a) OVER (PARTITION BY a.traj_id, a.particle, a.d ORDER BY a.frame) AS vel
+  FROM acc a JOIN anchor n USING (traj_id, particle, d) WHERE a.frame >= {SEED_FRAMES}),
+pred AS (
+  SELECT traj_id, particle, frame, d, x FROM long WHERE frame < {SEED_FRAMES}
+  UNION ALL
+  SELECT traj_id, particle, frame, d,
+    x_last + sum(vel) OVER (PARTITION BY traj_id, particle, d ORDER BY frame) AS x FROM v)"""
+
+
+@register(
+    "traj_rollout",
+    with_views(
+        f"""WITH {_LONG}, {_ROLLOUT_SQL}
+SELECT traj_id, particle, frame, CAST(d AS INTEGER) AS d, round(x, 9) AS x FROM pred""",
+        "v_traj",
+    ),
+)
+def q_traj_rollout(spark, sf):
+    """WN8 + SM6 + SO2: integrate predicted accelerations from the seed frames."""
+    long = T.to_long(v_traj(spark, sf))
+    return T.integrate(long, _pred_acc(long), SEED_FRAMES).select(*T.KEYS, "frame", "d", _r("x"))
+
+
+@register(
+    "traj_rollout_mse",
+    with_views(
+        f"""WITH {_LONG}, {_ROLLOUT_SQL},
+se AS (SELECT p.traj_id, p.particle, p.frame, sum((p.x - l.x) * (p.x - l.x)) AS se
+       FROM pred p JOIN long l USING (traj_id, particle, frame, d) GROUP BY p.traj_id, p.particle, p.frame)
+SELECT traj_id, round(avg(se), 6) AS mse FROM se GROUP BY traj_id""",
+        "v_traj",
+    ),
+)
+def q_traj_rollout_mse(spark, sf):
+    """AG14: rollout error per trajectory (mean over frames x particles of the
+    squared error summed over dims)."""
+    long = T.to_long(v_traj(spark, sf))
+    pred = T.integrate(long, _pred_acc(long), SEED_FRAMES)
+    return T.rollout_mse(pred, long).select("traj_id", F.round("mse", 6).alias("mse"))
+
+
+@register(
+    "traj_particle_types",
+    with_views(
+        """SELECT v.traj_id, v.particle, v.frame, p.particle_type FROM v_traj v
+JOIN (SELECT DISTINCT user_id AS particle, user_id % 9 AS particle_type FROM events) p ON v.particle = p.particle""",
+        "v_traj",
+    ),
+)
+def q_traj_particle_types(spark, sf):
+    """JN5: static per-particle type joined onto every frame (the type table
+    is one row per particle and is joined by key, not broadcast blindly)."""
+    from tessera.sources.tables import table
+
+    types = table(spark, sf, "events").select(F.col("user_id").alias("particle")).distinct().withColumn(
+        "particle_type", F.col("particle") % 9
+    )
+    return v_traj(spark, sf).join(types, on="particle").select("traj_id", "particle", "frame", "particle_type")
