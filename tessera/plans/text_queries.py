@@ -555,3 +555,53 @@ def q_logits_bce_running_mean(spark, sf):
 
     r = running_mean_of_batches(_bce_batches(spark, sf))
     return r.select(F.round("avg_loss", 9).alias("avg_loss"), "num_batches")
+
+
+# ---------------------------------------------------------------------------
+# Vocabulary encoding and padding (AR13, AR5, AR6, AG20, AG22)
+
+_CLEAN_CTE = f"cleaned AS (SELECT id, {sql_clean_text(_TEXT_EXPR)} AS text FROM v_text)"
+_VOCAB_CTE = """toks AS (
+  SELECT id, unnest(t) AS token, generate_subscripts(t, 1) AS pos
+  FROM (SELECT id, string_split(text, ' ') AS t FROM cleaned)),
+vocab AS (
+  SELECT token, CAST(row_number() OVER (ORDER BY count(*) DESC, token) + 1 AS BIGINT) AS token_id,
+         CAST(count(*) AS BIGINT) AS count
+  FROM toks WHERE token <> '' GROUP BY token)"""
+
+
+@register("text_vocabulary", with_views(f"WITH {_CLEAN_CTE}, {_VOCAB_CTE} SELECT token, token_id, count FROM vocab", "v_text"))
+def q_text_vocabulary(spark, sf):
+    """AR13: corpus vocabulary, ids by frequency (0 = pad, 1 = unknown)."""
+    from tessera.operators.text import build_vocabulary
+
+    return build_vocabulary(cleaned_text(spark, sf))
+
+
+@register(
+    "text_encode_pad",
+    with_views(
+        f"""WITH {_CLEAN_CTE}, {_VOCAB_CTE},
+enc AS (
+  SELECT c.id, coalesce(list(coalesce(v.token_id, 1) ORDER BY t.pos) FILTER (WHERE t.token IS NOT NULL), []) AS ids
+  FROM cleaned c LEFT JOIN (SELECT * FROM toks WHERE token <> '') t ON c.id = t.id
+  LEFT JOIN vocab v ON t.token = v.token GROUP BY c.id),
+b AS (SELECT *, CAST(floor((row_number() OVER (ORDER BY md5(CAST(id AS VARCHAR) || ':' || '0'), id) - 1) / 64) AS BIGINT) AS batch FROM enc),
+m AS (SELECT *, max(len(ids)) OVER (PARTITION BY batch) AS max_len FROM b)
+SELECT id, batch, CAST(max_len AS INTEGER) AS max_len,
+  list_concat(ids, list_transform(range(max_len - len(ids)), lambda i: CAST(0 AS BIGINT))) AS ids,
+  list_concat(list_transform(range(len(ids)), lambda i: 1), list_transform(range(max_len - len(ids)), lambda i: 0)) AS masks
+FROM m""",
+        "v_text",
+    ),
+)
+def q_text_encode_pad(spark, sf):
+    """AR13 + AG20 + AG22 + AR5 + AR6: token ids per document, padded to the
+    longest row of its batch of 64, with the attention mask."""
+    from tessera.operators.core import fixed_batches
+    from tessera.operators.text import build_vocabulary, encode_tokens, pad_batch
+
+    cl = cleaned_text(spark, sf)
+    enc = encode_tokens(cl, build_vocabulary(cl), "id")
+    b = fixed_batches(enc, "id", 64)
+    return pad_batch(b, "batch", "ids").select("id", "batch", F.col("max_len").cast("int").alias("max_len"), "ids", "masks")
