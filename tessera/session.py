@@ -45,6 +45,7 @@ def get_session(
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -67,6 +68,35 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A sub-folder of the shared checkpoint folder for written intermediates."""
+    """A fresh sub-folder of the shared checkpoint folder for written
+    intermediates (a POSIX path when the folder is a local / mounted one)."""
+    import uuid
+
     base = checkpoint_dir(spark)
-    return os.path.join(base, name)
+    if base.startswith("file:"):
+        base = base[len("file:"):]
+    return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tessera`` importable in Python workers (data sources and pandas
+    functions refer to its modules): zip it once into the shared checkpoint
+    folder and ``addPyFile`` it."""
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    import shutil
+    import uuid
+
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    # Only the driver reads the archive; addPyFile ships it to the executors.
+    ckpt = checkpoint_dir(spark)
+    local = ckpt[len("file:"):] if ckpt.startswith("file:") else (ckpt if "://" not in ckpt else tempfile.mkdtemp())
+    base = os.path.join(local, f"pkg-{uuid.uuid4().hex}")
+    archive = shutil.make_archive(base, "zip", root_dir=os.path.dirname(pkg), base_dir="tessera")
+    sc.addPyFile(archive)
+    _SHIPPED.add(key)
