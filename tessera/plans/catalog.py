@@ -27,6 +27,7 @@ def load_all() -> None:
     from tessera.plans import (  # noqa: F401
         graph_queries,
         source_queries,
+        stream_queries,
         quality_queries,
         runs_queries,
         text_queries,
