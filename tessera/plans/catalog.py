@@ -26,6 +26,7 @@ def load_all() -> None:
     """Import every query module so that its registrations run."""
     from tessera.plans import (  # noqa: F401
         graph_queries,
+        model_queries,
         source_queries,
         stream_queries,
         quality_queries,
