@@ -15,6 +15,7 @@ from tessera.operators.metrics import metric_rows
 from tessera.operators.split import filter_split, stratified_split
 from tessera.operators.text import fit_class_index
 from tessera.plans.views import SLICE_TAG, v_text
+from tessera.session import materialize
 
 TEST_SIZE = 0.2
 SEED = 1234
@@ -41,9 +42,17 @@ def scored_test_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def evaluate_text(spark: SparkSession, sf: str) -> DataFrame:
-    scored = scored_test_rows(spark, sf)
+    """Slice membership is evaluated on the text once, then the scored rows
+    are narrowed to ``(id, y_true, y_pred, tag, flags)`` and checkpointed, so
+    the three metric branches reuse them instead of re-running the split."""
+    slices = default_slices()
+    flags = {name: F.col(f"__in_{name}") for name in slices}
+    scored = scored_test_rows(spark, sf).select(
+        "id", "y_true", "y_pred", "tag", *[c.alias(f"__in_{n}") for n, c in slices.items()]
+    )
+    scored = materialize(scored)
     classes = fit_class_index(v_text(spark, sf))
-    rows = metric_rows(scored, classes, default_slices())
+    rows = metric_rows(scored, classes, flags)
     return rows.select(
         "scope",
         "key",

@@ -8,6 +8,7 @@ from tessera.functions.hashing import hash_gaussian, sql_hash_gaussian
 from tessera.operators import trajectory as T
 from tessera.plans.catalog import register
 from tessera.plans.views import TRAJ_WINDOW, v_traj, with_views
+from tessera.session import materialize
 
 L = TRAJ_WINDOW
 NOISE_STD = 0.3  # fixture noise level (keeps noise values well above rounding)
@@ -22,6 +23,11 @@ _LONG = """long AS (
   FROM (SELECT *, unnest(range(len(pos))) AS d FROM v_traj))"""
 
 
+def _long(spark, sf):
+    """Long per-dimension rows, computed once per query (checkpointed)."""
+    return materialize(T.to_long(v_traj(spark, sf)))
+
+
 def _r(c, n=9):
     return F.round(F.col(c), n).alias(c)
 
@@ -90,7 +96,7 @@ FROM acc a JOIN stats s ON a.d = s.d""",
 def q_traj_acceleration_normalized(spark, sf):
     """WN6 + SM4 + JN8: second differences normalized with metadata
     (acc mean/std per dimension computed from the data, broadcast)."""
-    acc = T.acceleration(T.to_long(v_traj(spark, sf)))
+    acc = materialize(T.acceleration(_long(spark, sf)))
     stats = T.acc_stats(acc)
     return T.normalize_acc(acc, stats, NOISE_STD).select(*T.KEYS, "frame", "d", _r("a"), _r("a_norm"))
 
@@ -230,7 +236,7 @@ SELECT traj_id, particle, frame, CAST(d AS INTEGER) AS d, round(x, 9) AS x FROM
 )
 def q_traj_rollout(spark, sf):
     """WN8 + SM6 + SO2: integrate predicted accelerations from the seed frames."""
-    long = T.to_long(v_traj(spark, sf))
+    long = _long(spark, sf)
     return T.integrate(long, _pred_acc(long), SEED_FRAMES).select(*T.KEYS, "frame", "d", _r("x"))
 
 
@@ -247,7 +253,7 @@ SELECT traj_id, round(avg(se), 6) AS mse FROM se GROUP BY traj_id""",
 def q_traj_rollout_mse(spark, sf):
     """AG14: rollout error per trajectory (mean over frames x particles of the
     squared error summed over dims)."""
-    long = T.to_long(v_traj(spark, sf))
+    long = _long(spark, sf)
     pred = T.integrate(long, _pred_acc(long), SEED_FRAMES)
     return T.rollout_mse(pred, long).select("traj_id", F.round("mse", 6).alias("mse"))
 

@@ -18,6 +18,8 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # remove reliable-checkpoint files once their DataFrame is garbage collected
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -100,3 +102,12 @@ def ship_package(spark: SparkSession) -> None:
     archive = shutil.make_archive(base, "zip", root_dir=os.path.dirname(pkg), base_dir="tessera")
     sc.addPyFile(archive)
     _SHIPPED.add(key)
+
+
+def materialize(df):
+    """Compute ``df`` once and cut its lineage: a reliable ``checkpoint()``
+    written to the shared ``spark.checkpoint.dir`` (never a machine-local
+    folder), so later uses scan the written rows instead of re-deriving them,
+    and a lost executor does not force recomputation from the sources."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
