@@ -32,7 +32,7 @@ from tessera.functions.hashing import hash_uniform
 from tessera.operators.text import encode_labels, fit_class_index
 
 
-def text_classifier_pipeline(*, label: str = "tag", text: str = "text", num_features: int = 1 << 18,
+def text_classifier_pipeline(*, label: str = "tag", text: str = "text", num_features: int = 1 << 16,
                              max_iter: int = 20, reg_param: float = 0.0, elastic_net: float = 0.0) -> Pipeline:
     lr = LogisticRegression(featuresCol="features", labelCol="label", maxIter=max_iter, regParam=reg_param,
                             elasticNetParam=elastic_net, family="multinomial")

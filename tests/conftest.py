@@ -20,6 +20,7 @@ def spark():
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.driver.memory", "8g")
         .getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")
