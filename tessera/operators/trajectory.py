@@ -212,3 +212,70 @@ def frame_skip(traj: DataFrame, skip: int) -> DataFrame:
     return traj.join(t, on=KEYS).where(
         (F.col("frame") % skip == 0) & (F.floor(F.col("frame") / skip) < F.floor(F.col("T") / skip))
     ).drop("T")
+
+
+def stats_arrays(stats: DataFrame, dim: int) -> DataFrame:
+    """One row ``(acc_mean array, acc_std array)`` ordered by dimension (from a
+    ``dim``-row statistics table; safe to broadcast)."""
+    s = stats.agg(F.array_sort(F.collect_list(F.struct("d", "acc_mean", "acc_std"))).alias("s"))
+    return s.select(F.col("s.acc_mean").alias("acc_mean"), F.col("s.acc_std").alias("acc_std"))
+
+
+def graph_sample_nodes(windows: DataFrame, stats: DataFrame, *, window_length: int, dim: int, noise_std: float,
+                       seed: int, radius: float, bounds: list[list[float]]) -> DataFrame:
+    """UD10 (node side) + WN5 + WN6 + SM3 + SM4 + AR7 + AR8: per window
+    ``(traj_id, particle, start)``:
+
+    * the history positions plus random-walk noise (WN4/WN5),
+    * ``recent`` = last noised position,
+    * ``vflat`` = noised velocities flattened time-major (AR8),
+    * ``boundary`` = clipped distance of ``recent`` to the bounds (SM3),
+    * ``y`` = normalized acceleration target
+      ``((target + noise_last - recent) - (recent - prev) - mean) / sqrt(std^2 + noise^2)``.
+
+    Each window is one bounded group of ``(L-1) * dim`` values."""
+    from tessera.operators.graph import boundary_distance
+
+    L = window_length
+    noise = random_walk_noise(windows, L, dim, noise_std, seed)
+    hist = windows.select(*KEYS, "start", F.posexplode("hist").alias("j", "p")).select(
+        *KEYS, "start", "j", F.posexplode("p").alias("d", "x")
+    )
+    noised = hist.join(noise, on=KEYS + ["start", "j", "d"], how="inner").withColumn("xn", F.col("x") + F.col("noise"))
+    per = noised.groupBy(*KEYS, "start").agg(
+        F.array_sort(F.collect_list(F.struct("j", "d", "xn", "noise"))).alias("s")
+    )
+    per = per.join(windows.select(*KEYS, "start", "target"), on=KEYS + ["start"])
+    at = lambda j, d: F.col("s")[j * dim + d]  # noqa: E731  (0-based j, d)
+    recent = F.array(*[at(L - 2, d)["xn"] for d in range(dim)])
+    prev = F.array(*[at(L - 3, d)["xn"] for d in range(dim)])
+    pn_last = F.array(*[at(L - 2, d)["noise"] for d in range(dim)])
+    vflat = F.transform(
+        F.sequence(F.lit(dim), F.lit((L - 1) * dim - 1)),
+        lambda i: F.col("s")[i]["xn"] - F.col("s")[i - dim]["xn"],
+    )
+    sv = stats_arrays(stats, dim)
+    out = per.crossJoin(F.broadcast(sv)).select(
+        *KEYS, "start", recent.alias("recent"), prev.alias("prev"), pn_last.alias("pn_last"), "target",
+        vflat.alias("vflat"), "acc_mean", "acc_std",
+    )
+    next_v = F.zip_with(F.zip_with("target", "pn_last", lambda t, n: t + n), "recent", lambda a, r: a - r)
+    last_v = F.zip_with("recent", "prev", lambda r, p: r - p)
+    acc = F.zip_with(next_v, last_v, lambda a, b: a - b)
+    scale = F.transform("acc_std", lambda s: F.sqrt(s * s + F.lit(noise_std) ** 2))
+    y = F.zip_with(F.zip_with(acc, "acc_mean", lambda a, m: a - m), scale, lambda a, s: a / s)
+    return out.select(
+        *KEYS, "start", "recent", "vflat", boundary_distance(F.col("recent"), bounds, radius).alias("boundary"),
+        y.alias("y"),
+    )
+
+
+def graph_sample_edges(nodes: DataFrame, *, radius: float, dim: int) -> DataFrame:
+    """UD10 (edge side) + JN3 + JN4 + SM5: radius graph on the noised recent
+    positions within each sample ``(traj_id, start)``, with displacement / r
+    and distance per edge."""
+    from tessera.operators.graph import edge_features, radius_graph
+
+    pts = nodes.select("traj_id", "start", F.col("particle").alias("node"), F.col("recent").alias("pos"))
+    e = radius_graph(pts, radius, dim=dim, sample=["traj_id", "start"])
+    return edge_features(e, pts, radius, sample=["traj_id", "start"])

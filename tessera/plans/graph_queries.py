@@ -336,3 +336,71 @@ SELECT sample, CASE WHEN r <= {MESH_TRAIN} THEN 'train' ELSE 'test' END AS split
 def q_mesh_train_test(spark, sf):
     """FP10: first train+test samples, shuffled, sliced into train / test."""
     return M.train_test_samples(v_mesh(spark, sf), train_size=MESH_TRAIN, test_size=MESH_TEST)
+
+
+_X_STATS_SQL = """xs AS (
+  SELECT i - 1 AS i, avg(v) AS mean, greatest(sqrt(avg(v * v) - avg(v) * avg(v)), 1e-8) AS std
+  FROM (SELECT i, (velocity || onehot)[i] AS v FROM v_mesh, unnest(range(1, 12)) AS t(i)) GROUP BY i)"""
+
+
+@register(
+    "mesh_normalize_roundtrip",
+    with_views(
+        f"""WITH {_X_STATS_SQL}
+SELECT m.node, CAST(x.i AS INTEGER) AS i,
+  round(((m.velocity || m.onehot)[x.i + 1] - x.mean) / x.std, 9) AS xn,
+  round((((m.velocity || m.onehot)[x.i + 1] - x.mean) / x.std) * x.std + x.mean, 9) AS x_back
+FROM v_mesh m, xs x WHERE x.i < 2""",
+        "v_mesh",
+    ),
+)
+def q_mesh_normalize_roundtrip(spark, sf):
+    """SM1 + SM2 + AG9: node velocities normalized with the x statistics and
+    mapped back (``unnormalize(normalize(x)) = x``)."""
+    from tessera.functions.arrays import normalize, unnormalize
+
+    nodes = v_mesh(spark, sf).select("node", F.concat("velocity", "onehot").alias("x"))
+    sv = M.stats_vectors(M.feature_stats(nodes, "x"))
+    n = nodes.crossJoin(F.broadcast(sv)).withColumn("xn", normalize("x", "mean", "std"))
+    n = n.withColumn("x_back", unnormalize("xn", "mean", "std"))
+    long = n.select("node", F.posexplode(F.arrays_zip("xn", "x_back")).alias("i", "s")).where(F.col("i") < 2)
+    return long.select(
+        "node", F.col("i").cast("int").alias("i"), F.round("s.xn", 9).alias("xn"), F.round("s.x_back", 9).alias("x_back")
+    )
+
+
+ROUNDS = 3
+
+
+def _round_sql(prev: str, cur: str) -> str:
+    return f"""{cur} AS (
+  SELECT n.sample, n.node,
+    n.x0 + coalesce(sum((s.x0 - n.x0) * 0.5::DOUBLE) FILTER (WHERE s.node IS NOT NULL), 0.0) AS x0,
+    n.x1 + coalesce(sum((s.x1 - n.x1) * 0.5::DOUBLE) FILTER (WHERE s.node IS NOT NULL), 0.0) AS x1
+  FROM {prev} n LEFT JOIN edges e ON e.sample = n.sample AND e.dst = n.node
+  LEFT JOIN {prev} s ON s.sample = e.sample AND s.node = e.src
+  GROUP BY n.sample, n.node, n.x0, n.x1)"""
+
+
+@register(
+    "graph_message_rounds",
+    with_views(
+        f"""WITH {_PAIRS_SQL},
+edges AS (SELECT sample, src, dst FROM pairs),
+r0 AS (SELECT sample, node, pos[1] AS x0, pos[2] AS x1 FROM v_points),
+{_round_sql('r0', 'r1')},
+{_round_sql('r1', 'r2')},
+{_round_sql('r2', 'r3')}
+SELECT sample, node, round(x0, 9) AS x0, round(x1, 9) AS x1 FROM r3""",
+        "v_points",
+    ),
+)
+def q_graph_message_rounds(spark, sf):
+    """UD9 iterated: three rounds of ``x <- x + sum over in-edges of
+    0.5 (x_src - x_dst)`` on the radius graph, lineage cut by a checkpoint."""
+    pts = v_points(spark, sf)
+    edges = G.radius_graph(pts, R, dim=2).withColumn("attr", F.array(F.lit(1.0)))
+    nodes = pts.select("sample", "node", F.col("pos").alias("x"))
+    msg = lambda xs, xd, e: F.zip_with(xs, xd, lambda a, b: (a - b) * F.lit(0.5))
+    out = G.message_pass_rounds(nodes, edges, msg, rounds=ROUNDS, width=2, sample="sample", checkpoint_every=2)
+    return out.select("sample", "node", F.round(F.col("x")[0], 9).alias("x0"), F.round(F.col("x")[1], 9).alias("x1"))

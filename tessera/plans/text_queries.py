@@ -605,3 +605,25 @@ def q_text_encode_pad(spark, sf):
     enc = encode_tokens(cl, build_vocabulary(cl), "id")
     b = fixed_batches(enc, "id", 64)
     return pad_batch(b, "batch", "ids").select("id", "batch", F.col("max_len").cast("int").alias("max_len"), "ids", "masks")
+
+
+@register(
+    "text_preprocess",
+    with_views(
+        f"""WITH {_CLASSES_CTE}
+SELECT v.id, {sql_clean_text(_TEXT_EXPR)} AS text, v.tag, CAST(c.class_index AS BIGINT) AS class_index
+FROM v_text v LEFT JOIN classes c ON v.tag = c.tag""",
+        "v_text",
+    ),
+)
+def q_text_preprocess(spark, sf):
+    """UD5 + UD4: text feature, cleaning, column drop / reorder, label
+    encoding with the fitted class index."""
+    from tessera.operators.models import ClassIndexer
+    from tessera.operators.text import preprocess
+    from tessera.plans.views import v_text
+
+    vt = v_text(spark, sf).drop("y_pred")
+    model = ClassIndexer().fit(vt)
+    classes = spark.createDataFrame(list(model.class_to_index.items()), "tag string, class_index long")
+    return preprocess(vt, classes, keep=["id"]).select("id", "text", "tag", "class_index")

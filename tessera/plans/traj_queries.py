@@ -275,3 +275,103 @@ def q_traj_particle_types(spark, sf):
         "particle_type", F.col("particle") % 9
     )
     return v_traj(spark, sf).join(types, on="particle").select("traj_id", "particle", "frame", "particle_type")
+
+
+# ---------------------------------------------------------------------------
+# Composite graph sample (UD10): noised windows -> node targets / features
+# and radius-graph edges among the particles of a sample (traj_id, start).
+
+G_RADIUS = 10.0
+G_BOUNDS = [[0.0, 500.0], [0.0, 100.0]]
+
+_WINS_SQL = f"""wins AS (
+  SELECT traj_id, particle, start, hist, target FROM (
+    SELECT traj_id, particle, CAST(frame AS BIGINT) AS start,
+      list(pos) OVER (PARTITION BY traj_id, particle ORDER BY frame ROWS BETWEEN CURRENT ROW AND {L - 2} FOLLOWING) AS hist,
+      lead(pos, {L - 1}) OVER (PARTITION BY traj_id, particle ORDER BY frame) AS target
+    FROM v_traj) WHERE target IS NOT NULL),
+g AS (
+  SELECT w.traj_id, w.particle, w.start, j, d,
+    {sql_hash_gaussian(['w.traj_id', 'w.particle', 'w.start', 'j', 'd'], NOISE_SEED)} * ({NOISE_STD}::DOUBLE / sqrt({L - 2}::DOUBLE)) AS vn
+  FROM wins w, (SELECT unnest(range(1, {L - 1})) AS j) js, (SELECT unnest(range({DIM})) AS d) ds),
+c1 AS (SELECT *, sum(vn) OVER (PARTITION BY traj_id, particle, start, d ORDER BY j) AS vc FROM g),
+c2 AS (SELECT *, sum(vc) OVER (PARTITION BY traj_id, particle, start, d ORDER BY j) AS noise FROM c1),
+nz AS (SELECT traj_id, particle, start, j, d, noise FROM c2
+       UNION ALL SELECT traj_id, particle, start, 0, d, 0.0 FROM wins, (SELECT unnest(range({DIM})) AS d) ds),
+np AS (SELECT w.traj_id, w.particle, w.start, n.j, n.d, w.hist[n.j + 1][n.d + 1] + n.noise AS xn, n.noise
+       FROM wins w JOIN nz n ON w.traj_id = n.traj_id AND w.particle = n.particle AND w.start = n.start),
+vel AS (SELECT a.traj_id, a.particle, a.start, list(a.xn - b.xn ORDER BY a.j, a.d) AS vflat
+        FROM np a JOIN np b ON a.traj_id = b.traj_id AND a.particle = b.particle AND a.start = b.start
+          AND b.j = a.j - 1 AND b.d = a.d GROUP BY a.traj_id, a.particle, a.start),
+per AS (
+  SELECT np.traj_id, np.particle, np.start,
+    max(xn) FILTER (WHERE j = {L - 2} AND d = 0) AS r0, max(xn) FILTER (WHERE j = {L - 2} AND d = 1) AS r1,
+    max(xn) FILTER (WHERE j = {L - 3} AND d = 0) AS p0, max(xn) FILTER (WHERE j = {L - 3} AND d = 1) AS p1,
+    max(noise) FILTER (WHERE j = {L - 2} AND d = 0) AS n0, max(noise) FILTER (WHERE j = {L - 2} AND d = 1) AS n1
+  FROM np GROUP BY np.traj_id, np.particle, np.start),
+sv AS (SELECT max(acc_mean) FILTER (WHERE d = 0) AS m0, max(acc_mean) FILTER (WHERE d = 1) AS m1,
+              max(acc_std) FILTER (WHERE d = 0) AS s0, max(acc_std) FILTER (WHERE d = 1) AS s1 FROM stats),
+nodes AS (
+  SELECT p.*, w.target, v.vflat, sv.* FROM per p JOIN wins w USING (traj_id, particle, start)
+  JOIN vel v USING (traj_id, particle, start), sv)"""
+
+
+def _graph_nodes(spark, sf):
+    long = _long(spark, sf)
+    stats = T.acc_stats(T.acceleration(long))
+    wins = T.materialize_windows(v_traj(spark, sf), L)
+    nodes = T.graph_sample_nodes(
+        wins, stats, window_length=L, dim=DIM, noise_std=NOISE_STD, seed=NOISE_SEED, radius=G_RADIUS, bounds=G_BOUNDS
+    )
+    return materialize(nodes)
+
+
+@register(
+    "traj_graph_nodes",
+    with_views(
+        f"""WITH {_LONG}, {_ACC_SQL}, {_WINS_SQL}
+SELECT traj_id, particle, start,
+  round((((target[1] + n0) - r0) - (r0 - p0) - m0) / sqrt(s0 * s0 + {NOISE_STD}::DOUBLE * {NOISE_STD}::DOUBLE), 9) AS y0,
+  round((((target[2] + n1) - r1) - (r1 - p1) - m1) / sqrt(s1 * s1 + {NOISE_STD}::DOUBLE * {NOISE_STD}::DOUBLE), 9) AS y1,
+  round(greatest(-1.0, least(1.0, (r0 - {G_BOUNDS[0][0]}::DOUBLE) / {G_RADIUS}::DOUBLE)), 9) AS b0,
+  round(greatest(-1.0, least(1.0, (r1 - {G_BOUNDS[1][0]}::DOUBLE) / {G_RADIUS}::DOUBLE)), 9) AS b1,
+  round(greatest(-1.0, least(1.0, ({G_BOUNDS[0][1]}::DOUBLE - r0) / {G_RADIUS}::DOUBLE)), 9) AS b2,
+  round(greatest(-1.0, least(1.0, ({G_BOUNDS[1][1]}::DOUBLE - r1) / {G_RADIUS}::DOUBLE)), 9) AS b3,
+  list_transform(vflat, lambda x: round(x, 9)) AS vflat
+FROM nodes""",
+        "v_traj",
+    ),
+)
+def q_traj_graph_nodes(spark, sf):
+    """UD10 + WN4 + WN5 + WN6 + SM3 + SM4 + AR7 + AR8: per window the noised
+    acceleration target, boundary features and flattened noised velocities."""
+    n = _graph_nodes(spark, sf)
+    return n.select(
+        *T.KEYS, "start",
+        *[F.round(F.col("y")[d], 9).alias(f"y{d}") for d in range(DIM)],
+        *[F.round(F.col("boundary")[i], 9).alias(f"b{i}") for i in range(2 * DIM)],
+        F.transform("vflat", lambda x: F.round(x, 9)).alias("vflat"),
+    )
+
+
+@register(
+    "traj_graph_edges",
+    with_views(
+        f"""WITH {_LONG}, {_ACC_SQL}, {_WINS_SQL},
+pairs AS (
+  SELECT a.traj_id, a.start, a.particle AS src, b.particle AS dst,
+    (a.r0 - b.r0) * (1.0::DOUBLE / {G_RADIUS}::DOUBLE) AS dx, (a.r1 - b.r1) * (1.0::DOUBLE / {G_RADIUS}::DOUBLE) AS dy
+  FROM per a JOIN per b ON a.traj_id = b.traj_id AND a.start = b.start
+  WHERE (a.r0 - b.r0) * (a.r0 - b.r0) + (a.r1 - b.r1) * (a.r1 - b.r1) <= {G_RADIUS * G_RADIUS!r}::DOUBLE)
+SELECT traj_id, start, src, dst, round(dx, 9) AS dx, round(dy, 9) AS dy, round(sqrt(dx * dx + dy * dy), 9) AS dist FROM pairs""",
+        "v_traj",
+    ),
+)
+def q_traj_graph_edges(spark, sf):
+    """UD10 + JN3 + JN4 + SM5: radius graph (self-loops kept) over the noised
+    recent positions of each sample, with edge displacement and distance."""
+    e = T.graph_sample_edges(_graph_nodes(spark, sf), radius=G_RADIUS, dim=DIM)
+    return e.select(
+        "traj_id", "start", "src", "dst",
+        F.round(F.col("disp")[0], 9).alias("dx"), F.round(F.col("disp")[1], 9).alias("dy"), F.round("dist", 9).alias("dist"),
+    )
