@@ -2,9 +2,9 @@
 
 A trajectory table has one row per ``(traj_id, particle, frame)`` with
 ``pos array<double>``. Internally positions are exploded to one row per
-dimension, so differences are self-joins on ``frame ± 1`` and running sums are
-bucketed prefix sums: no operator ever sorts a whole trajectory in one task,
-however long one particle's history is. Windows are built by exploding each
+dimension; differences use frame buckets with halo rows and running sums are
+bucketed prefix sums, so no operator ever sorts a whole trajectory in one
+task, however long one particle's history is. Windows are built by exploding each
 frame into the windows that contain it and grouping by window key (at most
 ``window_length`` rows per group).
 """
@@ -36,26 +36,51 @@ def to_wide(long: DataFrame, value: str, out: str, keys: list[str] | None = None
     )
 
 
-def _shifted(long: DataFrame, k: int, name: str, value: str = "x") -> DataFrame:
-    """Value at ``frame + k`` under ``name``, keyed to ``frame``."""
-    return long.select(*KEYS, (F.col("frame") - k).alias("frame"), "d", F.col(value).alias(name))
+def neighbours(long: DataFrame, *, back: int = 1, forward: int = 1, value: str = "x",
+               bucket_width: int = FRAME_BUCKET) -> DataFrame:
+    """Add ``prev_k`` (value at ``frame - k``, k <= back) and ``next_k``
+    (``frame + k``, k <= forward) to each long row, NULL when that frame does
+    not exist.
+
+    One shuffle, no hot partition: rows are bucketed by frame; a row near the
+    end of its bucket is also copied into the next bucket (and one near the
+    start into the previous bucket) as a halo row, then ``lag`` / ``lead`` run
+    inside (track, dimension, bucket) and halo rows are dropped. A frame's
+    neighbour is accepted only when its frame number is exactly ``frame ± k``."""
+    B = bucket_width
+    if back >= B or forward >= B:
+        raise ValueError("neighbour distance must be smaller than the bucket width")
+    b = F.floor(F.col("frame") / F.lit(B)).cast("bigint")
+    pos = F.col("frame") - b * F.lit(B)
+    targets = F.array(
+        F.struct(b.alias("bucket"), F.lit(False).alias("halo")),
+        F.when(pos >= F.lit(B - back), F.struct((b + 1).alias("bucket"), F.lit(True).alias("halo"))),
+        F.when(pos < F.lit(forward), F.struct((b - 1).alias("bucket"), F.lit(True).alias("halo"))),
+    )
+    rows = long.select("*", F.explode(F.filter(targets, lambda t: t.isNotNull())).alias("__t")).select(
+        *long.columns, F.col("__t.bucket").alias("__b"), F.col("__t.halo").alias("__halo")
+    )
+    w = Window.partitionBy(*KEYS, "d", "__b").orderBy("frame")
+    for k in range(1, back + 1):
+        ok = F.lag("frame", k).over(w) == F.col("frame") - k
+        rows = rows.withColumn(f"prev_{k}", F.when(ok, F.lag(value, k).over(w)))
+    for k in range(1, forward + 1):
+        ok = F.lead("frame", k).over(w) == F.col("frame") + k
+        rows = rows.withColumn(f"next_{k}", F.when(ok, F.lead(value, k).over(w)))
+    return rows.where(~F.col("__halo")).drop("__b", "__halo")
 
 
 def velocity(long: DataFrame) -> DataFrame:
-    """WN3: ``v[t] = x[t] - x[t-1]`` for t >= 1 (self-join, skew-free)."""
-    prev = _shifted(long, -1, "x_prev")
-    return long.join(prev, on=KEYS + ["frame", "d"], how="inner").select(
-        *KEYS, "frame", "d", (F.col("x") - F.col("x_prev")).alias("v")
-    )
+    """WN3: ``v[t] = x[t] - x[t-1]`` for t >= 1."""
+    n = neighbours(long, back=1, forward=0)
+    return n.where(F.col("prev_1").isNotNull()).select(*KEYS, "frame", "d", (F.col("x") - F.col("prev_1")).alias("v"))
 
 
 def acceleration(long: DataFrame) -> DataFrame:
     """WN6 (noise-free): ``a[t] = x[t+1] - 2 x[t] + x[t-1]`` at interior frames."""
-    prev = _shifted(long, -1, "x_prev")
-    nxt = _shifted(long, 1, "x_next")
-    return (
-        long.join(prev, on=KEYS + ["frame", "d"]).join(nxt, on=KEYS + ["frame", "d"])
-        .select(*KEYS, "frame", "d", (F.col("x_next") - 2.0 * F.col("x") + F.col("x_prev")).alias("a"))
+    n = neighbours(long, back=1, forward=1)
+    return n.where(F.col("prev_1").isNotNull() & F.col("next_1").isNotNull()).select(
+        *KEYS, "frame", "d", (F.col("next_1") - 2.0 * F.col("x") + F.col("prev_1")).alias("a")
     )
 
 

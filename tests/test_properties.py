@@ -117,3 +117,19 @@ def test_checkpoint_dir_is_shared_setting(spark):
 
     d = checkpoint_dir(spark)
     assert d and spark.sparkContext.getCheckpointDir() == d
+
+
+def test_halo_neighbours_equal_plain_lag_lead(spark):
+    long = T.to_long(v_traj(spark, SF_SMALL))
+    got = T.neighbours(long, back=2, forward=1, bucket_width=4)
+    w = Window.partitionBy(*T.KEYS, "d").orderBy("frame")
+    want = long.select(
+        *T.KEYS, "frame", "d", F.lag("x", 1).over(w).alias("p1"), F.lag("x", 2).over(w).alias("p2"),
+        F.lead("x", 1).over(w).alias("n1"),
+    )
+    j = got.join(want, T.KEYS + ["frame", "d"])
+    assert j.count() == long.count()
+    bad = j.where(
+        ~F.col("prev_1").eqNullSafe(F.col("p1")) | ~F.col("prev_2").eqNullSafe(F.col("p2")) | ~F.col("next_1").eqNullSafe(F.col("n1"))
+    )
+    assert bad.count() == 0
