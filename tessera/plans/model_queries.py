@@ -16,7 +16,7 @@ FALLBACK = "en"
 
 
 def _splits(spark, sf):
-    vt = v_text(spark, sf).withColumn("raw_text", text_feature(F.col("title"), F.col("description")))
+    vt = v_text(spark, sf, spread=True).withColumn("raw_text", text_feature(F.col("title"), F.col("description")))
     vt = vt.withColumn("text", clean_text(F.col("raw_text")))
     s = stratified_split(vt, key="id", stratify="tag", test_size=TEST_SIZE, seed=SEED)
     return filter_split(s, "train"), filter_split(s, "test")

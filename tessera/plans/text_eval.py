@@ -64,5 +64,5 @@ def evaluate_text(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def cleaned_text(spark: SparkSession, sf: str) -> DataFrame:
-    vt = v_text(spark, sf)
+    vt = v_text(spark, sf, spread=True)
     return vt.select("id", clean_text(text_feature(F.col("title"), F.col("description"))).alias("text"))

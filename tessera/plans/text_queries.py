@@ -268,7 +268,7 @@ def q_text_word_count(spark, sf):
     from tessera.functions.text import text_feature, word_count
     from tessera.plans.views import v_text
 
-    vt = v_text(spark, sf)
+    vt = v_text(spark, sf, spread=True)
     return vt.select("id", word_count(text_feature(F.col("title"), F.col("description"))).cast("bigint").alias("n_words"))
 
 
@@ -287,7 +287,7 @@ def q_text_slices(spark, sf):
     from tessera.plans.text_eval import default_slices
     from tessera.plans.views import v_text
 
-    vt = v_text(spark, sf).withColumn("text", F.concat("title", F.lit(" "), "description"))
+    vt = v_text(spark, sf, spread=True).withColumn("text", F.concat("title", F.lit(" "), "description"))
     return slice_flags(vt, default_slices(), "id")
 
 
@@ -306,7 +306,7 @@ def q_text_stopwords_lower(spark, sf):
     from tessera.functions.text import remove_stopwords
     from tessera.plans.views import v_text
 
-    return v_text(spark, sf).select("id", remove_stopwords(F.lower("title")).alias("t"))
+    return v_text(spark, sf, spread=True).select("id", remove_stopwords(F.lower("title")).alias("t"))
 
 
 @register(
@@ -327,7 +327,7 @@ def q_text_punct_steps(spark, sf):
     from tessera.plans.views import v_text
 
     t = F.col("title")
-    return v_text(spark, sf).select(
+    return v_text(spark, sf, spread=True).select(
         "id",
         pad_punctuation(t).alias("padded"),
         strip_non_alnum(t).alias("alnum"),
@@ -623,7 +623,7 @@ def q_text_preprocess(spark, sf):
     from tessera.operators.text import preprocess
     from tessera.plans.views import v_text
 
-    vt = v_text(spark, sf).drop("y_pred")
+    vt = v_text(spark, sf, spread=True).drop("y_pred")
     model = ClassIndexer().fit(vt)
     classes = spark.createDataFrame(list(model.class_to_index.items()), "tag string, class_index long")
     return preprocess(vt, classes, keep=["id"]).select("id", "text", "tag", "class_index")

@@ -36,8 +36,10 @@ def documents(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").repartition("doc_id")
 
 
-def v_text(spark: SparkSession, sf: str) -> DataFrame:
-    d = documents(spark, sf)
+def v_text(spark: SparkSession, sf: str, spread: bool = False) -> DataFrame:
+    """``spread=True`` for queries that run per-document regex work right
+    after the scan (see :func:`documents`); cheap queries skip the shuffle."""
+    d = documents(spark, sf) if spread else table(spark, sf, "documents")
     return d.select(
         F.col("doc_id").alias("id"),
         F.lit(None).cast("timestamp").alias("created_on"),
