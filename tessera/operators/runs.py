@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.operators.core import interval_hit
+from tessera.operators.core import bucketed_rank, interval_hit
 
 
 class EmptyResultError(ValueError):
@@ -77,9 +77,17 @@ def retention(artifacts: DataFrame, *, artifact_type: str | None = None, id_col:
 
 def retention_rank(artifacts: DataFrame, *, id_col: str = "run_id", type_col: str = "type",
                    ts_col: str = "created_at", tiebreak: list[str] | None = None) -> DataFrame:
-    """WN9 with the full rank (newest = 1) for reports."""
-    w = Window.partitionBy(id_col, type_col).orderBy(F.col(ts_col).desc(), *[F.col(c).desc() for c in tiebreak or []])
-    return artifacts.withColumn("rank", F.row_number().over(w).cast("bigint"))
+    """WN9 with the full rank (newest = 1) for reports. Bucketed by day of
+    ``created_at`` (descending), so one run with most artifacts is ranked in
+    many tasks."""
+    order = [F.col(ts_col).desc()] + [F.col(c).desc() for c in tiebreak or []]
+    bucket = -_day_number(F.col(ts_col))
+    return bucketed_rank(artifacts, order=order, bucket=bucket, group_cols=[id_col, type_col], rank_col="rank")
+
+
+def _day_number(ts: Column) -> Column:
+    """Days since 1970-01-01 (works for TIMESTAMP and TIMESTAMP_NTZ)."""
+    return F.datediff(F.to_date(ts), F.lit("1970-01-01").cast("date")).cast("bigint")
 
 
 # Name builders (ST-10) -------------------------------------------------------
@@ -119,10 +127,10 @@ def artifact_versions(artifacts: DataFrame, *, name_col: str = "name", ts_col: s
                       tiebreak: list[str] | None = None) -> DataFrame:
     """Version numbers per name (v0 oldest) and the ``latest`` alias."""
     order = [F.col(ts_col)] + [F.col(c) for c in tiebreak or []]
-    w = Window.partitionBy(name_col).orderBy(*order)
-    v = artifacts.withColumn("version", (F.row_number().over(w) - 1).cast("bigint"))
-    n = v.groupBy(name_col).agg(F.max("version").alias("__maxv"))
-    return v.join(n, on=name_col).withColumn(
+    bucket = _day_number(F.col(ts_col))
+    v = bucketed_rank(artifacts, order=order, bucket=bucket, group_cols=[name_col], rank_col="version", size_col="__n")
+    v = v.withColumn("version", F.col("version") - 1).withColumn("__maxv", F.col("__n") - 1).drop("__n")
+    return v.withColumn(
         "aliases",
         F.when(F.col("version") == F.col("__maxv"), F.array(F.lit("latest"), F.concat(F.lit("v"), F.col("version").cast("string"))))
         .otherwise(F.array(F.concat(F.lit("v"), F.col("version").cast("string")))),
@@ -142,10 +150,15 @@ def resolve_artifacts(versioned: DataFrame, requests: DataFrame, ref_col: str =
 # History -----------------------------------------------------------------------
 
 def running_avg(history: DataFrame, *, run: str = "run_id", epoch: str = "epoch", step: str = "step",
-                loss: str = "loss", out: str = "avg_loss") -> DataFrame:
-    """WN7: average loss from the start of each epoch up to each step."""
-    w = Window.partitionBy(run, epoch).orderBy(step).rowsBetween(Window.unboundedPreceding, 0)
-    return history.withColumn(out, F.avg(loss).over(w))
+                loss: str = "loss", out: str = "avg_loss", bucket_width: int = 4096) -> DataFrame:
+    """WN7: average loss from the start of each epoch up to each step, as
+    running sum / running count with bucketed prefix sums (a long epoch of
+    one run is spread over many tasks)."""
+    from tessera.operators.trajectory import bucketed_cumsum
+
+    h = history.withColumn("__one", F.lit(1.0))
+    h = bucketed_cumsum(h, [run, epoch], step, [loss, "__one"], ["__cs", "__cn"], bucket_width=bucket_width)
+    return h.withColumn(out, F.col("__cs") / F.col("__cn")).drop("__one", "__cs", "__cn")
 
 
 def epoch_summary(history: DataFrame, *, run: str = "run_id", epoch: str = "epoch", step: str = "step",

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.operators.core import hash_rank
+from pyspark.sql import types as T
+
+from tessera.operators.core import bucketed_rank, hash_rank
 
 
 def stratified_split(
@@ -30,6 +32,11 @@ def stratified_split(
     """
     if shuffle:
         ranked = hash_rank(df, key, seed, group_cols=[stratify], digits=digits, rank_col="__r", size_col="__n")
+    elif isinstance(df.schema[key].dataType, T.NumericType):
+        # last rows by key: rank by key descending, bucketed by key range
+        bucket = -F.floor(F.col(key).cast("double") / F.lit(float(1 << 16))).cast("bigint")
+        ranked = bucketed_rank(df, order=[F.col(key).desc()], bucket=bucket, group_cols=[stratify],
+                               rank_col="__r", size_col="__n")
     else:
         w = Window.partitionBy(stratify).orderBy(F.col(key).desc())
         ranked = df.withColumn("__r", F.row_number().over(w).cast("bigint")).withColumn(

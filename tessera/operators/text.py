@@ -68,7 +68,7 @@ def preprocess(
 def build_vocabulary(df: DataFrame, text: str = "text", *, min_count: int = 1, digits: int = 2) -> DataFrame:
     """AR13 vocabulary: whitespace tokens counted over the corpus, ids by count
     descending then token; 0 = pad, 1 = unknown, words from 2. The ranking is
-    bucketed on the count's leading digits so no single task ranks all words."""
+    bucketed by (count, token prefix) so no single task ranks all words."""
     words = (
         df.select(F.explode(F.split(F.col(text), " ")).alias("token"))
         .where(F.col("token") != "")
@@ -76,8 +76,9 @@ def build_vocabulary(df: DataFrame, text: str = "text", *, min_count: int = 1, d
         .agg(F.count(F.lit(1)).alias("count"))
         .where(F.col("count") >= min_count)
     )
-    # Bucket = -floor(log2(count)): non-decreasing along (count desc, token).
-    bucket = -F.floor(F.log2(F.col("count").cast("double"))).cast("int")
+    # Bucket (-count, first two characters of the token) is non-decreasing
+    # along (count desc, token), and splits the huge count-1 tail by prefix.
+    bucket = F.struct((-F.col("count")).alias("c"), F.substring("token", 1, 2).alias("p"))
     ranked = bucketed_rank(words, order=[F.col("count").desc(), F.col("token")], bucket=bucket, rank_col="rank")
     return ranked.select("token", (F.col("rank") + 1).cast("bigint").alias("token_id"), F.col("count").cast("bigint").alias("count"))
 

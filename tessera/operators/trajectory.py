@@ -178,22 +178,28 @@ def random_walk_noise(windows: DataFrame, window_length: int, dim: int, noise_st
     return g.select(*KEYS, "start", "j", "d", "noise").unionByName(zeros)
 
 
-def bucketed_cumsum(df: DataFrame, group_cols: list[str], order_col: str, value: str, out: str,
+def bucketed_cumsum(df: DataFrame, group_cols: list[str], order_col: str, value, out,
                     bucket_width: int = FRAME_BUCKET) -> DataFrame:
-    """Running sum of ``value`` along ``order_col`` within each group, computed
-    as per-bucket partial sums -> prefix offsets on the small bucket table ->
-    local running sums inside each bucket. Equal to the plain window sum."""
+    """Running sum(s) of ``value`` (a column name or a list) along the integer
+    ``order_col`` within each group, as per-bucket partial sums -> prefix
+    offsets on the small bucket table -> local running sums inside each
+    (group, bucket). Equal to the plain window sum, but no task ever holds
+    more than one bucket of one group."""
+    values = [value] if isinstance(value, str) else list(value)
+    outs = [out] if isinstance(out, str) else list(out)
     b = F.floor(F.col(order_col) / F.lit(bucket_width)).cast("bigint")
     with_b = df.withColumn("__b", b)
-    part = with_b.groupBy(*group_cols, "__b").agg(F.sum(value).alias("__s"))
+    part = with_b.groupBy(*group_cols, "__b").agg(*[F.sum(v).alias(f"__s{i}") for i, v in enumerate(values)])
     w_off = Window.partitionBy(*group_cols).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    offs = part.withColumn("__off", F.coalesce(F.sum("__s").over(w_off), F.lit(0.0))).drop("__s")
-    w_loc = Window.partitionBy(*group_cols, "__b").orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
-    return (
-        with_b.join(offs, on=group_cols + ["__b"])
-        .withColumn(out, F.col("__off") + F.sum(value).over(w_loc))
-        .drop("__b", "__off")
+    offs = part.select(
+        *group_cols, "__b",
+        *[F.coalesce(F.sum(f"__s{i}").over(w_off), F.lit(0)).alias(f"__off{i}") for i in range(len(values))],
     )
+    w_loc = Window.partitionBy(*group_cols, "__b").orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
+    joined = with_b.join(offs, on=group_cols + ["__b"])
+    for i, (v, o) in enumerate(zip(values, outs)):
+        joined = joined.withColumn(o, F.col(f"__off{i}") + F.sum(v).over(w_loc))
+    return joined.drop("__b", *[f"__off{i}" for i in range(len(values))])
 
 
 def integrate(long: DataFrame, acc_pred: DataFrame, seed_frames: int, value: str = "a") -> DataFrame:

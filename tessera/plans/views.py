@@ -62,11 +62,11 @@ def v_logits(spark: SparkSession, sf: str) -> DataFrame:
 def _event_order(ev: DataFrame, group: str = "user_id") -> DataFrame:
     """0-based position of each event in its group by ``(ts, event_id)``.
 
-    Bucketed by day, so one very active user is ranked in many tasks."""
+    Bucketed by hour, so one very active user is ranked in many tasks."""
     ranked = bucketed_rank(
         ev,
         order=[F.col("ts"), F.col("event_id")],
-        bucket=F.date_trunc("day", F.col("ts")),
+        bucket=F.date_trunc("hour", F.col("ts")),
         group_cols=[group],
         rank_col="__pos",
     )

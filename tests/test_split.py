@@ -41,3 +41,17 @@ def test_absolute_test_size(spark):
     s = stratified_split(vt, key="id", test_size=5)
     counts = [r["count"] for r in s.where(F.col("_split") == "test").groupBy("tag").count().collect()]
     assert set(counts) == {5}
+
+
+def test_unshuffled_split_takes_last_rows_by_key(spark):
+    vt = v_text(spark, SF)
+    s = stratified_split(vt, key="id", test_size=0.2, shuffle=False)
+    got = {r.id for r in s.where(F.col("_split") == "test").collect()}
+    want = set()
+    by_tag = {}
+    for r in vt.select("id", "tag").collect():
+        by_tag.setdefault(r.tag, []).append(r.id)
+    for ids in by_tag.values():
+        ids.sort()
+        want.update(ids[len(ids) - math.ceil(0.2 * len(ids)):])
+    assert got == want
