@@ -59,14 +59,19 @@ def v_logits(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _event_order(ev: DataFrame, group: str = "user_id") -> DataFrame:
+EVENT_BUCKET = "day"  # coarser buckets keep the count table small; use "hour" for very dense keys
+
+
+def _event_order(ev: DataFrame, group: str = "user_id", unit: str = EVENT_BUCKET) -> DataFrame:
     """0-based position of each event in its group by ``(ts, event_id)``.
 
-    Bucketed by hour, so one very active user is ranked in many tasks."""
+    Bucketed by ``unit`` of ``ts``, so one very active user is ranked in many
+    tasks while the (user, bucket) count table stays far smaller than the
+    events."""
     ranked = bucketed_rank(
         ev,
         order=[F.col("ts"), F.col("event_id")],
-        bucket=F.date_trunc("hour", F.col("ts")),
+        bucket=F.date_trunc(unit, F.col("ts")),
         group_cols=[group],
         rank_col="__pos",
     )
