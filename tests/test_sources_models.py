@@ -105,3 +105,38 @@ def test_streaming_summary_equals_batch(spark):
     a = sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in stream.select(*cols).collect())
     b = sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in batch.select(*cols).collect())
     assert a == b
+
+
+def test_model_artifact_versions_and_resolution(spark):
+    from tessera.session import scratch_path
+    from tessera.sources import store as ST
+
+    root = scratch_path(spark, "store-test")
+    train = spark.createDataFrame([(0, "a b c", "x"), (1, "d e f", "y")], "id long, text string, tag string")
+    model, _ = MD.fit_text_classifier(train, max_iter=5)
+    p0 = ST.log_model(spark, model, root, "clf")
+    p1 = ST.log_model(spark, model, root, "clf")
+    assert p0 != p1
+    arts = ST.versions_with_aliases(ST.read_artifacts(spark, root)).orderBy("version").collect()
+    assert [a.version for a in arts] == [0, 1] and "latest" in arts[1].aliases
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    ok, ref = ST.register_dataset(spark, docs, root, "docs", "raw_data")
+    assert ok and ref == "docs:latest"
+    assert ST.use_artifact(spark, root, "docs:latest").count() == docs.count()
+    ST.register_dataset(spark, docs, root, "docs", "raw_data")  # same digest: no new version
+    assert ST.read_artifacts(spark, root).where("name = 'docs'").count() == 1
+
+
+def test_map_groups_and_map_batches(spark):
+    from tessera.operators.udf import map_batches, map_groups
+
+    df = spark.createDataFrame([(1, 1.0), (1, 2.0), (2, 5.0)], "k long, v double")
+
+    def demean(pdf):
+        pdf["v"] = pdf["v"] - pdf["v"].mean()
+        return pdf
+
+    out = {(r.k, r.v) for r in map_groups(df, ["k"], demean, "k long, v double").collect()}
+    assert out == {(1, -0.5), (1, 0.5), (2, 0.0)}
+    doubled = map_batches(df, lambda pdf, f: pdf.assign(v=pdf["v"] * f), "k long, v double", f=2.0)
+    assert sorted(r.v for r in doubled.collect()) == [2.0, 4.0, 10.0]
