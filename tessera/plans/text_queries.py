@@ -627,3 +627,43 @@ def q_text_preprocess(spark, sf):
     model = ClassIndexer().fit(vt)
     classes = spark.createDataFrame(list(model.class_to_index.items()), "tag string, class_index long")
     return preprocess(vt, classes, keep=["id"]).select("id", "text", "tag", "class_index")
+
+
+# ---------------------------------------------------------------------------
+# Slices over the other text tables (benchmark items, conversation turns)
+
+@register(
+    "benchmark_slices",
+    f"""SELECT item_id, {sql_word_count('text')} < 8 AS short_text,
+  (contains(lower(text), 'transformer') OR contains(lower(text), 'llm') OR contains(lower(text), 'bert')) AS mentions_terms,
+  CAST({sql_word_count('text')} AS BIGINT) AS n_words FROM benchmark""",
+)
+def q_benchmark_slices(spark, sf):
+    """FP12 + ST-8 + ST-9 on the benchmark items."""
+    from tessera.functions.text import LLM_TERMS, any_term, slice_short_text, word_count
+    from tessera.sources.tables import table
+
+    b = table(spark, sf, "benchmark")
+    return b.select(
+        "item_id", slice_short_text(F.col("text")).alias("short_text"),
+        any_term(F.col("text"), LLM_TERMS).alias("mentions_terms"), word_count(F.col("text")).cast("bigint").alias("n_words"),
+    )
+
+
+@register(
+    "conversation_slice_counts",
+    f"""SELECT role, CAST(count(*) FILTER (WHERE {sql_word_count('text')} < 8) AS BIGINT) AS n_short,
+  CAST(count(*) AS BIGINT) AS n_turns, CAST(sum({sql_word_count('text')}) AS BIGINT) AS n_words
+FROM conversations GROUP BY role""",
+)
+def q_conversation_slice_counts(spark, sf):
+    """FP12 + ST-9 per conversation role: short turns and word totals."""
+    from tessera.functions.text import slice_short_text, word_count
+    from tessera.sources.tables import table
+
+    c = table(spark, sf, "conversations")
+    return c.groupBy("role").agg(
+        F.count_if(slice_short_text(F.col("text"))).cast("bigint").alias("n_short"),
+        F.count(F.lit(1)).cast("bigint").alias("n_turns"),
+        F.sum(word_count(F.col("text"))).cast("bigint").alias("n_words"),
+    )

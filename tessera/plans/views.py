@@ -22,7 +22,6 @@ POINT_RADIUS = 0.05
 POINT_BOUNDS = [[-0.4, 0.4], [-0.4, 0.4]]
 MESH_TYPES = 9
 SLICE_TAG = "en"
-SLICE_TERMS = ["the", "and", "of"]
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
