@@ -119,25 +119,38 @@ def window_counts(traj: DataFrame, window_length: int) -> DataFrame:
     return lengths(traj).withColumn("n_windows", F.greatest(F.col("T") - window_length + 1, F.lit(0)).cast("bigint"))
 
 
-def materialize_windows(traj: DataFrame, window_length: int, pos: str = "pos") -> DataFrame:
+def materialize_windows(traj: DataFrame, window_length: int, pos: str = "pos",
+                        bucket_width: int = FRAME_BUCKET) -> DataFrame:
     """WN2 + AR9 + AR10: one row per window ``(traj_id, particle, start)`` with
     ``hist`` (L-1 positions, oldest first) and ``target`` (the L-th).
 
-    Each frame is exploded into the (at most L) windows containing it and
-    grouped by window: a window never holds more than L rows, and windows
-    running past the end of a track have fewer than L rows and are dropped."""
+    One shuffle of about the input size: frames are bucketed per track, the
+    first L-1 frames of each bucket are also copied into the previous bucket
+    (halo), and ``collect_list`` over the next L rows inside (track, bucket)
+    yields each window; windows that run past the end of a track (or over a
+    missing frame) are dropped."""
     L = window_length
-    offs = F.sequence(F.lit(0), F.lit(L - 1))
-    exploded = traj.select(*KEYS, "frame", pos, F.explode(offs).alias("o")).withColumn(
-        "start", F.col("frame") - F.col("o")
-    ).where(F.col("start") >= 0)
-    grouped = exploded.groupBy(*KEYS, "start").agg(
-        F.array_sort(F.collect_list(F.struct(F.col("o"), F.col(pos).alias("p")))).alias("w")
+    B = bucket_width
+    if L > B:
+        raise ValueError("window longer than the frame bucket")
+    b = F.floor(F.col("frame") / F.lit(B)).cast("bigint")
+    p = F.col("frame") - b * F.lit(B)
+    targets = F.array(
+        F.struct(b.alias("bucket"), F.lit(False).alias("halo")),
+        F.when(p < F.lit(L - 1), F.struct((b - 1).alias("bucket"), F.lit(True).alias("halo"))),
+    )
+    rows = traj.select(*KEYS, "frame", pos, F.explode(F.filter(targets, lambda t: t.isNotNull())).alias("__t"))
+    w = Window.partitionBy(*KEYS, "__t.bucket").orderBy("frame").rowsBetween(0, L - 1)
+    win = rows.select(
+        *KEYS, "frame", F.col("__t.halo").alias("__halo"),
+        F.collect_list(F.struct(F.col("frame").alias("f"), F.col(pos).alias("p"))).over(w).alias("w"),
+    )
+    full = win.where(
+        ~F.col("__halo") & (F.size("w") == L) & (F.col("w")[L - 1]["f"] == F.col("frame") + F.lit(L - 1))
     )
-    full = grouped.where(F.size("w") == L)
     return full.select(
         *KEYS,
-        F.col("start").cast("bigint").alias("start"),
+        F.col("frame").cast("bigint").alias("start"),
         F.transform(F.slice("w", 1, L - 1), lambda s: s["p"]).alias("hist"),
         F.col("w")[L - 1]["p"].alias("target"),
     )
