@@ -266,3 +266,27 @@ def write_trajectories(df: DataFrame, path: str, split: str = "train", frames_pe
         types = particle_type.groupBy("traj_id").applyInPandas(write_types, "traj_id int, type_file string, type_offset long")
         manifest = manifest.join(types, "traj_id", "left")
     manifest.write.mode("overwrite").json(os.path.join(path, f"{split}_manifest"))
+
+
+MANIFEST_SCHEMA = (
+    "map<string, struct<position: struct<offset: bigint, shape: array<int>>, "
+    "particle_type: struct<offset: bigint>, step_context: struct<offset: bigint, shape: array<int>>>>"
+)
+
+
+def manifest_table(spark: SparkSession, path: str, split: str = "train") -> DataFrame:
+    """SC4 as a DataFrame: the offsets document read whole, parsed with
+    ``from_json`` as a map, exploded, keys cast to int; ``dim`` per trajectory
+    from its own shape (quirk Q9)."""
+    doc = spark.read.text(os.path.join(path, f"{split}_offset.json"), wholetext=True)
+    m = doc.select(F.explode(F.from_json("value", MANIFEST_SCHEMA)).alias("k", "v"))
+    return m.select(
+        F.col("k").cast("int").alias("traj_id"),
+        F.col("v.position.offset").alias("position_offset"),
+        F.col("v.position.shape")[0].alias("T"),
+        F.col("v.position.shape")[1].alias("N"),
+        F.col("v.position.shape")[2].alias("dim"),
+        F.col("v.particle_type.offset").alias("type_offset"),
+        F.col("v.step_context.offset").alias("context_offset"),
+        F.col("v.step_context.shape")[1].alias("context_dim"),
+    )

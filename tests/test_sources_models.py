@@ -140,3 +140,12 @@ def test_map_groups_and_map_batches(spark):
     assert out == {(1, -0.5), (1, 0.5), (2, 0.0)}
     doubled = map_batches(df, lambda pdf, f: pdf.assign(v=pdf["v"] * f), "k long, v double", f=2.0)
     assert sorted(r.v for r in doubled.collect()) == [2.0, 4.0, 10.0]
+
+
+def test_manifest_table(spark):
+    root = tempfile.mkdtemp(prefix="flat-")
+    trajs, _ = _write_reference_layout(root)
+    m = {r.traj_id: r for r in FT.manifest_table(spark, root, "test").collect()}
+    assert set(m) == set(trajs)
+    assert (m[1].T, m[1].N, m[1].dim) == trajs[1]
+    assert m[1].position_offset == 5 * 3 * 2 and m[0].context_dim == 1
