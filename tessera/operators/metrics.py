@@ -165,3 +165,16 @@ def metric_document(rows: DataFrame) -> DataFrame:
         F.max(F.when(F.col("scope") == "per_class", F.to_json("m"))).alias("per_class_json"),
         F.max(F.when(F.col("scope") == "slices", F.to_json("m"))).alias("slices_json"),
     )
+
+
+def join_coverage(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """JN7 strict check: keys matched, only-left and only-right counts (one
+    full outer join of the distinct keys, one aggregate row)."""
+    lk = left.select(key).distinct().withColumn("__l", F.lit(True))
+    rk = right.select(key).distinct().withColumn("__r", F.lit(True))
+    j = lk.join(rk, key, "full_outer")
+    return j.agg(
+        F.count_if(F.col("__l").isNotNull() & F.col("__r").isNotNull()).cast("bigint").alias("n_matched"),
+        F.count_if(F.col("__r").isNull()).cast("bigint").alias("n_only_left"),
+        F.count_if(F.col("__l").isNull()).cast("bigint").alias("n_only_right"),
+    )

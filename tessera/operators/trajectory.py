@@ -258,11 +258,17 @@ def frame_skip(traj: DataFrame, skip: int) -> DataFrame:
     ).drop("T")
 
 
-def stats_arrays(stats: DataFrame, dim: int) -> DataFrame:
-    """One row ``(acc_mean array, acc_std array)`` ordered by dimension (from a
-    ``dim``-row statistics table; safe to broadcast)."""
-    s = stats.agg(F.array_sort(F.collect_list(F.struct("d", "acc_mean", "acc_std"))).alias("s"))
-    return s.select(F.col("s.acc_mean").alias("acc_mean"), F.col("s.acc_std").alias("acc_std"))
+def stats_arrays(stats: DataFrame, dim: int) -> tuple[Column, Column]:
+    """Domain metadata (``acc_mean``, ``acc_std`` per dimension) as literal
+    array columns: the table has ``dim`` rows, so it is collected once and
+    inlined rather than joined to every row."""
+    rows = stats.orderBy("d").collect()
+    if len(rows) != dim:
+        raise ValueError(f"expected {dim} statistics rows, got {len(rows)}")
+    return (
+        F.array(*[F.lit(float(r["acc_mean"])) for r in rows]),
+        F.array(*[F.lit(float(r["acc_std"])) for r in rows]),
+    )
 
 
 def graph_sample_nodes(windows: DataFrame, stats: DataFrame, *, window_length: int, dim: int, noise_std: float,
@@ -298,10 +304,10 @@ def graph_sample_nodes(windows: DataFrame, stats: DataFrame, *, window_length: i
         F.sequence(F.lit(dim), F.lit((L - 1) * dim - 1)),
         lambda i: F.col("s")[i]["xn"] - F.col("s")[i - dim]["xn"],
     )
-    sv = stats_arrays(stats, dim)
-    out = per.crossJoin(F.broadcast(sv)).select(
+    acc_mean, acc_std = stats_arrays(stats, dim)
+    out = per.select(
         *KEYS, "start", recent.alias("recent"), prev.alias("prev"), pn_last.alias("pn_last"), "target",
-        vflat.alias("vflat"), "acc_mean", "acc_std",
+        vflat.alias("vflat"), acc_mean.alias("acc_mean"), acc_std.alias("acc_std"),
     )
     next_v = F.zip_with(F.zip_with("target", "pn_last", lambda t, n: t + n), "recent", lambda a, r: a - r)
     last_v = F.zip_with("recent", "prev", lambda r, p: r - p)

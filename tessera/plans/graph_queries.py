@@ -360,9 +360,9 @@ def q_mesh_normalize_roundtrip(spark, sf):
     from tessera.functions.arrays import normalize, unnormalize
 
     nodes = v_mesh(spark, sf).select("node", F.concat("velocity", "onehot").alias("x"))
-    sv = M.stats_vectors(M.feature_stats(nodes, "x"))
-    n = nodes.crossJoin(F.broadcast(sv)).withColumn("xn", normalize("x", "mean", "std"))
-    n = n.withColumn("x_back", unnormalize("xn", "mean", "std"))
+    mean, std = M.stats_literals(M.feature_stats(nodes, "x"))
+    n = nodes.withColumn("xn", normalize("x", mean, std))
+    n = n.withColumn("x_back", unnormalize("xn", mean, std))
     long = n.select("node", F.posexplode(F.arrays_zip("xn", "x_back")).alias("i", "s")).where(F.col("i") < 2)
     return long.select(
         "node", F.col("i").cast("int").alias("i"), F.round("s.xn", 9).alias("xn"), F.round("s.x_back", 9).alias("x_back")

@@ -89,8 +89,11 @@ def q_dataset_versions(spark, sf):
     ST.register_dataset(spark, docs.where(F.col("lang") != "es"), root, "documents", "raw_data")
     latest = ST.use_artifact(spark, root, "documents:latest")
     arts = ST.versions_with_aliases(ST.read_artifacts(spark, root))
-    n_latest = latest.agg(F.count(F.lit(1)).alias("n_latest"))
-    return arts.select("name", "type", "version", "n_rows", F.array_join("aliases", ",").alias("aliases")).crossJoin(n_latest)
+    n_latest = latest.count()
+    return arts.select(
+        "name", "type", "version", "n_rows", F.array_join("aliases", ",").alias("aliases"),
+        F.lit(n_latest).cast("bigint").alias("n_latest"),
+    )
 
 
 @register("metric_document_json")

@@ -667,3 +667,19 @@ def q_conversation_slice_counts(spark, sf):
         F.count(F.lit(1)).cast("bigint").alias("n_turns"),
         F.sum(word_count(F.col("text"))).cast("bigint").alias("n_words"),
     )
+
+
+@register(
+    "labels_join_coverage",
+    """SELECT
+  CAST((SELECT count(DISTINCT d.doc_id) FROM documents d WHERE d.doc_id IN (SELECT doc_id FROM labels)) AS BIGINT) AS n_matched,
+  CAST((SELECT count(DISTINCT d.doc_id) FROM documents d WHERE d.doc_id NOT IN (SELECT doc_id FROM labels)) AS BIGINT) AS n_only_left,
+  CAST((SELECT count(DISTINCT l.doc_id) FROM labels l WHERE l.doc_id NOT IN (SELECT doc_id FROM documents)) AS BIGINT) AS n_only_right""",
+)
+def q_labels_join_coverage(spark, sf):
+    """JN7 strict check: documents vs quality labels matched by key, and the
+    keys present on one side only (left anti both ways)."""
+    from tessera.operators.metrics import join_coverage
+    from tessera.sources.tables import table
+
+    return join_coverage(table(spark, sf, "documents"), table(spark, sf, "labels"), "doc_id")
