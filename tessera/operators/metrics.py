@@ -157,8 +157,9 @@ def metric_rows(
 def metric_document(rows: DataFrame) -> DataFrame:
     """AG8 + AR12 (nested form): one row ``overall struct, per_class map, slices map``."""
     m = F.struct("precision", "recall", "f1", "num_samples")
+    # entries sorted by key: the document does not depend on partitioning
     per_scope = rows.groupBy("scope").agg(
-        F.map_from_entries(F.collect_list(F.struct("key", m))).alias("m")
+        F.map_from_entries(F.array_sort(F.collect_list(F.struct("key", m)))).alias("m")
     )
     return per_scope.agg(
         F.max(F.when(F.col("scope") == "overall", F.col("m")["overall"])).alias("overall"),
