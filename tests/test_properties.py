@@ -133,3 +133,16 @@ def test_halo_neighbours_equal_plain_lag_lead(spark):
         ~F.col("prev_1").eqNullSafe(F.col("p1")) | ~F.col("prev_2").eqNullSafe(F.col("p2")) | ~F.col("next_1").eqNullSafe(F.col("n1"))
     )
     assert bad.count() == 0
+
+
+def test_flagship_independent_of_partitioning(spark):
+    from tessera.plans.text_eval import evaluate_text
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        a = sorted(evaluate_text(spark, SF_CHECK).collect())
+        spark.conf.set("spark.sql.shuffle.partitions", "3")
+        b = sorted(evaluate_text(spark, SF_CHECK).collect())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert a == b
