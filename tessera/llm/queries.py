@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tessera.llm import licenses, packing, quality, simhash
+from tessera.llm import ann, classifier, html, language, licenses, mixing, packing, quality, simhash, toxicity
 from tessera.llm.common import table
 
 
@@ -14,6 +15,15 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(table(spark, sf_dir, "documents"))
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language.identify(docs, language.fit(docs))
+
+
+def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_sources(table(spark, sf_dir, "documents"))
+
+
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -22,12 +32,40 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"), with_text=False)
 
 
+def op6_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), packing.vocabulary_path())
 
 
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return classifier.classify(docs, classifier.fit(docs))
+
+
 QUERIES: dict[str, Callable] = {
     f.__name__: f
-    for f in (op1_license_scan, op4_simhash_near_dedup, op5_quality_rules, op9_best_fit_packing)
+    for f in (
+        op1_license_scan,
+        op2_language_id,
+        op3_mix_sources,
+        op4_simhash_near_dedup,
+        op5_quality_rules,
+        op6_nearest_neighbours,
+        op7_toxicity,
+        op8_html_extraction,
+        op9_best_fit_packing,
+        op10_quality_classifier,
+    )
 }
 ORACLE: dict[str, str] = {"op1_license_scan": licenses.oracle_sql()}
