@@ -1,12 +1,12 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
 Words become symbols (insult, threat verb, intent, target, negation, report,
-end of clause). Five small transducers rewrite and weigh the symbols: threats
+end of clause). The words of the symbols are given; further insults are learned as
+beginnings of words, from one half of a bounded sample of the labelled rows. Five small transducers rewrite and weigh the symbols: threats
 become hits after a word of intent, insults are hits, a target near a hit adds
 weight, negation and reported speech take weight away. Their composition is one
 table, run over the clauses that can match. A text's features are the weights of
-its matched clauses; their calibration is learned from a bounded sample of the
-labelled rows.
+its matched clauses; their calibration is learned from the sample's other half.
 """
 
 from __future__ import annotations
@@ -38,8 +38,6 @@ LEXICON = {
 }
 SYMBOLS = ("word", *LEXICON, "hit", "end")
 SYMBOL_OF = {w: s for s, words in LEXICON.items() for w in words.split()}
-#: A clause without one of these cannot match.
-_HITS = frozenset(w for w, s in SYMBOL_OF.items() if s in ("insult", "threat"))
 _CLAUSE = re.compile(r"[.!?;:\n]+")
 _WORD = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?")
 
@@ -116,17 +114,36 @@ def _report(q: int, s: str):
 GRAMMAR = reduce(compose, [machine(4, _threat), machine(1, _insult), machine(5, _target), machine(3, _negation), machine(2, _report)])
 
 
-def features(text: str | None) -> tuple[float, float, float]:
+#: Lengths of learned beginnings; a whole word is written with a blank behind it.
+STEMS = range(4, 9)
+
+
+def stems_of(word: str) -> list[str]:
+    """Beginnings of a word that can be learned, and the whole word."""
+    return [*(word[:k] for k in STEMS if k < len(word)), word + " "]
+
+
+def _symbols(words: set[str], learned: frozenset[str]) -> dict[str, str]:
+    """The symbols of those words that have one."""
+    found = {w: SYMBOL_OF[w] for w in words & SYMBOL_OF.keys()}
+    if learned:
+        found.update((w, "insult") for w in words - found.keys() if not learned.isdisjoint(stems_of(w)))
+    return found
+
+
+def features(text: str | None, learned: frozenset[str] = frozenset()) -> tuple[float, float, float]:
     """(log of the summed weight, largest weight, log of the matched clauses)."""
     low = (text or "").lower()
-    if _HITS.isdisjoint(_WORD.findall(low)):
+    symbols = _symbols(set(_WORD.findall(low)), learned)
+    hits = {w for w, s in symbols.items() if s in ("insult", "threat")}
+    if not hits:
         return 0.0, 0.0, 0.0
     total, top, clauses = 0.0, 0.0, 0
     for clause in _CLAUSE.split(low):
         words = _WORD.findall(clause)
-        if _HITS.isdisjoint(words):
+        if hits.isdisjoint(words):
             continue
-        found = GRAMMAR.run([SYMBOL_OF.get(w, "word") for w in words])
+        found = GRAMMAR.run([symbols.get(w, "word") for w in words])
         if any(found):
             total, top, clauses = total + sum(found), max(top, *found), clauses + 1
     return float(np.log1p(total)), top, float(np.log1p(clauses))
@@ -134,12 +151,40 @@ def features(text: str | None) -> tuple[float, float, float]:
 
 @dataclass(frozen=True)
 class Settings:
-    #: About so many labelled rows calibrate the weights.
+    #: About so many labelled rows are learned from.
     sample: int = 20_000
+    #: A learned beginning stands in so many toxic texts at least ...
+    min_toxic: int = 6
+    #: ... and in at most so many others for each of them.
+    max_clean: float = 0.02
+    max_learned: int = 2_000
     #: Calibration without any labelled row of either kind.
     default: tuple[float, ...] = (1.0, 2.0, 0.5, -2.0)
 
 
+def learn_insults(rows: DataFrame, settings: Settings) -> frozenset[str]:
+    """Beginnings of words (text, y) that hardly any but toxic texts hold.
+
+    Equal texts count once. Of a beginning and a longer one, the shorter stays.
+    """
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for text, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                found = sorted({p for w in set(_WORD.findall((text or "").lower())) if w not in SYMBOL_OF for p in stems_of(w)})
+                yield pa.RecordBatch.from_arrays([pa.array(found, pa.string()), pa.array([y] * len(found), pa.float64())], names=["stem", "y"])
+
+    distinct = rows.groupBy("text").agg(F.max("y").alias("y"))
+    made = distinct.mapInArrow(each, "stem string, y double").groupBy("stem").agg(F.sum("y").alias("toxic"), F.sum(1 - F.col("y")).alias("clean"))
+    good = (F.col("toxic") >= settings.min_toxic) & (F.col("clean") <= settings.max_clean * F.col("toxic"))
+    top = made.where(good).orderBy(F.desc("toxic"), "stem").limit(settings.max_learned).collect()
+    kept: set[str] = set()
+    for stem in sorted((r["stem"] for r in top), key=lambda x: (len(x), x)):
+        if not any(stem[:k] in kept for k in STEMS if k < len(stem)):
+            kept.add(stem)
+    return frozenset(kept)
+
+
 def score(
     docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic"
 ) -> DataFrame:
@@ -158,18 +203,25 @@ def score(
     prepare(spark)
     kind = docs.schema[id_col].dataType.simpleString()
 
+    known = labels.select(F.col(id_col).alias("known"), F.col(label_col).alias("y")).where("y is not null")
+    known = known.where(fold_of(F.col("known")) != 0).groupBy("known").agg((F.max("y") > 0).cast("double").alias("y"))
+    known = materialize(threshold_sample(known, F.col("known"), settings.sample, known.count()))
+    # about settings.sample ids: small enough to be sent to the texts
+    sample = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(known), F.col("id") == F.col("known"))
+    first_half = F.pmod(F.xxhash64("id", F.lit("half")), F.lit(2)) == 0
+    learned = learn_insults(sample.where(first_half).select("text", "y"), settings)
+
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x = np.array([features(t) for t in b.column(1).to_pylist()]).reshape(-1, 3)
+            x = np.array([features(t, learned) for t in b.column(1).to_pylist()]).reshape(-1, 3)
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(x[:, k]) for k in range(3))], names=["id", "x0", "x1", "x2"])
 
     made = docs.select(id_col, text_col).mapInArrow(measure, f"id {kind}, x0 double, x1 double, x2 double")
     made = materialize(made.withColumn("fold", fold_of(F.col("id"))))
-    known = labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("y")).where("y is not null")
-    known = known.where(fold_of(F.col("id")) != 0).groupBy("id").agg((F.max("y") > 0).cast("double").alias("y"))
-    # equal ids are counted once, so a repeated id is no hot key
-    train = made.where("fold != 0").dropDuplicates(["id"]).join(known, "id").select("id", "x0", "x1", "x2", "y")
-    found = threshold_sample(train, F.col("id"), settings.sample, train.count()).sort("id").toArrow()
+    # of repeated ids one row is learned from
+    train = made.join(F.broadcast(known), F.col("id") == F.col("known")).where(~first_half)
+    train = train.groupBy("id").agg(*(F.max(c).alias(c) for c in ("x0", "x1", "x2", "y")))
+    found = train.sort("id").toArrow()
     x = np.column_stack([found.column(c).to_numpy() for c in ("x0", "x1", "x2")])
     y = found.column("y").to_numpy()
     weights = fit_logistic(x, y) if 0 < y.sum() < len(y) else np.array(settings.default)
