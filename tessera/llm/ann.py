@@ -31,7 +31,7 @@ class Settings:
     #: Vectors that a leaf should hold.
     leaf: int = 512
     #: Share of the leaves of the whole forest that a query visits.
-    probe: float = 0.4
+    probe: float = 0.5
     #: About so many vectors build the trees; the bound of what the driver holds.
     sample: int = 20_000
     seed: int = 42
