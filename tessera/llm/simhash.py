@@ -229,7 +229,8 @@ def components(made: DataFrame, id_col: str, max_bits: int) -> DataFrame:
     labelled = classes.join(root, classes["fp"] == root["node"], "left").select(
         "fp", "first", F.coalesce("root", "fp").alias("label")
     )
-    least = labelled.groupBy("label").agg(F.min("first").alias("component_id"))
+    # written first, so that the join has shuffles of its own and a large component can be split
+    least = materialize(labelled.groupBy("label").agg(F.min("first").alias("component_id")))
     return labelled.join(least, "label").select(F.col("fp").alias("class_fp"), "label", "component_id")
 
 
