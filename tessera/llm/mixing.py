@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from tessera.llm.common import materialize, prepare
 
 #: Rows of one leaf that a window partition sorts.
-BUCKET_ROWS = 1_000
+BUCKET_ROWS = 256
 _STEPS = 1 << 30
 #: Stands for null in a level of the tree.
 NONE = "(none)"
