@@ -7,21 +7,24 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The default English stop-word list, in its original order.
-# Results must match the reference's cleaning exactly, so the list is kept as is.
-STOPWORDS = (
-    "i me my myself we our ours ourselves you you're you've you'll you'd your yours yourself "
-    "yourselves he him his himself she she's her hers herself it it's its itself they them their "
-    "theirs themselves what which who whom this that that'll these those am is are was were be "
-    "been being have has had having do does did doing a an the and but if or because as until "
-    "while of at by for with about against between into through during before after above below "
-    "to from up down in out on off over under again further then once here there when where why "
-    "how all any both each few more most other some such no nor not only own same so than too "
-    "very s t can will just don don't should should've now d ll m o re ve y ain aren aren't "
-    "couldn couldn't didn didn't doesn doesn't hadn hadn't hasn hasn't haven haven't isn isn't ma "
-    "mightn mightn't mustn mustn't needn needn't shan shan't shouldn shouldn't wasn wasn't weren "
-    "weren't won won't wouldn wouldn't"
-).split()
+# The default English stop-word list, in its original order;
+# results must equal the reference's.
+STOPWORDS = [
+    "i", "me", "my", "myself", "we", "our", "ours", "ourselves", "you", "you're", "you've", "you'll", "you'd", "your",
+    "yours", "yourself", "yourselves", "he", "him", "his", "himself", "she", "she's", "her", "hers", "herself", "it",
+    "it's", "its", "itself", "they", "them", "their", "theirs", "themselves", "what", "which", "who", "whom", "this",
+    "that", "that'll", "these", "those", "am", "is", "are", "was", "were", "be", "been", "being", "have", "has",
+    "had", "having", "do", "does", "did", "doing", "a", "an", "the", "and", "but", "if", "or", "because", "as",
+    "until", "while", "of", "at", "by", "for", "with", "about", "against", "between", "into", "through", "during",
+    "before", "after", "above", "below", "to", "from", "up", "down", "in", "out", "on", "off", "over", "under",
+    "again", "further", "then", "once", "here", "there", "when", "where", "why", "how", "all", "any", "both", "each",
+    "few", "more", "most", "other", "some", "such", "no", "nor", "not", "only", "own", "same", "so", "than", "too",
+    "very", "s", "t", "can", "will", "just", "don", "don't", "should", "should've", "now", "d", "ll", "m", "o", "re",
+    "ve", "y", "ain", "aren", "aren't", "couldn", "couldn't", "didn", "didn't", "doesn", "doesn't", "hadn", "hadn't",
+    "hasn", "hasn't", "haven", "haven't", "isn", "isn't", "ma", "mightn", "mightn't", "mustn", "mustn't", "needn",
+    "needn't", "shan", "shan't", "shouldn", "shouldn't", "wasn", "wasn't", "weren", "weren't", "won", "won't",
+    "wouldn", "wouldn't",
+]
 
 # ASCII punctuation padded by the cleaner, and the slice terms.
 PUNCTUATION_CLASS = r"""([!"'#$%&()*\+,-./:;<=>?@\\\[\]^_`{|}~])"""
@@ -31,7 +34,10 @@ NLP_TAG = "natural-language-processing"
 # A "word character" as Python's Unicode ``\w`` defines it (letters, numbers,
 # underscore). Java's (?U)\w also admits combining marks, so it is spelled out.
 WORD = r"[\p{L}\p{N}_]"
-TOKEN_PATTERN = rf"({WORD}+|[^\p{{L}}\p{{N}}_]+)"
+# White space as Python's Unicode ``\s`` defines it, as a class and in full.
+SPACE = r"[\t-\r\x1c- \x85\p{Z}]"
+SPACE_CHARS = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
+TOKEN_PATTERN = rf"({WORD}+{SPACE}*|[^\p{{L}}\p{{N}}_]+)"
 _WORD_RE = re.compile(r"^\w+$")
 
 
@@ -59,20 +65,21 @@ def effective_stopwords(stopwords) -> list[str] | None:
 
 
 def remove_stopwords(text: Column, stopwords=STOPWORDS) -> Column:
-    """ST-2 on lower-cased text: every stop word (a whole Unicode word run) is
-    replaced by a space. Tokenizes into word / non-word runs and drops listed
-    words with a hash-set ``IN``; falls back to the alternation regex for
-    lists whose entries span non-word characters."""
+    """ST-2 on lower-cased text: every stop word (a whole Unicode word run)
+    and the white space after it become one space. Tokenizes into words with
+    their white space and runs of other characters and drops listed words
+    with a hash-set ``IN``; falls back to the alternation regex (entries
+    quoted) for lists whose entries span non-word characters."""
     live = effective_stopwords(list(stopwords))
     if live is None:
-        pattern = r"(?U)\b(" + "|".join(stopwords) + r")\b\s*"
+        pattern = r"(?U)\b(" + "|".join(re.escape(w) for w in stopwords) + rf")\b{SPACE}*"
         return F.regexp_replace(text, pattern, " ")
     if not live:
         return text
     tokens = F.regexp_extract_all(text, F.lit(TOKEN_PATTERN), 1)
     stopset = [F.lit(w) for w in dict.fromkeys(live)]
-    kept = F.transform(tokens, lambda t: F.when(t.isin(*stopset), F.lit(" ")).otherwise(t))
-    return F.array_join(kept, "")
+    listed = lambda t: F.rtrim(t, F.lit(SPACE_CHARS)).isin(*stopset)
+    return F.array_join(F.transform(tokens, lambda t: F.when(listed(t), F.lit(" ")).otherwise(t)), "")
 
 
 def pad_punctuation(text: Column) -> Column:

@@ -15,11 +15,18 @@ from pyspark.sql import functions as F
 
 from tessera.functions.hashing import hash_hex
 
-_B = "__bucket"
+_K = "__bucket_key"
 _OFF = "__offset"
 _N = "__group_n"
 
 
+def null_safe_key(group_cols: list[str], bucket: Column) -> Column:
+    """One struct of the group columns (``g0``, ``g1``, ...) and the bucket
+    (``b``). Structs compare NULL fields as equal, so grouping, joining and
+    windowing on it keep rows with NULL keys and share one partitioning."""
+    return F.struct(*[F.col(c).alias(f"g{i}") for i, c in enumerate(group_cols)], bucket.alias("b"))
+
+
 def bucketed_rank(
     df: DataFrame,
     *,
@@ -33,31 +40,31 @@ def bucketed_rank(
     group when ordered by ``order``.
 
     ``bucket`` must be non-decreasing along ``order`` (a prefix of an md5
-    order key, a time bucket of an event-time order, ...). ``size_col``
+    order key, a time bucket of an event-time order, ...); a NULL bucket sorts
+    first. NULL group values form a group of their own. ``size_col``
     optionally adds the group row count. The (group, bucket) count table is
     joined back without a hint: AQE broadcasts it after measuring it and
     otherwise uses a shuffle join on exactly the keys the window needs, so
     the window reuses that partitioning.
     """
-    group_cols = list(group_cols or [])
     order_cols = [F.col(c) if isinstance(c, str) else c for c in order]
-    with_b = df.withColumn(_B, bucket)
-    counts = with_b.groupBy(*group_cols, _B).agg(F.count(F.lit(1)).alias("__cnt"))
+    with_b = df.withColumn(_K, null_safe_key(list(group_cols or []), bucket))
+    counts = with_b.groupBy(_K).agg(F.count(F.lit(1)).alias("__cnt"))
+    group = [F.col(_K).getField(f"g{i}") for i in range(len(group_cols or []))]
     w_cum = (
-        Window.partitionBy(*group_cols)
-        .orderBy(_B)
+        Window.partitionBy(*group)
+        .orderBy(F.col(_K).getField("b"))
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     offsets = counts.withColumn(_OFF, F.coalesce(F.sum("__cnt").over(w_cum), F.lit(0)))
     if size_col:
-        offsets = offsets.withColumn(_N, F.sum("__cnt").over(Window.partitionBy(*group_cols)))
-    offsets = offsets.drop("__cnt")
-    joined = with_b.join(offsets, on=group_cols + [_B], how="inner")
-    w_local = Window.partitionBy(*group_cols, _B).orderBy(*order_cols)
+        offsets = offsets.withColumn(_N, F.sum("__cnt").over(Window.partitionBy(*group)))
+    joined = with_b.join(offsets.drop("__cnt"), on=_K, how="inner")
+    w_local = Window.partitionBy(_K).orderBy(*order_cols)
     out = joined.withColumn(rank_col, (F.col(_OFF) + F.row_number().over(w_local)).cast("bigint"))
     if size_col:
         out = out.withColumn(size_col, F.col(_N).cast("bigint")).drop(_N)
-    return out.drop(_B, _OFF)
+    return out.drop(_K, _OFF)
 
 
 def hash_rank(

@@ -1,5 +1,5 @@
-"""Mesh / node-table statistics and losses (AG9, AG10, AG13, AG15-AG17,
-AG21, FP9, FP10, FP15, SM1, SM2, SM7, WN11).
+"""Mesh / node-table statistics and losses (AG9, AG13, AG15-AG17, AG21, FP9,
+FP10, FP15, SM1, SM2, SM7).
 
 Nodes carry fixed-width vectors (``velocity``, ``onehot``, ``y``, ``pred``);
 every statistic is a grouped aggregate with partial aggregation.
@@ -11,8 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.arrays import normalize, sq_error, vadd, vscale
-from tessera.operators.core import bucketed_rank, hash_rank
-from tessera.operators.trajectory import bucketed_cumsum
+from tessera.operators.core import hash_rank
 
 EPS = 1e-8
 NORMAL, OUTFLOW = 0, 5
@@ -29,13 +28,6 @@ def feature_stats(df: DataFrame, vec: str, *, eps: float = EPS) -> DataFrame:
     ).withColumn("i", F.col("i").cast("int"))
 
 
-def stats_vectors(stats: DataFrame) -> DataFrame:
-    """One row ``(mean array, std array)`` ordered by component (width rows in)."""
-    return stats.agg(F.array_sort(F.collect_list(F.struct("i", "mean", "std"))).alias("s")).select(
-        F.col("s.mean").alias("mean"), F.col("s.std").alias("std")
-    )
-
-
 def stats_literals(stats: DataFrame) -> tuple[Column, Column]:
     """The per-component statistics as literal array columns. The table has
     one row per vector component (bounded by the feature width), so it is
@@ -46,21 +38,6 @@ def stats_literals(stats: DataFrame) -> tuple[Column, Column]:
     return mean, std
 
 
-def early_stop_samples(df: DataFrame, *, sample: str = "sample", limit: int = 10**6,
-                       counts: dict[str, Column] | None = None) -> DataFrame:
-    """AG10 + WN11: samples (in ``sample`` order) taken by a loop that stops
-    *after* the sample pushing any running row count above ``limit``:
-    a sample is kept when every running count *before* it is ``<= limit``.
-    ``counts`` maps a name to a per-row count expression (default: nodes)."""
-    counts = counts or {"n": F.lit(1)}
-    per = df.groupBy(sample).agg(*[F.sum(c).cast("double").alias(k) for k, c in counts.items()])
-    keep = F.lit(True)
-    for k in counts:
-        per = bucketed_cumsum(per.withColumn("__g", F.lit(0)), ["__g"], sample, k, f"__cum_{k}", bucket_width=4096).drop("__g")
-        keep = keep & ((F.col(f"__cum_{k}") - F.col(k)) <= F.lit(limit))
-    return per.where(keep).select(sample)
-
-
 def loss_mask(node_type: Column) -> Column:
     """FP9: nodes of type normal (0) or outflow (5)."""
     return node_type.isin(NORMAL, OUTFLOW)
@@ -127,13 +104,8 @@ def value_bounds(nodes: DataFrame, fields: list[str]) -> DataFrame:
     return long.groupBy("field").agg(F.min("x").alias("vmin"), F.max("x").alias("vmax"))
 
 
-def train_test_samples(nodes: DataFrame, *, train_size: int, test_size: int, sample: str = "sample",
-                       seed: int = 0) -> DataFrame:
-    """FP10: the first ``train + test`` samples in stored order, shuffled by
-    the seeded hash, then the first ``train`` are train and the rest test."""
-    samples = nodes.select(sample).distinct()
-    first = bucketed_rank(
-        samples, order=[F.col(sample)], bucket=F.floor(F.col(sample) / F.lit(4096)), rank_col="__pos"
-    ).where(F.col("__pos") <= train_size + test_size).drop("__pos")
-    ranked = hash_rank(first, sample, seed, rank_col="__r")
-    return ranked.select(sample, F.when(F.col("__r") <= train_size, "train").otherwise("test").alias("split"))
+def train_test_samples(nodes: DataFrame, *, test_size: int, sample: str = "sample", seed: int = 0) -> DataFrame:
+    """FP10: every sample gets a split: the first ``test_size`` of the seeded
+    shuffle are test, all others train."""
+    ranked = hash_rank(nodes.select(sample).distinct(), sample, seed, rank_col="__r")
+    return ranked.select(sample, F.when(F.col("__r") <= test_size, "test").otherwise("train").alias("split"))

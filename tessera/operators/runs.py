@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 from tessera.operators.core import bucketed_rank, interval_hit
 
 
+_RETENTION_SALTS = 32
+
+
 class EmptyResultError(ValueError):
     pass
 
@@ -61,18 +64,26 @@ def cleanup_sets(runs: DataFrame, tag: str = "delete", id_col: str = "run_id") -
 
 def retention(artifacts: DataFrame, *, artifact_type: str | None = None, id_col: str = "run_id",
               type_col: str = "type", ts_col: str = "created_at", tiebreak: list[str] | None = None) -> DataFrame:
-    """SK8 + WN9: keep the newest artifact per (run, type) and mark the rest
-    ``delete``. "Newest" = max of ``(created_at, *tiebreak)``, computed by an
-    aggregate (partial, skew-safe) and joined back instead of a window."""
-    tiebreak = list(tiebreak or [])
+    """SK8 + WN9: keep exactly one artifact per (run, type), the newest, and
+    mark the rest ``delete``. "Newest" = max of ``(created_at, *tiebreak)``;
+    rows that still tie are told apart by a hash of the row, equal rows by an
+    arbitrary order. NULL runs and types are groups of their own.
+
+    A group is dealt over ``_RETENTION_SALTS`` tasks by the row hash, each
+    names its own newest row, and an aggregate picks among those, so one run
+    with a third of all artifacts is never sorted in one task."""
     a = artifacts if artifact_type is None else artifacts.where(F.col(type_col) == F.lit(artifact_type))
-    order_key = F.struct(F.col(ts_col), *[F.col(c) for c in tiebreak])
-    newest = a.groupBy(id_col, type_col).agg(F.max(order_key).alias("__newest"))
-    return (
-        a.join(newest, on=[id_col, type_col], how="inner")
-        .withColumn("action", F.when(order_key == F.col("__newest"), F.lit("keep")).otherwise(F.lit("delete")))
-        .drop("__newest")
-    )
+    columns = a.columns
+    a = a.withColumns({
+        "__k": F.struct(F.col(id_col).alias("id"), F.col(type_col).alias("type")),
+        "__o": F.struct(F.col(ts_col).alias("o0"), *[F.col(c).alias(f"o{i}") for i, c in enumerate(tiebreak or [], 1)]),
+        "__h": F.xxhash64(*columns),
+    })
+    salted = Window.partitionBy("__k", F.pmod("__h", F.lit(_RETENTION_SALTS))).orderBy(F.desc("__o"), F.desc("__h"))
+    a = a.withColumn("__first", F.row_number().over(salted) == 1)
+    newest = a.where("__first").groupBy("__k").agg(F.max(F.struct("__o", "__h")).alias("__newest"))
+    keep = F.col("__first") & (F.struct("__o", "__h") == F.col("__newest"))
+    return a.join(newest, on="__k").select(*columns, F.when(keep, F.lit("keep")).otherwise(F.lit("delete")).alias("action"))
 
 
 def retention_rank(artifacts: DataFrame, *, id_col: str = "run_id", type_col: str = "type",
@@ -81,7 +92,7 @@ def retention_rank(artifacts: DataFrame, *, id_col: str = "run_id", type_col: st
     ``created_at`` (descending), so one run with most artifacts is ranked in
     many tasks."""
     order = [F.col(ts_col).desc()] + [F.col(c).desc() for c in tiebreak or []]
-    bucket = -_day_number(F.col(ts_col))
+    bucket = F.coalesce(-_day_number(F.col(ts_col)), F.lit(2**62))  # NULL is the oldest
     return bucketed_rank(artifacts, order=order, bucket=bucket, group_cols=[id_col, type_col], rank_col="rank")
 
 
@@ -179,10 +190,13 @@ def interval_steps(history: DataFrame, interval, step: str = "step") -> DataFram
 
 def best_checkpoint(history: DataFrame, *, run: str = "run_id", step: str = "step", loss: str = "loss") -> DataFrame:
     """SK5: per run the step with the lowest loss (ties: earliest step), then
-    the overall best run. Both are aggregates (no sort of the history)."""
-    per_run = history.groupBy(run).agg(F.min(F.struct(F.col(loss).alias("loss"), F.col(step).alias("step"))).alias("b"))
+    the overall best run. Both are aggregates (no sort of the history). NULL
+    losses never win: a run of NULL losses only has NULL best values."""
+    measured = F.struct(F.col(loss).alias("loss"), F.col(step).alias("step"))
+    per_run = history.groupBy(run).agg(F.min(F.when(F.col(loss).isNotNull(), measured)).alias("b"))
     per_run = per_run.select(run, F.col("b.loss").alias("best_loss"), F.col("b.step").alias("best_step"))
-    overall = per_run.agg(F.min(F.struct("best_loss", run)).alias("o")).select(F.col("o." + run).alias("__best"))
+    overall = per_run.where(F.col("best_loss").isNotNull()).agg(F.min(F.struct("best_loss", run)).alias("o"))
+    overall = overall.select(F.col("o." + run).alias("__best"))
     return per_run.join(F.broadcast(overall), on=F.col(run) == F.col("__best"), how="left").withColumn(
         "is_best", F.col("__best").isNotNull()
     ).drop("__best")

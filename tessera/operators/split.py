@@ -35,6 +35,7 @@ def stratified_split(
     elif isinstance(df.schema[key].dataType, T.NumericType):
         # last rows by key: rank by key descending, bucketed by key range
         bucket = -F.floor(F.col(key).cast("double") / F.lit(float(1 << 16))).cast("bigint")
+        bucket = F.coalesce(bucket, F.lit(2**62))  # a NULL key comes last in descending order
         ranked = bucketed_rank(df, order=[F.col(key).desc()], bucket=bucket, group_cols=[stratify],
                                rank_col="__r", size_col="__n")
     else:

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.hashing import hash_gaussian
+from tessera.operators.core import null_safe_key
 
 KEYS = ["traj_id", "particle"]
 FRAME_BUCKET = 1024
@@ -197,22 +198,25 @@ def bucketed_cumsum(df: DataFrame, group_cols: list[str], order_col: str, value,
     ``order_col`` within each group, as per-bucket partial sums -> prefix
     offsets on the small bucket table -> local running sums inside each
     (group, bucket). Equal to the plain window sum, but no task ever holds
-    more than one bucket of one group."""
+    more than one bucket of one group. NULL values add nothing (a sum of
+    none is 0); NULL group values form a group; rows with a NULL order come
+    first."""
     values = [value] if isinstance(value, str) else list(value)
     outs = [out] if isinstance(out, str) else list(out)
     b = F.floor(F.col(order_col) / F.lit(bucket_width)).cast("bigint")
-    with_b = df.withColumn("__b", b)
-    part = with_b.groupBy(*group_cols, "__b").agg(*[F.sum(v).alias(f"__s{i}") for i, v in enumerate(values)])
-    w_off = Window.partitionBy(*group_cols).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    with_b = df.withColumn("__k", null_safe_key(group_cols, b))
+    part = with_b.groupBy("__k").agg(*[F.sum(v).alias(f"__s{i}") for i, v in enumerate(values)])
+    group = [F.col("__k").getField(f"g{i}") for i in range(len(group_cols))]
+    w_off = Window.partitionBy(*group).orderBy(F.col("__k").getField("b")).rowsBetween(Window.unboundedPreceding, -1)
     offs = part.select(
-        *group_cols, "__b",
+        "__k",
         *[F.coalesce(F.sum(f"__s{i}").over(w_off), F.lit(0)).alias(f"__off{i}") for i in range(len(values))],
     )
-    w_loc = Window.partitionBy(*group_cols, "__b").orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
-    joined = with_b.join(offs, on=group_cols + ["__b"])
+    w_loc = Window.partitionBy("__k").orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
+    joined = with_b.join(offs, on="__k")
     for i, (v, o) in enumerate(zip(values, outs)):
-        joined = joined.withColumn(o, F.col(f"__off{i}") + F.sum(v).over(w_loc))
-    return joined.drop("__b", *[f"__off{i}" for i in range(len(values))])
+        joined = joined.withColumn(o, F.col(f"__off{i}") + F.coalesce(F.sum(v).over(w_loc), F.lit(0)))
+    return joined.drop("__k", *[f"__off{i}" for i in range(len(values))])
 
 
 def integrate(long: DataFrame, acc_pred: DataFrame, seed_frames: int, value: str = "a") -> DataFrame:

@@ -22,8 +22,7 @@ R = POINT_RADIUS
 R2 = repr(R * R)
 DT = 0.01
 ONE_STEP_SCALE = [1.5, 0.5]  # fixed metadata: sqrt(acc_std^2 + noise^2) per dim
-EARLY_STOP_LIMIT = 120
-MESH_TRAIN, MESH_TEST = 6, 3
+MESH_TEST = 3
 
 _PAIRS_SQL = f"""pairs AS (
   SELECT a.sample, a.node AS src, b.node AS dst, a.pos AS ps, b.pos AS pd FROM v_points a JOIN v_points b
@@ -166,25 +165,6 @@ def q_mesh_feature_stats(spark, sf):
     return _mesh_stats(v_mesh(spark, sf))
 
 
-@register(
-    "mesh_stats_early_stop",
-    with_views(
-        f"""WITH per AS (SELECT sample, count(*) AS n FROM v_mesh GROUP BY sample),
-cum AS (SELECT sample, sum(n) OVER (ORDER BY sample ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - n AS before FROM per),
-kept AS (SELECT m.* FROM v_mesh m JOIN cum c ON m.sample = c.sample WHERE c.before <= {EARLY_STOP_LIMIT})
-"""
-        + _STATS_SQL.format(src="kept"),
-        "v_mesh",
-    ),
-)
-def q_mesh_stats_early_stop(spark, sf):
-    """AG10 + WN11: statistics over the samples read before the running node
-    count passed the limit (the sample crossing it is included)."""
-    nodes = v_mesh(spark, sf)
-    kept = M.early_stop_samples(nodes, limit=EARLY_STOP_LIMIT)
-    return _mesh_stats(nodes.join(kept, on="sample", how="left_semi"))
-
-
 _Y_STATS_SQL = """ys AS (
   SELECT i, avg(v) AS mean, greatest(sqrt(avg(v * v) - avg(v) * avg(v)), 1e-8) AS std
   FROM (SELECT i, y[i] AS v FROM v_mesh, unnest(range(1, 3)) AS t(i)) GROUP BY i),
@@ -327,15 +307,14 @@ def q_mesh_value_bounds(spark, sf):
     "mesh_train_test",
     with_views(
         f"""WITH s AS (SELECT DISTINCT sample FROM v_mesh),
-firsts AS (SELECT sample FROM s ORDER BY sample LIMIT {MESH_TRAIN + MESH_TEST}),
-r AS (SELECT sample, row_number() OVER (ORDER BY md5(CAST(sample AS VARCHAR) || ':' || '0'), sample) AS r FROM firsts)
-SELECT sample, CASE WHEN r <= {MESH_TRAIN} THEN 'train' ELSE 'test' END AS split FROM r""",
+r AS (SELECT sample, row_number() OVER (ORDER BY md5(CAST(sample AS VARCHAR) || ':' || '0'), sample) AS r FROM s)
+SELECT sample, CASE WHEN r <= {MESH_TEST} THEN 'test' ELSE 'train' END AS split FROM r""",
         "v_mesh",
     ),
 )
 def q_mesh_train_test(spark, sf):
-    """FP10: first train+test samples, shuffled, sliced into train / test."""
-    return M.train_test_samples(v_mesh(spark, sf), train_size=MESH_TRAIN, test_size=MESH_TEST)
+    """FP10: all samples shuffled, an absolute number for test, the rest train."""
+    return M.train_test_samples(v_mesh(spark, sf), test_size=MESH_TEST)
 
 
 _X_STATS_SQL = """xs AS (
@@ -350,12 +329,12 @@ _X_STATS_SQL = """xs AS (
 SELECT m.node, CAST(x.i AS INTEGER) AS i,
   round(((m.velocity || m.onehot)[x.i + 1] - x.mean) / x.std, 9) AS xn,
   round((((m.velocity || m.onehot)[x.i + 1] - x.mean) / x.std) * x.std + x.mean, 9) AS x_back
-FROM v_mesh m, xs x WHERE x.i < 2""",
+FROM v_mesh m, xs x""",
         "v_mesh",
     ),
 )
 def q_mesh_normalize_roundtrip(spark, sf):
-    """SM1 + SM2 + AG9: node velocities normalized with the x statistics and
+    """SM1 + SM2 + AG9: all components of x normalized with its statistics and
     mapped back (``unnormalize(normalize(x)) = x``)."""
     from tessera.functions.arrays import normalize, unnormalize
 
@@ -363,7 +342,7 @@ def q_mesh_normalize_roundtrip(spark, sf):
     mean, std = M.stats_literals(M.feature_stats(nodes, "x"))
     n = nodes.withColumn("xn", normalize("x", mean, std))
     n = n.withColumn("x_back", unnormalize("xn", mean, std))
-    long = n.select("node", F.posexplode(F.arrays_zip("xn", "x_back")).alias("i", "s")).where(F.col("i") < 2)
+    long = n.select("node", F.posexplode(F.arrays_zip("xn", "x_back")).alias("i", "s"))
     return long.select(
         "node", F.col("i").cast("int").alias("i"), F.round("s.xn", 9).alias("xn"), F.round("s.x_back", 9).alias("x_back")
     )

@@ -70,13 +70,14 @@ def q_history_sink_roundtrip(spark, sf):
     return back.select("run_id", "step", F.round("loss", 9).alias("loss"))
 
 
-@register("testdata_listing")
-def q_testdata_listing(spark, sf):
-    """SC10: the table files of the data folder (names, sizes; no content read)."""
-    return FS.list_files(spark, sf).select("name", "length")
-
-
-@register("dataset_versions")
+@register(
+    "dataset_versions",
+    """WITH v AS (
+  SELECT 0::BIGINT AS version, count(*)::BIGINT AS n_rows, 'v0' AS aliases FROM documents
+  UNION ALL SELECT 1, count(*), 'latest,v1' FROM documents WHERE lang <> 'es')
+SELECT 'documents' AS name, 'raw_data' AS type, version, n_rows, aliases,
+  (SELECT n_rows FROM v WHERE version = 1) AS n_latest FROM v""",
+)
 def q_dataset_versions(spark, sf):
     """SC11 + SC15: register the documents table twice (same digest: one
     version), then a changed copy (second version); resolve ``:latest``."""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.plans.catalog import register
-from tessera.functions.text import STOPWORDS, effective_stopwords
+from tessera.functions.text import STOPWORDS
 from tessera.plans.sql_snippets import (
     sql_clean_text,
     sql_slice_nlp_llm,
@@ -294,9 +294,11 @@ def q_text_slices(spark, sf):
 @register(
     "text_stopwords_lower",
     with_views(
-        r"""SELECT id, array_to_string(list_transform(
-    regexp_extract_all(lower(title), '([\p{L}\p{N}_]+|[^\p{L}\p{N}_]+)', 1),
-    lambda t: CASE WHEN list_contains(""" + sql_str_list(dict.fromkeys(effective_stopwords(STOPWORDS))) + r""", t) THEN ' ' ELSE t END), '') AS t
+        # RE2 knows only ASCII word boundaries, so letters and digits beyond ASCII are
+        # wrapped in Q (absent from lower-cased text) while the pattern is applied.
+        r"""SELECT id, replace(regexp_replace(
+    regexp_replace(lower(title || description), '([^\x00-\x7F\p{Z}\p{P}\p{S}\p{M}\p{C}])', 'Q\1Q', 'g'),
+    '\b(""" + "|".join(STOPWORDS).replace("'", "''") + r""")\b[\t-\r\x1c- \x{85}\p{Z}]*', ' ', 'g'), 'Q', '') AS t
 FROM v_text""",
         "v_text",
     ),
@@ -306,27 +308,27 @@ def q_text_stopwords_lower(spark, sf):
     from tessera.functions.text import remove_stopwords
     from tessera.plans.views import v_text
 
-    return v_text(spark, sf, spread=True).select("id", remove_stopwords(F.lower("title")).alias("t"))
+    return v_text(spark, sf, spread=True).select("id", remove_stopwords(F.lower(F.concat("title", "description"))).alias("t"))
 
 
 @register(
     "text_punct_steps",
     with_views(
         r"""SELECT id,
-  regexp_replace(title, '([!"''#$%&()*\+,\-./:;<=>?@\\\[\]^_`{|}~])', ' \1 ', 'g') AS padded,
-  regexp_replace(title, '[^A-Za-z0-9]+', ' ', 'g') AS alnum,
-  trim(regexp_replace(title, ' +', ' ', 'g')) AS collapsed,
-  regexp_replace(title, 'http\S+', '', 'g') AS nolinks
-FROM v_text""",
+  regexp_replace(text, '([!"''#$%&()*\+,\-./:;<=>?@\\\[\]^_`{|}~])', ' \1 ', 'g') AS padded,
+  regexp_replace(text, '[^A-Za-z0-9]+', ' ', 'g') AS alnum,
+  trim(regexp_replace(text, ' +', ' ', 'g')) AS collapsed,
+  regexp_replace(text, 'http\S+', '', 'g') AS nolinks
+FROM (SELECT id, title || description AS text FROM v_text)""",
         "v_text",
     ),
 )
 def q_text_punct_steps(spark, sf):
-    """ST-3..ST-6 one by one on the title."""
+    """ST-3..ST-6 one by one on the whole text."""
     from tessera.functions.text import collapse_spaces, pad_punctuation, remove_links, strip_non_alnum
     from tessera.plans.views import v_text
 
-    t = F.col("title")
+    t = F.concat("title", "description")
     return v_text(spark, sf, spread=True).select(
         "id",
         pad_punctuation(t).alias("padded"),

@@ -54,14 +54,17 @@ def get_session(
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder used to cut lineage (``checkpoint()`` / written tables).
 
-    The cluster names it in ``spark.checkpoint.dir``; only when that is unset
-    (local tests) a scratch folder is created.
+    The cluster names it in ``spark.checkpoint.dir``. Where that is unset, a
+    local session gets a scratch folder; on a cluster it is an error, as
+    executors do not see the driver's folders.
     """
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None
     )
     if not path:
         path = spark.sparkContext.getCheckpointDir()
+    if not path and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not path:
         path = tempfile.mkdtemp(prefix="tessera-ckpt-")
     if spark.sparkContext.getCheckpointDir() is None:

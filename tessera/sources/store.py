@@ -23,7 +23,8 @@ def content_digest(df: DataFrame) -> DataFrame:
     """Order-insensitive digest of a table: ``bit_xor`` of a 64-bit row hash,
     plus the sum of the hashes modulo 2^31 (XOR alone cancels duplicate
     pairs) and the row count. One partial aggregate, one output row."""
-    h = F.xxhash64(*[F.col(c) for c in df.columns])
+    # xxhash64 skips NULLs, so each column also contributes whether it is one
+    h = F.xxhash64(*[x for c in df.columns for x in (F.col(c), F.col(c).isNull())])
     return df.agg(
         F.bit_xor(h).alias("x"),
         F.sum(F.pmod(h, F.lit(2147483648))).alias("s"),
@@ -35,12 +36,20 @@ def content_digest(df: DataFrame) -> DataFrame:
 
 
 def read_artifacts(spark: SparkSession, root: str) -> DataFrame:
+    """The artifact table of ``root`` (empty before the first registration);
+    ``root`` may be on any file system that Spark can reach."""
     p = os.path.join(root, "_artifacts")
-    if not os.path.exists(p):
+    if not path_exists(spark, p):
         return spark.createDataFrame([], ARTIFACT_SCHEMA)
     return spark.read.schema(ARTIFACT_SCHEMA).parquet(p)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists on the file system its URI names."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(p)
+
+
 def register_dataset(spark: SparkSession, df: DataFrame, root: str, name: str, data_type: str) -> tuple[bool, str]:
     """SC11: store ``df`` as dataset ``name``; bump the version only when the
     content digest differs from the latest version. Returns
