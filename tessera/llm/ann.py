@@ -3,8 +3,13 @@
 Equal vectors are one class. The trees are built on a bounded sample and split
 the classes of all rows into leaves. A query walks all trees with one priority
 queue of the branches not taken, ordered by their distance to the query, until
-it has visited its share of leaves. Each leaf reranks its candidates by exact
-inner product; the best of all leaves are merged.
+it has visited its share of leaves. The candidates of those leaves are reranked
+by exact inner product.
+
+Reranking is dealt by (block of queries, shard of candidates). A task holds one
+block's queries and the best of each so far, and streams the shard past them, so
+its memory does not depend on the size of a leaf, and each shard hands on only
+``k + 1`` rows per query, however many leaves were visited.
 
 Vectors get a further component that makes their lengths equal, so the largest
 inner product is the smallest angle and the trees also fit vectors of unequal
@@ -28,12 +33,16 @@ from tessera.llm.common import materialize, prepare, threshold_sample
 @dataclass(frozen=True)
 class Settings:
     trees: int = 2
-    #: Vectors that a leaf should hold.
+    #: Vectors that a leaf should hold, and about how many leaves a tree may have (larger leaves beyond that).
     leaf: int = 512
+    leaves: int = 128
     #: Share of the leaves of the whole forest that a query visits.
     probe: float = 0.5
     #: About so many vectors build the trees; the bound of what the driver holds.
     sample: int = 20_000
+    #: Shards of the candidates, and how many queries a block should hold.
+    shards: int = 16
+    block: int = 8_192
     seed: int = 42
 
 
@@ -116,6 +125,65 @@ def _matrix(col: pa.Array) -> np.ndarray:
     return values.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(values), -1)
 
 
+class Best:
+    """The ``k`` best candidates so far of each query of one block.
+
+    Candidates must be offered by ascending id: of equal scores the earlier stay.
+    """
+
+    TILE = 1_024
+    PENDING = 1 << 16
+
+    def __init__(self, k: int, leaves: int):
+        self.k, self.leaves = k, leaves
+        self.asked: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.x = None
+        self.pending, self.waiting = [], 0
+
+    def ask(self, ids: np.ndarray, x: np.ndarray, visited: pa.Array) -> None:
+        marks = np.zeros((len(x), self.leaves), bool)
+        counts = np.diff(visited.offsets.to_numpy())
+        marks[np.repeat(np.arange(len(x)), counts), visited.flatten().to_numpy()] = True
+        self.asked.append((ids, x, marks))
+
+    def offer(self, ids: np.ndarray, y: np.ndarray, homes: np.ndarray) -> None:
+        """``homes``: per candidate its leaf in each tree."""
+        if self.x is None:
+            if not self.asked:
+                return
+            self.ids, self.x, self.marks = (np.concatenate(c) for c in zip(*self.asked))
+            self.floor = np.full(len(self.x), -np.inf)
+            self.kept = (np.empty(0, int), np.empty(0), ids[:0])
+        for i in range(0, len(self.x), self.TILE):
+            some = slice(i, i + self.TILE)
+            near = self.x[some] @ y.T
+            seen = self.marks[some][:, homes].any(axis=2)
+            ask, at = np.nonzero(seen & (near > self.floor[some, None]))
+            self.pending.append((ask + i, near[ask, at], ids[at]))
+            self.waiting += len(ask)
+        if self.waiting > self.PENDING:
+            self._merge()
+
+    def _merge(self) -> None:
+        ask, score, ids = (np.concatenate(c) for c in zip(self.kept, *self.pending))
+        order = np.lexsort((-score, ask))  # stable: earlier candidates first
+        ask = ask[order]
+        stay = np.arange(len(ask)) - np.searchsorted(ask, ask) < self.k
+        ask, order = ask[stay], order[stay]
+        self.kept = ask, score, ids = ask, score[order], ids[order]
+        full = np.flatnonzero(np.bincount(ask, minlength=len(self.x)) == self.k)
+        self.floor[full] = score[np.searchsorted(ask, full, side="right") - 1]
+        self.pending, self.waiting = [], 0
+
+    def rows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(query, candidate, score)."""
+        if self.x is None:
+            return np.empty(0), np.empty(0), np.empty(0)
+        self._merge()
+        ask, score, ids = self.kept
+        return self.ids[ask], ids, score
+
+
 def nearest(
     rows: DataFrame, query: Column, k: int = 20, settings: Settings = Settings(), id_col: str = "vec_id", vec_col: str = "embedding"
 ) -> DataFrame:
@@ -158,11 +226,13 @@ def nearest(
         return np.column_stack([x, np.sqrt(np.maximum(0.0, most - (x * x).sum(axis=1)))])
 
     rng = np.random.default_rng(s.seed)
-    built = [build_tree(lengthened(sample), total / len(sample), s.leaf, rng) for _ in range(s.trees)]
+    built = [build_tree(lengthened(sample), total / len(sample), max(s.leaf, total // s.leaves), rng) for _ in range(s.trees)]
     shared = spark.sparkContext.broadcast(built)
-    names = ["tree", "leaf", "query", "rep", "v"]
+    starts = np.cumsum([0] + [t.leaves for t in built])
+
+    def find(asks: bool):
+        """Adds the leaf of each tree, or the leaves that a query visits, numbered over all trees."""
 
-    def deal(asks: bool):
         def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             forest = shared.value
             for b in batches:
@@ -171,45 +241,46 @@ def nearest(
                     continue
                 if asks:
                     far = np.column_stack([x, np.zeros(len(x))])
-                    seen = [(t, leaf, i) for i, q in enumerate(far) for t, leaf in visit(forest, q, s.probe)]
-                    tree, leaf, at = (np.array(c) for c in zip(*seen))
+                    leaves = [[starts[t] + leaf for t, leaf in visit(forest, q, s.probe)] for q in far]
                 else:
-                    tree = np.repeat(np.arange(len(forest)), len(x))
-                    leaf = np.concatenate([home(t, lengthened(x)) for t in forest])
-                    at = np.tile(np.arange(len(x)), len(forest))
-                for i in range(0, len(at), 4_096):
-                    some = slice(i, i + 4_096)
-                    take = pa.array(at[some])
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(tree[some].astype(np.int32)), pa.array(leaf[some].astype(np.int32)), pa.array(np.full(len(take), asks)), b.column(0).take(take), b.column(1).take(take)],
-                        names=names,
-                    )
+                    leaves = list(np.column_stack([starts[t] + home(tree, lengthened(x)) for t, tree in enumerate(forest)]))
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(leaves, pa.list_(pa.int32()))], names=["rep", "v", "leaves"])
 
         return each
 
-    def rerank(part: pa.Table) -> pa.Table:
-        asks = part.column("query").to_numpy(zero_copy_only=False)
-        q, c = part.filter(pa.array(asks)), part.filter(pa.array(~asks))
-        if not len(q) or not len(c):
-            return pa.table({"query": part.column("rep").slice(0, 0), "rep": part.column("rep").slice(0, 0), "score": pa.array([], pa.float64())})
-        c = c.sort_by("rep")
-        x, y = _matrix(q.column("v")), _matrix(c.column("v"))
-        ask, rep, score = [], [], []
-        for i in range(0, len(x), 1_024):
-            near = x[i : i + 1_024] @ y.T
-            best = np.argsort(-near, axis=1, kind="stable")[:, : k + 1]
-            ask.append(np.repeat(np.arange(i, i + len(near)), best.shape[1]))
-            rep.append(best.ravel())
-            score.append(np.take_along_axis(near, best, axis=1).ravel())
-        return pa.table(
-            {"query": q.column("rep").take(pa.array(np.concatenate(ask))), "rep": c.column("rep").take(pa.array(np.concatenate(rep))), "score": pa.array(np.concatenate(score))}
-        )
-
-    schema = f"tree int, leaf int, query boolean, rep {kind}, v array<double>"
-    points = classes.select("rep", "v").mapInArrow(deal(False), schema)
-    dealt = points.union(queries.mapInArrow(deal(True), schema))
-    found = dealt.groupBy("tree", "leaf").applyInArrow(rerank, f"query {kind}, rep {kind}, score double")
-    found = found.groupBy("query", "rep").agg(F.max("score").alias("score"))
+    def rerank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def result(best: Best) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(best.rows(), (id_type, id_type, pa.float64()))], names=["query", "rep", "score"])
+
+        cell, best, id_type = None, None, None
+        for b in batches:
+            id_type = b.schema.field("rep").type
+            keys = np.column_stack([b.column(i).to_numpy(zero_copy_only=False).astype(int) for i in range(3)])
+            cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
+            for start, stop in zip([0, *cuts], [*cuts, len(keys)]):
+                if start == stop:
+                    continue
+                part = b.slice(start, stop - start)
+                if cell != tuple(keys[start, :2]):
+                    if best:
+                        yield result(best)
+                    cell, best = tuple(keys[start, :2]), Best(k + 1, int(starts[-1]))
+                ids, x, leaves = part.column(3).to_numpy(zero_copy_only=False), _matrix(part.column(4)), part.column(5)
+                if keys[start, 2]:
+                    best.offer(ids, x, leaves.flatten().to_numpy().reshape(len(x), -1))
+                else:
+                    best.ask(ids, x, leaves)
+        if best:
+            yield result(best)
+
+    blocks = max(2, -(-queries.count() // s.block))
+    placed = f"rep {kind}, v array<double>, leaves array<int>"
+    block, shard = (F.pmod(F.xxhash64("rep", F.lit(name)), F.lit(n)).cast("int") for name, n in (("block", blocks), ("shard", s.shards)))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    asking = queries.select("rep", "v").mapInArrow(find(True), placed).select(block.alias("block"), every(s.shards).alias("shard"), F.lit(0).alias("candidate"), "*")
+    offered = classes.select("rep", "v").mapInArrow(find(False), placed).select(every(blocks).alias("block"), shard.alias("shard"), F.lit(1).alias("candidate"), "*")
+    dealt = asking.union(offered).repartition("block", "shard").sortWithinPartitions("block", "shard", "candidate", "rep")
+    found = dealt.mapInArrow(rerank, f"query {kind}, rep {kind}, score double")
     near = Window.partitionBy("query").orderBy(F.desc("score"), "rep")
     found = found.withColumn("r", F.row_number().over(near)).where(F.col("r") <= k + 1)
     found = found.join(classes.select("rep", "members"), "rep").select("query", "score", F.explode("members").alias("id"))
