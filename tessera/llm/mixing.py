@@ -90,8 +90,13 @@ def budgets(tokens: dict[tuple[str, ...], int], mix: Mix, total: float) -> dict[
 
 
 def words(text: Column) -> Column:
-    """Tokens of a text as budgets count them: its words and one for the end."""
-    return F.size(F.array_remove(F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+"), "")).cast("long") + 1
+    """Tokens of a text as budgets count them: its words and one for the end.
+
+    Each word becomes one character and blanks go, so that a very long text
+    never becomes an array of its words.
+    """
+    marks = F.regexp_replace(F.coalesce(text, F.lit("")), r"[^\x20\x09-\x0D]+", "x")
+    return F.length(F.translate(marks, " \t\n\x0b\x0c\r", "")).cast("long") + 1
 
 
 def select_rows(rows: DataFrame, levels: list[str], mix: Mix = Mix()) -> DataFrame:

@@ -162,6 +162,29 @@ def test_suffix_ranks_against_brute_force():
     assert ranks.tolist() == [order.index(w) for w in want]
 
 
+@pytest.mark.parametrize("pending", [0, 40, 10**6])
+def test_best_of_a_block_against_a_sort(monkeypatch, pending):
+    import pyarrow as pa
+
+    monkeypatch.setattr(ann.Best, "PENDING", pending)
+    monkeypatch.setattr(ann.Best, "TILE", 3)
+    rng = np.random.default_rng(2)
+    x, y = rng.integers(-2, 3, (7, 3)).astype(float), rng.integers(-2, 3, (60, 3)).astype(float)
+    homes = np.column_stack([rng.integers(0, 4, 60), rng.integers(4, 8, 60)])
+    visited = [[0, 5], [1, 2, 4], [], [3], list(range(8)), [7], [0, 1]]
+    best = ann.Best(5, 8)
+    for part in (slice(0, 4), slice(4, 7)):
+        best.ask(100 + np.arange(7)[part], x[part], pa.array(visited[part], pa.list_(pa.int32())))
+    for i in range(0, 60, 11):
+        best.offer(np.arange(60)[i : i + 11], y[i : i + 11], homes[i : i + 11])
+    got = {}
+    for q, c, s in zip(*best.rows()):
+        got.setdefault(int(q) - 100, []).append((-s, int(c)))
+    for q, seen in enumerate(visited):
+        want = sorted((-float(x[q] @ y[c]), c) for c in range(60) if set(homes[c]) & set(seen))[:5]
+        assert got.get(q, []) == want
+
+
 def test_nearest_exact_when_all_leaves_are_visited(spark):
     rng = np.random.default_rng(5)
     x = rng.standard_normal((300, 8)).round(2) * rng.uniform(0.5, 2, (300, 1))
@@ -210,3 +233,10 @@ def test_pipeline_stages(spark):
     out = corpus_pipeline.run(spark, SF)
     full = out.groupBy("sequence_id").agg(F.sum("length").alias("n"), F.max(F.col("offset") + F.col("length")).alias("end"))
     assert full.where("n > 4096 or n != end").count() == 0 and out.count() > 0
+
+
+def test_words_of_a_mix(spark):
+    texts = [None, "", " \t\n", "one", " two\x0bwords ", "x xx\r\n\x0cé\xa0é 日本", "w " * 50_000 + "end"]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = [r[0] for r in frame.orderBy("i").select(mixing.words(F.col("t"))).collect()]
+    assert got == [1, 1, 1, 2, 3, 5, 50_002]
