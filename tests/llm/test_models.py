@@ -153,6 +153,19 @@ def test_html_host_boilerplate(spark):
     assert html.extract(frame).count() == 7 and html.extract(frame.limit(0)).count() == 0
 
 
+def test_html_shards_do_not_change_texts(spark):
+    lead, sold = "every story of this site begins with the same ten words", "buy two of our fine green garden chairs today and save"
+    pages = [(k, f"http://h.example/{k}", f"<body><p>{lead if k in (3, 17) else ''} tale {'x' * (k + 1)} told</p></body>") for k in range(24)]
+    pages += [(30 + k, f"http://h.example/s{k}", f"<article><p>Once {k} {sold} {'y' * (k + 1)}</p></article>") for k in range(3)]
+    pages += [(40, "http://h.example/f", f"<article><p>short</p></article><footer>{sold}</footer>"), (41, "http://one.example/", f"<p>{lead}</p>")]
+    pages += [(50, "http://h.example/same", "<body><p>the very same page is here for a second time again</p></body>")] * 2
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string")
+    want = sorted(tuple(r) for r in html.extract(frame).collect())
+    assert {r[0]: r[2] for r in want}[3] == "xxxx told" and {r[0]: r[2] for r in want}[41] == lead
+    for shard, broadcast in ((5, 100_000), (1, 100_000), (5, 0)):
+        assert sorted(tuple(r) for r in html.extract(frame, html.Settings(shard=shard, broadcast_hosts=broadcast)).collect()) == want
+
+
 def test_suffix_ranks_against_brute_force():
     rng = np.random.default_rng(0)
     x = rng.integers(0, 3, 200)
