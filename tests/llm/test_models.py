@@ -141,6 +141,24 @@ def test_html_structure():
     assert html.main_texts([html.blocks(None), html.blocks(""), html.blocks("<nav>a</nav>")], 8) == ["", "", ""]
 
 
+def test_html_raw_elements_end():
+    def text(html_text):
+        return html.main_texts([html.blocks(html_text)], 8)[0]
+
+    assert text("<html><head><title>T</title><meta charset=x><style>p{}</style><body><p>One</p><p>Two</p></body>") == "One\nTwo"
+    assert text("<head><title>T</title><article><h1>One</h1><p>Two</article>") == "One\nTwo"
+    assert text("<head><title>T<body><p>One") == "One"
+    for tag in ("svg", "iframe", "object", "noscript", "template", "script", "canvas"):
+        for made in (f"<{tag}/>", f"<{tag} a='b' />", f'<{tag} src="x/y"/>'):
+            assert text(f"<article><p>One {made} two</p><p>three</p><{tag}>{'' if tag in ('object', 'canvas') else 'gone'}</{tag}><p>four</p></article>") == "One two\nthree\nfour"
+    assert text("<p>One<script src=/a/></script></p><p>two<iframe src=http://a.example/>no</iframe></p>") == "One\ntwo"
+    assert text("<article><p>One</p><svg><p>two</p><iframe src='x'><p>three</p></article>") == "One\ntwo\nthree"
+    assert text("<p>One</p><script>var a = 1;") == "One"
+    formula = "<math><mfrac><mn>1</mn><mn>2</mn></mfrac></math>"
+    assert text(f"<article><p>Half is {formula}, <object data='x'><param name=a>a chart</object> <canvas>a plot</canvas></p></article>") == "Half is 1 2, a chart a plot"
+    assert text("<article><video controls><source src='a'><p>A talk</p></video><audio>A song</audio></article>") == "A talk\nA song"
+
+
 def test_html_host_boilerplate(spark):
     note = "this site needs your help to keep running so please give"
     pages = [(k, f"http://h.example/{k}", f"<body><p>{note}</p><p>story number {k} about {'x' * (k + 1)} things</p></body>") for k in range(3)]
