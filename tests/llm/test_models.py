@@ -171,6 +171,15 @@ def test_html_host_boilerplate(spark):
     assert html.extract(frame).count() == 7 and html.extract(frame.limit(0)).count() == 0
 
 
+def test_html_articles_stay_whole():
+    head, close = "Nine words of a heading that an advert also quotes", "and so ends this long story about the green river"
+    story = f"<article><h1>{head}</h1><p>Once there was a fish {close}</p></article>"
+    plain = f"<p>{head}</p><p>only here</p>"
+    pages = [story, f"<article><p>Other</p></article><div class=ad>{head}</div><footer>{close}</footer>", story, plain]
+    got = html.main_texts([html.blocks(p) for p in pages], 8)
+    assert got == [f"{head}\nOnce there was a fish {close}", "Other", f"{head}\nOnce there was a fish {close}", "only here"]
+
+
 def test_html_shards_do_not_change_texts(spark):
     lead, sold = "every story of this site begins with the same ten words", "buy two of our fine green garden chairs today and save"
     pages = [(k, f"http://h.example/{k}", f"<body><p>{lead if k in (3, 17) else ''} tale {'x' * (k + 1)} told</p></body>") for k in range(24)]
