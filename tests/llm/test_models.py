@@ -186,6 +186,7 @@ def test_html_shards_do_not_change_texts(spark):
     pages += [(30 + k, f"http://h.example/s{k}", f"<article><p>Once {k} {sold} {'y' * (k + 1)}</p></article>") for k in range(3)]
     pages += [(40, "http://h.example/f", f"<article><p>short</p></article><footer>{sold}</footer>"), (41, "http://one.example/", f"<p>{lead}</p>")]
     pages += [(50, "http://h.example/same", "<body><p>the very same page is here for a second time again</p></body>")] * 2
+    pages += [(60 + k, f"http://articles.example/{k}", f"<article><p>Tale {k} {sold}</p></article><footer>{sold}</footer>") for k in range(7)]
     frame = spark.createDataFrame(pages, "page_id long, url string, html string")
     want = sorted(tuple(r) for r in html.extract(frame).collect())
     assert {r[0]: r[2] for r in want}[3] == "xxxx told" and {r[0]: r[2] for r in want}[41] == lead
