@@ -1,10 +1,11 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
-Words become symbols (insult, threat verb, intent, target, negation, report,
-end of clause). The words of the symbols are given; further insults are learned as
-beginnings of words, from one half of a bounded sample of the labelled rows. Five small transducers rewrite and weigh the symbols: threats
-become hits after a word of intent, insults are hits, a target near a hit adds
-weight, negation and reported speech take weight away. Their composition is one
+Words become symbols (insult, threat verb, intent, target, object, article, negation,
+report, end of clause). The words of the symbols are given; further insults are learned as
+beginnings of words, and words of intent and objects from those around threat verbs, from
+one half of a bounded sample of the labelled rows. Six small transducers rewrite and weigh
+the symbols: threats become hits after a word of intent or before an object, insults are
+hits, a target near a hit adds weight, negation and reported speech take weight away. Their composition is one
 table, run over the clauses that can match. A text's features are the weights of
 its matched clauses; their calibration is learned from the sample's other half.
 """
@@ -31,15 +32,21 @@ LEXICON = {
     "dummkopf trottel abschaum arschloch schwachkopf widerlich erbärmlich wertlos "
     "idiota imbécil estúpido basura escoria asqueroso patético inútil",
     "threat": "kill hurt destroy murder stab shoot beat burn hang attack tuer frapper détruire töten umbringen schlagen matar golpear destruir",
-    "intent": "will shall gonna must should ll veux vais werde werden voy quiero",
-    "target": "you your you're u they them he she these those tu vous toi du dich euch ihr sie usted ustedes",
-    "negation": "not no never isn't aren't wasn't don't nobody pas jamais nicht kein keine nie nunca",
+    "intent": "will shall gonna must should ll d would going want wants wanna veux vais werde werden voy quiero",
+    "target": "your they he she these those tu du ihr",
+    "object": "you u them him her yourself yourselves himself herself themselves vous toi dich euch sie usted ustedes",
+    "article": "the a an this that",
+    "negation": "not no never isn't aren't wasn't don't dont cannot nobody pas jamais nicht kein keine nie nunca",
     "report": "said says say told called wrote claimed quoted reported dit sagte dijo",
 }
 SYMBOLS = ("word", *LEXICON, "hit", "end")
 SYMBOL_OF = {w: s for s, words in LEXICON.items() for w in words.split()}
 _CLAUSE = re.compile(r"[.!?;:\n]+")
-_WORD = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?")
+#: Contractions are cut at the apostrophe, but for those with not.
+_WORD = re.compile(r"[^\W\d_]+(?:(?<=n)'t(?![^\W\d_]))?")
+_MARK = re.compile(r"[\"“”„«»]")
+#: Words before and behind a threat verb that can be learned as intent and object.
+BEFORE, BEHIND = 3, 1
 
 
 @dataclass(frozen=True)
@@ -82,25 +89,36 @@ def _threat(q: int, s: str):
     if s == "intent":
         return 3, s, 0.0
     if s == "threat":
-        return 0, "hit" if q else "word", 1.5 if q else 0.0
+        return 0, "hit" if q else s, 1.5 if q else 0.0
     return (0 if s == "end" else max(0, q - 1)), s, 0.0
 
 
+def _aimed(q: int, s: str):
+    """An object right behind a threat verb is a hit; behind an article the verb is a noun."""
+    if s == "threat":
+        return (0, "word", 0.0) if q == 2 else (1, s, 0.0)
+    if s == "object" and q == 1:
+        return 0, "hit", 1.5
+    return (2 if s == "article" else 0), s, 0.0
+
+
 def _insult(q: int, s: str):
     return 0, ("hit" if s == "insult" else s), (1.0 if s == "insult" else 0.0)
 
 
 def _target(q: int, s: str):
     """A hit within four words after a target weighs more."""
-    if s == "target":
+    if s in ("target", "object"):
         return 4, s, 0.0
     return (0 if s == "end" else max(0, q - 1)), s, (0.5 if s == "hit" and q else 0.0)
 
 
 def _negation(q: int, s: str):
-    """A hit within two words after a negation weighs less."""
+    """A hit within two words after a negation weighs less; intent and threat verbs between do not count."""
     if s == "negation":
         return 2, s, 0.0
+    if s in ("intent", "threat"):
+        return q, s, 0.0
     return (0 if s == "end" else max(0, q - 1)), s, (-0.9 if s == "hit" and q else 0.0)
 
 
@@ -111,7 +129,7 @@ def _report(q: int, s: str):
     return q, s, (-0.6 if s == "hit" and q else 0.0)
 
 
-GRAMMAR = reduce(compose, [machine(4, _threat), machine(1, _insult), machine(5, _target), machine(3, _negation), machine(2, _report)])
+GRAMMAR = reduce(compose, [machine(4, _threat), machine(3, _aimed), machine(1, _insult), machine(5, _target), machine(3, _negation), machine(2, _report)])
 
 
 #: Lengths of learned beginnings; a whole word is written with a blank behind it.
@@ -126,26 +144,53 @@ def stems_of(word: str) -> list[str]:
 def _symbols(words: set[str], learned: frozenset[str]) -> dict[str, str]:
     """The symbols of those words that have one."""
     found = {w: SYMBOL_OF[w] for w in words & SYMBOL_OF.keys()}
+    found.update((w, "negation") for w in words - found.keys() if w.endswith("n't"))
     if learned:
         found.update((w, "insult") for w in words - found.keys() if not learned.isdisjoint(stems_of(w)))
+        found.update((w, "intent") for w in words - found.keys() if "<" + w in learned)
+        found.update((w, "object") for w in words - found.keys() if ">" + w in learned)
+    return found
+
+
+def _lower(text: str | None) -> str:
+    return (text or "").lower().replace("’", "'")
+
+
+def contexts_of(low: str) -> set[str]:
+    """The words around threat verbs: "<" and a word before, ">" and a word behind."""
+    found: set[str] = set()
+    for clause in _CLAUSE.split(low):
+        words = _WORD.findall(clause)
+        for k, w in enumerate(words):
+            if SYMBOL_OF.get(w) == "threat":
+                found.update("<" + x for x in words[max(0, k - BEFORE) : k] if x not in SYMBOL_OF)
+                found.update(">" + x for x in words[k + 1 : k + 1 + BEHIND] if x not in SYMBOL_OF)
     return found
 
 
 def features(text: str | None, learned: frozenset[str] = frozenset()) -> tuple[float, float, float]:
     """(log of the summed weight, largest weight, log of the matched clauses)."""
-    low = (text or "").lower()
+    low = _lower(text)
     symbols = _symbols(set(_WORD.findall(low)), learned)
     hits = {w for w, s in symbols.items() if s in ("insult", "threat")}
     if not hits:
         return 0.0, 0.0, 0.0
     total, top, clauses = 0.0, 0.0, 0
-    for clause in _CLAUSE.split(low):
+    at, reported, quoted = 0, False, False  # reported: speech from an earlier clause goes on
+    for cut in _CLAUSE.finditer(low + "\n"):
+        clause, at = low[at : cut.start()], cut.end()
+        if quoted and _MARK.match(clause):
+            clause, reported, quoted = clause[1:], False, False
         words = _WORD.findall(clause)
-        if hits.isdisjoint(words):
-            continue
-        found = GRAMMAR.run([symbols.get(w, "word") for w in words])
-        if any(found):
-            total, top, clauses = total + sum(found), max(top, *found), clauses + 1
+        if not hits.isdisjoint(words):
+            found = GRAMMAR.run(["report"] * reported + [symbols.get(w, "word") for w in words])
+            if any(found):
+                total, top, clauses = total + sum(found), max(top, *found), clauses + 1
+        reported = reported or any(symbols.get(w) == "report" for w in words)
+        quoted = reported and quoted ^ (len(_MARK.findall(clause)) % 2 == 1)
+        # over a colon, and in open quotation marks to the end of the line
+        reported = reported and (set(cut[0]) <= {":", "\n"} and ":" in cut[0] or quoted and "\n" not in cut[0])
+        quoted = quoted and reported
     return float(np.log1p(total)), top, float(np.log1p(clauses))
 
 
@@ -163,7 +208,7 @@ class Settings:
 
 
 def learn_insults(rows: DataFrame, settings: Settings) -> frozenset[str]:
-    """Beginnings of words (text, y) that hardly any but toxic texts hold.
+    """Beginnings of words, and words around threat verbs, that hardly any but toxic texts (text, y) hold.
 
     Equal texts count once. Of a beginning and a longer one, the shorter stays.
     """
@@ -171,7 +216,12 @@ def learn_insults(rows: DataFrame, settings: Settings) -> frozenset[str]:
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for text, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                found = sorted({p for w in set(_WORD.findall((text or "").lower())) if w not in SYMBOL_OF for p in stems_of(w)})
+                low = _lower(text)
+                words = set(_WORD.findall(low))
+                found = {p for w in words if w not in SYMBOL_OF for p in stems_of(w)}
+                if any(SYMBOL_OF.get(w) == "threat" for w in words):
+                    found |= contexts_of(low)
+                found = sorted(found)
                 yield pa.RecordBatch.from_arrays([pa.array(found, pa.string()), pa.array([y] * len(found), pa.float64())], names=["stem", "y"])
 
     distinct = rows.groupBy("text").agg(F.max("y").alias("y"))
@@ -180,7 +230,7 @@ def learn_insults(rows: DataFrame, settings: Settings) -> frozenset[str]:
     top = made.where(good).orderBy(F.desc("toxic"), "stem").limit(settings.max_learned).collect()
     kept: set[str] = set()
     for stem in sorted((r["stem"] for r in top), key=lambda x: (len(x), x)):
-        if not any(stem[:k] in kept for k in STEMS if k < len(stem)):
+        if stem[0] in "<>" or not any(stem[:k] in kept for k in STEMS if k < len(stem)):
             kept.add(stem)
     return frozenset(kept)
 

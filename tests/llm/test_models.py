@@ -122,6 +122,31 @@ def test_composition_is_the_cascade():
             assert (got, w) == (out, wa + wb)
 
 
+@pytest.mark.parametrize("text", ["I'll kill you", "I’ll kill you", "I'd kill you", "I'm going to kill you", "I want to kill you", "We would hurt them", "kill yourself", "Go hang yourself!"])
+def test_toxic_threats(text):
+    assert toxicity.features(text)[1] >= 1.5
+
+
+def test_toxic_threats_negated_reported_and_nouns():
+    plain = toxicity.features("I want to kill you")[1]
+    for text in ("I don't want to kill you", "I'm not going to kill you", "I won't kill you", "They can't ever hurt you"):
+        assert toxicity.features(text)[1] < plain
+    assert toxicity.features("the attack you saw") == toxicity.features("we beat time") == (0, 0, 0)
+    aimed = toxicity.features("you idiot")[1]
+    for text in ("He said: you idiot", 'He said:\n"you idiot"', 'He said: "You there! you idiot"'):
+        assert toxicity.features(text)[1] < aimed
+    for text in ("He said so. you idiot", "Note: you idiot", 'He said: "Hello." you idiot', 'He said "hello\nyou idiot'):
+        assert toxicity.features(text)[1] == aimed
+
+
+def test_toxic_contexts_are_learned(spark):
+    rows = [(f"number {'x' * k} we hereby kill everybody", 1.0) for k in range(8)] + [(f"number {'x' * k} hereby greet everybody", 0.0) for k in range(8)]
+    learned = toxicity.learn_insults(spark.createDataFrame(rows, "text string, y double"), toxicity.Settings())
+    assert {"<hereby", ">everybody"} <= learned
+    assert toxicity.features("they hereby kill time") == (0, 0, 0) != toxicity.features("they hereby kill time", learned)
+    assert toxicity.features("hereby to everybody", learned) == (0, 0, 0)
+
+
 def test_toxicity_edges(spark):
     docs = docs_of(spark, [(1, "you idiot", "en", "a"), (2, None, None, None), (2, "fine", "en", "a"), (None, "you idiot", "en", "a"), (3, "", "en", "a")])
     labels = spark.createDataFrame([(1, 1), (2, None), (None, 1), (3, 0), (3, 0)], "doc_id long, toxic int")
