@@ -262,18 +262,27 @@ def keep_one(
 ) -> DataFrame:
     """``docs`` with one row of each component of ``near_duplicates``: that of its smallest id.
 
-    Of repeated rows of that id, and of a component without any id, any one row stays.
+    Of repeated rows of that id, and of a component without any id, any one row stays. Rows
+    that share an id but no component are told apart by their fingerprints.
     """
     prepare(docs.sparkSession)
     made = materialize(fingerprints(docs, shingle, id_col, text_col))
     named = materialize(components(made, id_col, max_bits))
-    ids = named.where(F.col("component_id").isNotNull()).select(F.col("component_id").alias("__id")).distinct()
+    shared = made.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("__id")).agg(F.min("fp").alias("low"), F.max("fp").alias("high"))
+    shared = materialize(shared.where("low != high").select("__id"))
+    heads = named.where(F.col("component_id").isNotNull()).select(F.col("component_id").alias("__id"), "class_fp", F.col("label").alias("__label"))
+    ids = heads.select("__id").distinct().join(shared, "__id", "left_anti")
     with_id = docs.join(ids, docs[id_col] == ids["__id"], "left_semi").dropDuplicates([id_col])
 
     @F.pandas_udf("long")
     def fp(texts: pd.Series) -> pd.Series:
         return pd.Series([fingerprint(t, shingle) for t in texts], dtype="int64")
 
+    if not shared.isEmpty():
+        several = docs.join(shared, docs[id_col] == shared["__id"], "left_semi").withColumn("__fp", fp(F.col(text_col)))
+        several = several.join(heads, (several[id_col] == heads["__id"]) & (several["__fp"] == heads["class_fp"])).dropDuplicates(["__label"])
+        with_id = with_id.unionByName(several.select(*(several[c] for c in docs.columns)))
+
     lone = named.where(F.col("component_id").isNull()).select("class_fp", F.col("label").alias("__label"))
     without = docs.where(F.col(id_col).isNull()).withColumn("__fp", fp(F.col(text_col)))
     without = without.join(lone, F.col("__fp") == F.col("class_fp")).dropDuplicates(["__label"])

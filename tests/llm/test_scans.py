@@ -140,6 +140,13 @@ def test_simhash_odd_rows(spark, odd):
     assert simhash.keep_one(lonely.union(lonely)).count() == 1
 
 
+def test_keep_one_of_each_component_under_a_shared_id(spark):
+    fish, bird = "a quiet green fish swims under the old stone bridge every day", "seven loud birds argue about bread crumbs near our kitchen window"
+    rows = [(1, fish, "a"), (1, bird, "b"), (1, bird, "b"), (2, fish, "c"), (3, bird, "d"), (4, "one more text that stands alone in this table", "e")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    assert sorted(tuple(r) for r in simhash.keep_one(docs).collect()) == [(1, fish, "a"), (1, bird, "b"), rows[-1]]
+
+
 def test_vantage_point_trees_find_every_link(spark, monkeypatch):
     """Small shards and leaves, chains and dense groups: same components as all pairs."""
     rng = random.Random(5)
