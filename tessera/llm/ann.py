@@ -6,6 +6,10 @@ queue of the branches not taken, ordered by their distance to the query, until
 it has visited its share of leaves. The candidates of those leaves are reranked
 by exact inner product.
 
+The forest does not save products: a shard scores all its rows against all queries of
+a block, and rows outside the visited leaves are masked afterwards. It decides which
+rows count, not what is paid.
+
 Reranking is dealt by (block of queries, shard of candidates). A task holds one
 block's queries and the best of each so far, and streams the shard past them, so
 its memory does not depend on the size of a leaf, and each shard hands on only
