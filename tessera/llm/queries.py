@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import ann, classifier, html, language, licenses, mixing, packing, quality, simhash, toxicity
+from tessera.llm import ann, classifier, conversations, html, language, lexical, licenses, mixing, packing, quality, simhash, tokencount, toxicity
 from tessera.llm.common import table
 
 
@@ -53,6 +53,18 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classifier.classify(docs, classifier.fit(docs))
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencount.token_counts(table(spark, sf_dir, "documents"), tokencount.vocabulary_path())
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair_damaged(table(spark, sf_dir, "conversations"))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable] = {
     f.__name__: f
     for f in (
@@ -66,6 +78,13 @@ QUERIES: dict[str, Callable] = {
         op8_html_extraction,
         op9_best_fit_packing,
         op10_quality_classifier,
+        op11_token_counts,
+        op12_conversation_repair,
+        op13_lexical_search,
     )
 }
-ORACLE: dict[str, str] = {"op1_license_scan": licenses.oracle_sql()}
+ORACLE: dict[str, str] = {
+    "op1_license_scan": licenses.oracle_sql(),
+    "op12_conversation_repair": conversations.oracle_sql(),
+    "op13_lexical_search": lexical.oracle_sql(),
+}
