@@ -7,12 +7,18 @@ from pyspark.sql import functions as F
 
 from tessera.operators import graph as G
 from tessera.operators import mesh as M
+from tessera.operators.skew import heavy_hitters
+from tessera.operators.space import tree_radius_graph
 from tessera.plans.catalog import register
 from tessera.plans.views import (
+    DENSE_RADIUS,
     POINT_BOUNDS,
     POINT_RADIUS,
+    v_dense_points,
     v_graph_edges,
     v_graph_nodes,
+    v_hub_edges,
+    v_hub_nodes,
     v_mesh,
     v_points,
     with_views,
@@ -40,6 +46,20 @@ def q_points_radius_graph(spark, sf):
     return G.radius_graph(v_points(spark, sf), R, dim=2)
 
 
+@register(
+    "points_dense_graph",
+    with_views(
+        f"""SELECT a.sample, a.node AS src, b.node AS dst FROM v_dense_points a JOIN v_dense_points b ON a.sample = b.sample
+WHERE (a.pos[1] - b.pos[1]) * (a.pos[1] - b.pos[1]) + (a.pos[2] - b.pos[2]) * (a.pos[2] - b.pos[2])
+  <= {DENSE_RADIUS * DENSE_RADIUS!r}::DOUBLE""",
+        "v_dense_points",
+    ),
+)
+def q_points_dense_graph(spark, sf):
+    """JN3 where most points share a grid cell: boxes of a sampled k-d tree with halo rows."""
+    return tree_radius_graph(v_dense_points(spark, sf), DENSE_RADIUS, dim=2)
+
+
 @register(
     "points_edge_features",
     with_views(
@@ -144,6 +164,45 @@ def q_graph_message_pass(spark, sf):
     return out.select("node", *[F.round(F.col("aggr")[i], 4).alias(f"m{i}") for i in range(5)], "degree")
 
 
+@register(
+    "graph_hub_messages",
+    with_views(
+        """WITH m AS (
+  SELECT e.dst, s.x[1] AS m0, s.x[2] AS m1, d.x[1] AS m2, e.attr[1] AS m3, e.attr[2] AS m4
+  FROM v_hub_edges e JOIN v_src_nodes s ON e.src = s.node JOIN v_hub_nodes d ON e.dst = d.node)
+SELECT n.node, round(coalesce(sum(m0), 0.0), 3) AS m0, round(coalesce(sum(m1), 0.0), 3) AS m1,
+  round(coalesce(sum(m2), 0.0), 3) AS m2, round(coalesce(sum(m3), 0.0), 3) AS m3, round(coalesce(sum(m4), 0.0), 3) AS m4,
+  CAST(count(m.dst) AS BIGINT) AS degree
+FROM v_hub_nodes n LEFT JOIN m ON m.dst = n.node GROUP BY n.node""",
+        "v_src_nodes",
+        "v_hub_nodes",
+        "v_hub_edges",
+    ),
+)
+def q_graph_hub_messages(spark, sf):
+    """JN4 + UD9 + AG11 where every target is a hub: the gather is salted."""
+    part, _ = v_graph_nodes(spark, sf)
+    edges, nations = v_hub_edges(spark, sf), v_hub_nodes(spark, sf)
+    out = G.message_pass(part, nations, edges, lambda xs, xd, e: F.concat(xs, xd, e), width=5, hubs=G.find_hubs(edges))
+    return out.select("node", *[F.round(F.col("aggr")[i], 3).alias(f"m{i}") for i in range(5)], "degree")
+
+
+HUB_SHARE = 0.04
+
+
+@register(
+    "graph_heavy_nodes",
+    with_views(
+        f"""SELECT dst, CAST(count(*) AS BIGINT) AS n FROM v_hub_edges GROUP BY dst
+HAVING count(*) >= {HUB_SHARE}::DOUBLE * (SELECT count(*) FROM v_hub_edges)""",
+        "v_hub_edges",
+    ),
+)
+def q_graph_heavy_nodes(spark, sf):
+    """Target nodes with at least 4 % of all edges: candidates of the sketch, counted exactly."""
+    return heavy_hitters(v_hub_edges(spark, sf), "dst", HUB_SHARE)
+
+
 # Mesh -----------------------------------------------------------------------
 
 _STATS_SQL = """SELECT feature, CAST(i AS INTEGER) AS i, round(avg(v), 9) AS mean,

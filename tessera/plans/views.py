@@ -100,6 +100,18 @@ def v_points(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+DENSE_RADIUS = 0.002
+
+
+def v_dense_points(spark: SparkSession, sf: str) -> DataFrame:
+    """Two point clouds that crowd at the origin: the cubes of two components."""
+    e = to_double_array(F.slice("embedding", 1, 2))
+    cubes = F.transform(e, lambda x: x * x * x)
+    return table(spark, sf, "embeddings").select(
+        (F.col("label") % 2).cast("bigint").alias("sample"), F.col("vec_id").alias("node"), cubes.alias("pos")
+    )
+
+
 def v_mesh(spark: SparkSession, sf: str) -> DataFrame:
     e = table(spark, sf, "embeddings")
     onehot = to_double_array(F.slice("embedding", 3, MESH_TYPES))
@@ -137,6 +149,20 @@ def v_graph_edges(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def v_hub_edges(spark: SparkSession, sf: str) -> DataFrame:
+    """Edges from parts to the nations of their suppliers: few targets, all of them hubs."""
+    li = table(spark, sf, "lineitem")
+    s = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").cast("bigint").alias("dst"))
+    return li.join(s, on="l_suppkey").select(
+        F.col("l_partkey").alias("src"), "dst", F.array(F.col("l_quantity").cast("double"), F.col("l_discount").cast("double")).alias("attr")
+    )
+
+
+def v_hub_nodes(spark: SparkSession, sf: str) -> DataFrame:
+    n = table(spark, sf, "nation")
+    return n.select(F.col("n_nationkey").cast("bigint").alias("node"), F.array(F.col("n_regionkey").cast("double")).alias("x"))
+
+
 def v_runs(spark: SparkSession, sf: str) -> DataFrame:
     o = table(spark, sf, "orders")
     return o.select(
@@ -201,6 +227,8 @@ SQL_VIEWS = {
     "v_points": """SELECT CAST(label AS BIGINT) AS sample, vec_id AS node,
         list_transform(embedding[1:2], lambda x: x::DOUBLE) AS pos, vec_id % 9 AS particle_type
         FROM embeddings""",
+    "v_dense_points": """SELECT CAST(label % 2 AS BIGINT) AS sample, vec_id AS node,
+        list_transform(embedding[1:2], lambda x: x::DOUBLE * x::DOUBLE * x::DOUBLE) AS pos FROM embeddings""",
     "v_mesh": """SELECT CAST(label AS BIGINT) AS sample, vec_id AS node,
         list_transform(embedding[1:2], lambda x: x::DOUBLE) AS velocity,
         list_transform(embedding[3:11], lambda x: x::DOUBLE) AS onehot,
@@ -213,6 +241,9 @@ SQL_VIEWS = {
     "v_dst_nodes": """SELECT s_suppkey AS node, [s_acctbal::DOUBLE] AS x FROM supplier""",
     "v_edges": """SELECT l_partkey AS src, l_suppkey AS dst,
         [l_quantity::DOUBLE, l_discount::DOUBLE] AS attr FROM lineitem""",
+    "v_hub_edges": """SELECT l_partkey AS src, CAST(s_nationkey AS BIGINT) AS dst,
+        [l_quantity::DOUBLE, l_discount::DOUBLE] AS attr FROM lineitem JOIN supplier ON s_suppkey = l_suppkey""",
+    "v_hub_nodes": """SELECT CAST(n_nationkey AS BIGINT) AS node, [n_regionkey::DOUBLE] AS x FROM nation""",
     "v_runs": """SELECT o_orderkey AS run_id, o_orderpriority AS run_group, o_orderstatus AS project,
         o_totalprice AS val_loss, o_orderdate AS created_at,
         CASE WHEN o_orderkey % 11 = 0 THEN ['delete'] ELSE []::VARCHAR[] END AS tags FROM orders""",
