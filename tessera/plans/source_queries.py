@@ -8,10 +8,13 @@ from pyspark.sql import functions as F
 
 from tessera.plans.catalog import register
 from tessera.plans.views import v_history, v_text, v_traj, with_views
-from tessera.session import scratch_path
+from tessera.session import materialize, scratch_path
 from tessera.sources import files as FS
 from tessera.sources import flat_tensor as FT
+from tessera.sources import history_store as HS
 from tessera.sources import store as ST
+from tessera.sources import tensor_store as TS
+from tessera.sources.csv_split import read_csv_split
 
 
 @register("csv_roundtrip", with_views("SELECT id, tag, title, description FROM v_text", "v_text"))
@@ -23,6 +26,14 @@ def q_csv_roundtrip(spark, sf):
     return FS.read_csv(spark, path).select("id", "tag", "title", "description")
 
 
+@register("csv_split_roundtrip", with_views("SELECT id, tag, title, description FROM v_text", "v_text"))
+def q_csv_split_roundtrip(spark, sf):
+    """SC1: the same table as one large CSV file, read in byte blocks by many tasks."""
+    path = scratch_path(spark, "csv-one")
+    FS.write_csv(v_text(spark, sf).drop("y_pred").coalesce(1), path)
+    return read_csv_split(spark, path).select("id", "tag", "title", "description")
+
+
 @register(
     "csv_sample",
     with_views("SELECT id, tag FROM v_text ORDER BY md5(CAST(id AS VARCHAR) || ':' || '1234'), id LIMIT 50", "v_text"),
@@ -61,13 +72,50 @@ def q_flat_tensor_roundtrip(spark, sf):
     )
 
 
+@register(
+    "tensor_store_roundtrip",
+    with_views(
+        """WITH least AS (
+  SELECT traj_id, min(n) AS n FROM (SELECT traj_id, particle, count(*) AS n FROM v_traj GROUP BY ALL) GROUP BY traj_id)
+SELECT traj_id, frame, particle, particle % 9 AS particle_type, CAST(pos[1] AS FLOAT)::DOUBLE AS x0, CAST(pos[2] AS FLOAT)::DOUBLE AS x1
+FROM v_traj JOIN least USING (traj_id) WHERE frame < n""",
+        "v_traj",
+    ),
+)
+def q_tensor_store_roundtrip(spark, sf):
+    """SC4 + SC5 + SC8: trajectories of many particles, up to the length of the
+    shortest track, written to a committed store and read by byte ranges."""
+    path = scratch_path(spark, "tensor-store")
+    t = materialize(v_traj(spark, sf))
+    lengths = t.groupBy("traj_id", "particle").agg(F.count(F.lit(1)).alias("n"))
+    least = lengths.groupBy("traj_id").agg(F.min("n").alias("n"))
+    dense = t.join(least, "traj_id").where("frame < n").withColumn("particle_type", F.col("particle") % 9)
+    TS.write_store(dense, path, frames_per_chunk=64)
+    return TS.read_store(spark, path).select(
+        "traj_id", "frame", "particle", "particle_type", F.col("pos")[0].alias("x0"), F.col("pos")[1].alias("x1")
+    )
+
+
 @register("history_sink_roundtrip", with_views("SELECT run_id, step, round(loss, 9) AS loss FROM v_history", "v_history"))
 def q_history_sink_roundtrip(spark, sf):
-    """SC12: metric history appended as run-partitioned parquet, read back."""
+    """SC12: metric history appended in two commits, compacted, read back."""
+    path = scratch_path(spark, "history")
+    h = materialize(v_history(spark, sf))
+    FS.append_history(h.where("step % 2 = 0"), path)
+    FS.append_history(h.where("step % 2 = 1"), path)
+    HS.compact(spark, path)
+    return HS.read(spark, path).select("run_id", "step", F.round("loss", 9).alias("loss"))
+
+
+@register(
+    "history_sink_runs",
+    with_views("SELECT run_id, step, round(loss, 9) AS loss FROM v_history WHERE run_id IN (1, 5, 17, 40)", "v_history"),
+)
+def q_history_sink_runs(spark, sf):
+    """SC12: some runs of the sink; only their buckets are read."""
     path = scratch_path(spark, "history")
     FS.append_history(v_history(spark, sf), path)
-    back = spark.read.parquet(path)
-    return back.select("run_id", "step", F.round("loss", 9).alias("loss"))
+    return HS.read(spark, path, runs=[1, 5, 17, 40]).select("run_id", "step", F.round("loss", 9).alias("loss"))
 
 
 @register(

@@ -9,26 +9,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators.core import take_sample
+from tessera.sources import history_store
 
 LABELLED_SCHEMA = "id long, created_on timestamp, title string, description string, tag string"
 
 # NULL gets an explicit marker so that empty strings survive a round trip
 # (with the default marker "" both read back as NULL).
-_CSV_OPTS = {"header": "true", "multiLine": "true", "escape": '"', "quote": '"', "nullValue": "\\N"}
+CSV_OPTS = {"header": "true", "multiLine": "true", "escape": '"', "quote": '"', "nullValue": "\\N"}
 
 
 def read_csv(spark: SparkSession, path: str, schema: str = LABELLED_SCHEMA, *, num_samples: int | None = None,
              key: str = "id", seed: int = 1234) -> DataFrame:
     """SC1: header CSV with an explicit schema (no inference pass); optional
     reproducible first-``num_samples`` of the seeded shuffle (0/None = all)."""
-    df = spark.read.schema(schema).options(**_CSV_OPTS).csv(path)
+    df = spark.read.schema(schema).options(**CSV_OPTS).csv(path)
     return take_sample(df, key, num_samples, seed) if num_samples else df
 
 
 def write_csv(df: DataFrame, path: str) -> None:
     """Header CSV; surrounding whitespace is kept (Spark's writer trims it by default)."""
     df.write.mode("overwrite").options(
-        **_CSV_OPTS, ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false"
+        **CSV_OPTS, ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false"
     ).csv(path)
 
 
@@ -65,6 +66,7 @@ def list_files(spark: SparkSession, dir_path: str) -> DataFrame:
     )
 
 
-def append_history(history: DataFrame, path: str, partition_by: str = "run_id") -> None:
-    """SC12: append metric-history rows, partitioned by run."""
-    history.write.mode("append").partitionBy(partition_by).parquet(path)
+def append_history(history: DataFrame, path: str, run: str = "run_id", step: str = "step") -> int:
+    """SC12: append metric-history rows to the bucketed, committed sink of
+    :mod:`tessera.sources.history_store`; the version of the commit."""
+    return history_store.append(history, path, run=run, step=step)

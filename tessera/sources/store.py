@@ -1,18 +1,23 @@
 """Versioned dataset / artifact store on shared storage (SC11, SC13, SC15).
 
-``artifacts`` is an append-only parquet table
-``(name, type, version, created_at, path, digest, n_rows, aliases)``; dataset
-contents live under ``<root>/<name>/v=<version>``. A new version is written
-only when the content digest changes.
+Each artifact name has a commit log whose entry ``n`` is version ``n``:
+``(name, type, version, created_at, path, digest, n_rows)``. Contents lie in
+folders of their own, written before the entry that names them. Two writers at
+once give two versions, and readers see whole versions only. A new dataset
+version is made only when the content digest changes.
 """
 
 from __future__ import annotations
 
-import os
+import datetime as dt
+import uuid
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.sources.commit_log import CommitLog
+
 ARTIFACT_SCHEMA = (
     "name string, type string, version long, created_at timestamp, path string, "
     "digest string, n_rows long"
@@ -35,13 +40,30 @@ def content_digest(df: DataFrame) -> DataFrame:
     )
 
 
+def _log_root(root: str) -> str:
+    return f"{root.rstrip('/')}/_log"
+
+
+def artifact_log(spark: SparkSession, root: str, name: str) -> CommitLog:
+    return CommitLog(spark, f"{_log_root(root)}/{quote(name, safe='')}")
+
+
+def _content_path(root: str, name: str) -> str:
+    """A folder that no other writer uses."""
+    return f"{root.rstrip('/')}/{quote(name, safe='')}/{uuid.uuid4().hex}"
+
+
+def _entry(name: str, kind: str, version: int, path: str, digest: str, n_rows: int) -> dict:
+    at = dt.datetime.now(dt.timezone.utc).isoformat()
+    return {"name": name, "type": kind, "version": version, "created_at": at, "path": path, "digest": digest, "n_rows": n_rows}
+
+
 def read_artifacts(spark: SparkSession, root: str) -> DataFrame:
     """The artifact table of ``root`` (empty before the first registration);
     ``root`` may be on any file system that Spark can reach."""
-    p = os.path.join(root, "_artifacts")
-    if not path_exists(spark, p):
+    if not path_exists(spark, _log_root(root)):
         return spark.createDataFrame([], ARTIFACT_SCHEMA)
-    return spark.read.schema(ARTIFACT_SCHEMA).parquet(p)
+    return spark.read.schema(ARTIFACT_SCHEMA).json(f"{_log_root(root)}/*/*.json")
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -53,26 +75,27 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 def register_dataset(spark: SparkSession, df: DataFrame, root: str, name: str, data_type: str) -> tuple[bool, str]:
     """SC11: store ``df`` as dataset ``name``; bump the version only when the
     content digest differs from the latest version. Returns
-    ``(True, "name:latest")`` or ``(False, "")`` when writing fails."""
+    ``(True, "name:latest")`` or ``(False, "")`` when writing fails.
+
+    A writer that finds its version number taken looks at the version that took
+    it: equal content makes no further version, other content the next one."""
     if not name:
         raise ValueError("dataset name is empty")
     digest_row = content_digest(df).first()  # one row
-    arts = read_artifacts(spark, root).where(F.col("name") == name)
-    latest = arts.orderBy(F.col("version").desc()).limit(1).collect()
-    if latest and latest[0]["digest"] == digest_row["digest"]:
-        return True, f"{name}:latest"
-    version = (latest[0]["version"] + 1) if latest else 0
-    path = os.path.join(root, name, f"v={version}")
+    path, written = _content_path(root, name), False
+
+    def decide(version: int, last: dict | None) -> dict | None:
+        nonlocal written
+        if last is not None and last["digest"] == digest_row["digest"]:
+            return None
+        if not written:
+            df.write.parquet(path)
+            written = True
+        return _entry(name, data_type, version, path, digest_row["digest"], digest_row["n_rows"])
+
     try:
-        df.write.mode("overwrite").parquet(path)
-        row = spark.createDataFrame(
-            [(name, data_type, version, path, digest_row["digest"], digest_row["n_rows"])],
-            "name string, type string, version long, path string, digest string, n_rows long",
-        ).withColumn("created_at", F.current_timestamp())
-        row.select(*[f.split()[0] for f in ARTIFACT_SCHEMA.split(", ")]).write.mode("append").parquet(
-            os.path.join(root, "_artifacts")
-        )
-    except Exception:  # noqa: BLE001 - the reference reports failure as (False, "")
+        artifact_log(spark, root, name).append(decide)
+    except Exception:  # noqa: BLE001 - failure is reported as (False, "")
         return False, ""
     return True, f"{name}:latest"
 
@@ -105,14 +128,7 @@ def use_artifact(spark: SparkSession, root: str, ref: str) -> DataFrame:
 
 def log_model(spark: SparkSession, model, root: str, name: str) -> str:
     """SC13: save an MLlib model as a new ``model`` artifact version."""
-    arts = read_artifacts(spark, root).where(F.col("name") == name).agg(F.max("version").alias("v")).first()
-    version = 0 if arts["v"] is None else arts["v"] + 1
-    path = os.path.join(root, name, f"v={version}")
-    model.write().overwrite().save(path)
-    spark.createDataFrame(
-        [(name, "model", version, path, "", 0)],
-        "name string, type string, version long, path string, digest string, n_rows long",
-    ).withColumn("created_at", F.current_timestamp()).select(
-        "name", "type", "version", "created_at", "path", "digest", "n_rows"
-    ).write.mode("append").parquet(os.path.join(root, "_artifacts"))
+    path = _content_path(root, name)
+    model.write().save(path)
+    artifact_log(spark, root, name).append(lambda version, last: _entry(name, "model", version, path, "", 0))
     return path
