@@ -80,7 +80,8 @@ class BallTree:
 
     def __init__(self, begin: np.ndarray, term: np.ndarray, impact: np.ndarray, n_terms: int):
         self.begin, self.term, self.impact = begin, term, impact
-        self.norm2 = self._sums(impact.astype(float) ** 2, np.arange(len(begin) - 1))
+        owner = np.repeat(np.arange(len(begin) - 1), np.diff(begin))
+        self.norm2 = np.bincount(owner, impact.astype(float) ** 2, len(begin) - 1)  # each sum by itself: no digits lost
         self.order = np.arange(len(begin) - 1)
         self.low, self.high, self.children, self.radius = [], [], [], []
         self.centroids: list[tuple[np.ndarray, np.ndarray]] = []
@@ -103,13 +104,6 @@ class BallTree:
         shift = np.repeat(self.begin[docs] - np.cumsum(sizes) + sizes, sizes)
         return np.arange(sizes.sum()) + shift, sizes
 
-    def _sums(self, values: np.ndarray, docs: np.ndarray) -> np.ndarray:
-        """Sums of ``values``, one for each posting of ``docs``, by document."""
-        sizes = self.begin[docs + 1] - self.begin[docs]
-        ends = np.cumsum(sizes)
-        total = np.concatenate([[0.0], np.cumsum(values)])
-        return total[ends] - total[ends - sizes]
-
     def _products(self, docs: np.ndarray) -> np.ndarray:
         """Inner products of ``docs`` with ``self.dense``."""
         at, sizes = self._places(docs)
