@@ -4,16 +4,17 @@ completion with ``availableNow`` triggers, and the sinks are read back."""
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import functions as F
 
 from tessera.plans.catalog import register
 from tessera.plans.runs_queries import TS_FMT_SQL
 from tessera.plans.views import v_history, with_views
 from tessera.session import scratch_path
+from tessera.streaming import exact as X
 from tessera.streaming import history as H
 
+RESEND_DELAY = 3600  # seconds
+
 
 def _write_log(spark, sf, copies: int = 1) -> str:
     src = scratch_path(spark, "history-log")
@@ -52,12 +53,10 @@ def q_history_stream_summary(spark, sf):
     with_views("SELECT run_id, step, round(loss, 9) AS loss FROM v_history", "v_history"),
 )
 def q_history_stream_append(spark, sf):
-    """SS2: the log is sent twice; the deduplicating append keeps one row per
-    (run_id, step)."""
+    """SS2: the log is sent twice; the exact append keeps one row per
+    (run_id, step), with state for an hour and older rows held against the sink."""
     src = _write_log(spark, sf, copies=2)
     sink = scratch_path(spark, "history-sink")
-    stream = H.dedup_history(H.history_stream(spark, src, max_files_per_trigger=2), watermark="3650 days")
-    q = H.append_history(stream, sink, os.path.join(sink + "-ckpt"))
+    q = X.append_exactly(H.history_stream(spark, src, max_files_per_trigger=2), sink, sink + "-ckpt", RESEND_DELAY)
     q.awaitTermination()
-    back = spark.read.schema(H.HISTORY_SCHEMA).parquet(sink)
-    return back.select("run_id", "step", F.round("loss", 9).alias("loss"))
+    return X.read_sink(spark, sink, H.HISTORY_SCHEMA).select("run_id", "step", F.round("loss", 9).alias("loss"))
