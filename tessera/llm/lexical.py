@@ -93,8 +93,7 @@ class BallTree:
             if parent is not None:
                 self.children[parent].append(node)
             if high - low > LEAF:
-                self._split(low, high)
-                middle = (low + high) // 2
+                middle = self._split(low, high)
                 todo += [(low, middle, node), (middle, high, node)]
         self.leaves = {k: self._postings(self.order[self.low[k] : self.high[k]]) for k, c in enumerate(self.children) if not c}
 
@@ -137,12 +136,20 @@ class BallTree:
         self.dense[self.term[mine]] = 0
         return out
 
-    def _split(self, low: int, high: int) -> None:
-        """Order ``low:high`` by which of two documents far apart is nearer."""
+    def _split(self, low: int, high: int) -> int:
+        """Order ``low:high`` by which of two documents far apart is nearer, and cut near the middle.
+
+        The cut is between two documents that differ in this, so copies stay in one ball of no width.
+        """
         docs = self.order[low:high]
         one = docs[np.argmax(self._distances(docs[0], docs))]
         other = docs[np.argmax(from_one := self._distances(one, docs))]
-        self.order[low:high] = docs[np.argsort(from_one - self._distances(other, docs), kind="stable")]
+        side = from_one - self._distances(other, docs)
+        by = np.argsort(side, kind="stable")
+        self.order[low:high] = docs[by]
+        half = (high - low) // 2
+        steps = np.flatnonzero(np.diff(side[by])) + 1
+        return low + int(steps[np.argmin(abs(steps - half))] if len(steps) else half)
 
     def _postings(self, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """A leaf's postings by term: terms, places in the leaf, impacts."""
