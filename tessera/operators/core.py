@@ -10,7 +10,7 @@ task holds one bucket of one group instead of the whole group.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.hashing import hash_hex
@@ -102,12 +102,95 @@ def seeded_shuffle(df: DataFrame, key: str, seed: int = 1234) -> DataFrame:
     return df.orderBy(h, F.col(key))
 
 
+#: Rows of the last step of a selection that the driver sorts.
+FEW_ROWS = 1_000
+
+
+def smallest(df: DataFrame, digest: Column, n: int) -> tuple[DataFrame, str | None, int]:
+    """The rows of ``df`` whose hex ``digest`` is among the ``n`` smallest, found without a sort.
+
+    Rows are counted by the next four digits (at most 65,536 counts), and the
+    bucket in which the n-th row lies is counted again, until a bucket ends
+    there or is small. Returns the rows below the cut, and, where rows of one
+    digest are cut in two, that digest and how many of its rows are still wanted.
+    """
+    held = df.withColumn("__d", digest)
+    prefix, before = "", 0
+    while True:
+        inside = held.where(F.col("__d").startswith(prefix)) if prefix else held
+        at = len(prefix) + 1
+        counts = sorted(map(tuple, inside.groupBy(F.substring("__d", at, 4).alias("p")).count().collect()))
+        for digits, k in counts:
+            if before + k >= n:
+                break
+            before += k
+        else:
+            return df, None, 0  # there are no more than n rows
+        prefix += digits
+        if before + k == n:
+            return held.where(F.substring("__d", 1, len(prefix)) <= prefix).drop("__d"), None, 0
+        whole = len(digits) < 4 or len(prefix) >= 32  # all digits are used up
+        if k <= FEW_ROWS and not whole:
+            few = sorted(r[0] for r in held.where(F.col("__d").startswith(prefix)).select("__d").collect())
+            cut = few[n - before - 1]
+            below, upto = before + few.index(cut), before + len(few) - few[::-1].index(cut)
+            if upto == n:
+                return held.where(F.col("__d") <= cut).drop("__d"), None, 0
+            return held.where(F.col("__d") < cut).drop("__d"), cut, n - below
+        if whole:
+            return held.where(F.col("__d") < prefix).drop("__d"), prefix, n - before
+
+
 def take_sample(df: DataFrame, key: str, n: int | None, seed: int = 1234) -> DataFrame:
-    """SK2: the first ``n`` rows of the seeded shuffle (0 / None = all rows)."""
+    """SK2: the first ``n`` rows of the seeded shuffle (0 / None = all rows), in no order.
+
+    A distributed selection: counts find the cut, a filter takes the rows, so
+    half of a table comes out of as many tasks as it went in. Rows of one key
+    that the cut divides are taken by a digest of all their columns. A NULL key
+    comes first.
+    """
     if not n:
         return df
-    h = hash_hex([key], seed)
-    return df.orderBy(h, F.col(key)).limit(int(n))
+    h = F.coalesce(hash_hex([key], seed), F.lit(""))
+    below, cut, left = smallest(df, h, int(n))
+    if cut is None:
+        return below
+    tied = df.where(h == cut)
+    row = F.md5(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}))
+    some, same, more = smallest(tied, row, left)
+    out = below.unionByName(some)
+    # rows that are equal in every column: any of them
+    return out if same is None else out.unionByName(tied.where(row == same).limit(more))
+
+
+def range_splitters(df: DataFrame, cols: list[str], buckets: int = 64, *, sample_rows: int = 20_000, seed: int = 11) -> list[Row]:
+    """Values of ``cols`` that cut ``df`` into about equal ranges, from a sample of about ``sample_rows`` rows.
+
+    The order is Spark's own, of any sortable types, NULL first. At most
+    ``buckets - 1`` different rows.
+    """
+    keys = df.select(*cols)
+    total = keys.count()
+    some = keys.sample(fraction=sample_rows / total, seed=seed) if total > sample_rows else keys
+    ordered = some.orderBy(*cols).collect()
+    found = [ordered[len(ordered) * i // buckets] for i in range(1, buckets)] if ordered else []
+    return list(dict.fromkeys(found))
+
+
+def range_bucket(df: DataFrame, cols: list[str], splitters: list[Row]) -> Column:
+    """How many splitters are not above a row's ``cols``: non-decreasing along them, so a bucket for
+    :func:`bucketed_rank`. A binary search in nested comparisons."""
+    kinds = [df.schema[c].dataType for c in cols]
+    key = F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(cols)])
+
+    def search(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low).cast("bigint")
+        middle = (low + high) // 2
+        cut = F.struct(*[F.lit(v).cast(k).alias(f"c{i}") for i, (v, k) in enumerate(zip(splitters[middle], kinds))])
+        return F.when(key < cut, search(low, middle)).otherwise(search(middle + 1, high))
+
+    return search(0, len(splitters))
 
 
 def fixed_batches(

@@ -7,6 +7,8 @@ so the rest runs on a table the size of the label set squared.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -154,18 +156,99 @@ def metric_rows(
     return o.unionByName(c).unionByName(s)
 
 
-def metric_document(rows: DataFrame) -> DataFrame:
-    """AG8 + AR12 (nested form): one row ``overall struct, per_class map, slices map``."""
-    m = F.struct("precision", "recall", "f1", "num_samples")
-    # entries sorted by key: the document does not depend on partitioning
-    per_scope = rows.groupBy("scope").agg(
-        F.map_from_entries(F.array_sort(F.collect_list(F.struct("key", m)))).alias("m")
+def metric_cube(
+    scored: DataFrame,
+    classes: DataFrame,
+    slices: dict[str, Column],
+    y_true: str = "y_true",
+    y_pred: str = "y_pred",
+    label_col: str = "tag",
+    index_col: str = "class_index",
+) -> DataFrame:
+    """AG5-AG8 from one scan: the rows of :func:`metric_rows` and their ``place`` (class index or slice number).
+
+    The scan is counted per (truth, prediction, slices), at most k * k * 2^s
+    rows. From there on one plan without branches: grouping sets over label and
+    slice give the counts of both, a second pair of grouping sets the weighted
+    means over all labels.
+    """
+    member = F.filter(F.array(*[F.when(c, F.lit(i)) for i, c in enumerate(slices.values())]), lambda x: x.isNotNull())
+    counted = scored.select(F.col(y_true).alias("t"), F.col(y_pred).alias("p"), (member if slices else F.array().cast("array<int>")).alias("member"))
+    counted = counted.groupBy("t", "p", "member").agg(F.count(F.lit(1)).alias("n"))
+    none, hit = F.lit(0).cast("bigint"), F.when(F.col("t") == F.col("p"), F.col("n")).otherwise(F.lit(0))
+    sides = counted.select(
+        F.explode(F.concat(F.array(F.lit(-1)), "member")).alias("slice"), "t", "p", "n"  # -1: all rows
+    ).select(
+        "slice",
+        F.inline(
+            F.array(
+                F.struct(F.col("t").alias("label"), hit.alias("tp"), none.alias("n_pred"), F.col("n").alias("support")),
+                F.struct(F.col("p").alias("label"), none.alias("tp"), F.col("n").alias("n_pred"), none.alias("support")),
+            )
+        ),
     )
-    return per_scope.agg(
-        F.max(F.when(F.col("scope") == "overall", F.col("m")["overall"])).alias("overall"),
-        F.max(F.when(F.col("scope") == "per_class", F.to_json("m"))).alias("per_class_json"),
-        F.max(F.when(F.col("scope") == "slices", F.to_json("m"))).alias("slices_json"),
+    whole = F.col("slice") == -1
+    cube = sides.withColumn("in_all", whole).groupingSets([["label"], ["slice"]], "label", "slice").agg(
+        F.grouping("label").alias("of_slice"),
+        *[F.sum(F.when(F.col("in_all"), F.col(c))).alias(f"{c}_all") for c in ("tp", "n_pred", "support")],
+        *[F.sum(c).alias(c) for c in ("tp", "support")],
     )
+    names = F.create_map(*[x for i, n in enumerate(slices) for x in (F.lit(i), F.lit(n))]) if slices else F.create_map(F.lit(0), F.lit(""))
+    of_slice = F.col("of_slice") == 1
+    rows = cube.where(~of_slice | (F.col("slice") >= 0)).select(
+        F.when(of_slice, "slices").otherwise("per_class").alias("scope"),
+        F.when(of_slice, names[F.col("slice")]).otherwise(F.col("label")).alias("key"),
+        F.col("slice").alias("slice_no"),
+        *[F.when(of_slice, F.col("tp" if c == "tp" else "support")).otherwise(F.col(f"{c}_all")).alias(c) for c in ("tp", "n_pred", "support")],
+    )
+    fitted = classes.select(F.lit("per_class").alias("scope"), F.col(label_col).cast("string").alias("key"), F.col(index_col).cast("bigint").alias("class_no"))
+    both = rows.join(fitted, ["scope", "key"], "full_outer")
+    counts = ["tp", "n_pred", "support"]
+    prf = per_label_prf(both.select("scope", "key", F.coalesce("class_no", F.col("slice_no").cast("bigint")).alias("place"), *[F.coalesce(c, F.lit(0)).alias(c) for c in counts]))
+    s = F.col("support").cast("double")
+    sums = prf.groupingSets([["scope", "key", "place"], ["scope"]], "scope", "key", "place").agg(
+        F.grouping("place").alias("total"),
+        *[_safe_div(F.sum(s * F.col(c)), F.sum(s)).alias(c) for c in ("precision", "recall", "f1")],
+        F.sum(s).alias("num_samples"),
+    )
+    total = F.col("total") == 1
+    kept = sums.where((total & (F.col("scope") == "per_class") & (F.col("num_samples") > 0)) | (~total & F.col("place").isNotNull()))
+    return kept.select(
+        F.when(total, "overall").otherwise(F.col("scope")).alias("scope"),
+        F.when(total, "overall").otherwise(F.col("key")).alias("key"),
+        "precision", "recall", "f1", "num_samples", "place",
+    )
+
+
+def evaluation_document(rows: DataFrame, *, timestamp: Column, run_id: Column, eval_run_id: Column) -> DataFrame:
+    """AG8 + SC14: one row ``timestamp, run_id, eval_run_id, metrics`` of the rows of :func:`metric_cube`.
+
+    ``metrics`` is ``overall`` and the maps ``per_class``, best F1 first and
+    then in class order, and ``slices`` in their order. Bounded by the label set.
+    """
+    m = F.struct("precision", "recall", "f1", "num_samples")
+    first = F.when(F.col("scope") == "per_class", -F.col("f1")).otherwise(F.lit(0.0))
+
+    def nested(scope: str) -> Column:
+        mine = F.filter("all", lambda e: e.scope == scope)
+        return F.map_from_entries(F.transform(mine, lambda e: F.struct(e.key, e.m)))
+
+    every = F.array_sort(F.collect_list(F.struct("scope", first.alias("first"), "place", "key", m.alias("m")))).alias("all")
+    metrics = F.struct(nested("overall")["overall"].alias("overall"), nested("per_class").alias("per_class"), nested("slices").alias("slices"))
+    return rows.agg(every).select(
+        timestamp.alias("timestamp"), run_id.alias("run_id"), eval_run_id.alias("eval_run_id"), metrics.alias("metrics")
+    )
+
+
+def document_rows(documents: DataFrame) -> DataFrame:
+    """Documents as rows again: the run fields, ``scope``, ``position``, ``key`` and the metrics, in the document's order."""
+    run = ["timestamp", "run_id", "eval_run_id"]
+    scopes = [F.create_map(F.lit("overall"), F.col("metrics.overall")), F.col("metrics.per_class"), F.col("metrics.slices")]
+    parts = [
+        documents.select(*run, F.lit(n).alias("scope"), F.posexplode(s).alias("position", "key", "m"))
+        for n, s in zip(("overall", "per_class", "slices"), scopes)
+    ]
+    return reduce(DataFrame.unionByName, parts).select(*run, "scope", "position", "key", "m.*")
 
 
 def join_coverage(left: DataFrame, right: DataFrame, key: str) -> DataFrame:

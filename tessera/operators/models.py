@@ -56,11 +56,18 @@ def fit_text_classifier(train: DataFrame, **kw) -> tuple[PipelineModel, DataFram
     return model, history
 
 
-def class_labels(model: PipelineModel) -> list[str]:
-    return list(model.stages[0].labels)
+def class_labels(model) -> list[str]:
+    """Labels in index order, of a pipeline or of a :class:`tessera.operators.bayes.NaiveBayes`."""
+    return list(model.labels if hasattr(model, "labels") else model.stages[0].labels)
 
 
-def predict_tags(model: PipelineModel, df: DataFrame, *, threshold: float, fallback: str, key: str = "id",
+def _probabilities(model, df: DataFrame, key: str, text: str) -> DataFrame:
+    if hasattr(model, "probabilities"):
+        return model.probabilities(df, key, text)
+    return model.transform(df).select(key, F.col(text).alias("input_text"), vector_to_array("probability").alias("probability"))
+
+
+def predict_tags(model, df: DataFrame, *, threshold: float, fallback: str, key: str = "id",
                  text: str = "text") -> DataFrame:
     """ML2 + AR2 + JN2: ``(key, input_text, pred_index, predicted_tags)``;
     argmax when the top probability exceeds ``threshold``, else the index of
@@ -69,15 +76,14 @@ def predict_tags(model: PipelineModel, df: DataFrame, *, threshold: float, fallb
     if fallback not in labels:
         raise KeyError(fallback)
     spark = df.sparkSession
-    scored = model.transform(df).select(
-        key, F.col(text).alias("input_text"),
-        thresholded_argmax(vector_to_array("probability"), threshold, labels.index(fallback)).alias("pred_index"),
+    scored = _probabilities(model, df, key, text).select(
+        key, "input_text", thresholded_argmax(F.col("probability"), threshold, labels.index(fallback)).alias("pred_index")
     )
     lut = spark.createDataFrame(list(enumerate(labels)), "pred_index long, predicted_tags string")
     return scored.join(F.broadcast(lut), on="pred_index", how="left")
 
 
-def evaluate_text_model(model: PipelineModel, test: DataFrame, slices: dict, *, key: str = "id",
+def evaluate_text_model(model, test: DataFrame, slices: dict, *, key: str = "id",
                         threshold: float = 0.0, fallback: str | None = None) -> DataFrame:
     """ML3: predictions joined to truth by key, then AG8 metric rows."""
     from tessera.operators.metrics import metric_rows
@@ -136,7 +142,7 @@ def tune_text_classifier(train: DataFrame, trials: DataFrame, *, parallelism: in
     )
 
 
-def behavioral_checks(model: PipelineModel, cases: DataFrame, *, threshold: float = 0.0, fallback: str | None = None) -> DataFrame:
+def behavioral_checks(model, cases: DataFrame, *, threshold: float = 0.0, fallback: str | None = None) -> DataFrame:
     """ML5 + JN10: cases ``(case_id, kind, input_a, input_b, expected)``;
     kinds ``invariance`` (a and b must get the same tag), ``directional`` and
     ``mft`` (a must get ``expected``). All inputs are scored in one pass."""

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pyspark.sql import types as T
 
-from tessera.operators.core import bucketed_rank, hash_rank
+from tessera.operators.core import bucketed_rank, hash_rank, range_bucket, range_splitters
 
 
 def stratified_split(
@@ -38,11 +38,10 @@ def stratified_split(
         bucket = F.coalesce(bucket, F.lit(2**62))  # a NULL key comes last in descending order
         ranked = bucketed_rank(df, order=[F.col(key).desc()], bucket=bucket, group_cols=[stratify],
                                rank_col="__r", size_col="__n")
-    else:
-        w = Window.partitionBy(stratify).orderBy(F.col(key).desc())
-        ranked = df.withColumn("__r", F.row_number().over(w).cast("bigint")).withColumn(
-            "__n", F.count(F.lit(1)).over(Window.partitionBy(stratify)).cast("bigint")
-        )
+    else:  # text, timestamps, ...: ranges of a sample of the keys
+        bucket = -range_bucket(df, [key], range_splitters(df, [key]))
+        ranked = bucketed_rank(df, order=[F.col(key).desc()], bucket=bucket, group_cols=[stratify],
+                               rank_col="__r", size_col="__n")
     if isinstance(test_size, int) and not isinstance(test_size, bool) and test_size >= 1:
         n_test = F.lit(int(test_size)).cast("bigint")
     else:

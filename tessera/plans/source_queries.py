@@ -7,6 +7,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.plans.catalog import register
+from tessera.plans.text_queries import DOCUMENT_SQL, evaluation_of, rounded_rows
 from tessera.plans.views import v_history, v_text, v_traj, with_views
 from tessera.session import materialize, scratch_path
 from tessera.sources import files as FS
@@ -145,16 +146,20 @@ def q_dataset_versions(spark, sf):
     )
 
 
-@register("metric_document_json")
+@register(
+    "metric_document_json",
+    f"""SELECT *, 'text_classifier_e0.json' AS artifact, 'evaluation' AS type, CAST(0 AS BIGINT) AS version FROM ({DOCUMENT_SQL})""",
+)
 def q_metric_document_json(spark, sf):
-    """SC3 + SC14 + SC2: the evaluation metric document written as JSON
-    partitioned by model and run, then read back as one document."""
-    from tessera.operators.metrics import metric_document, metric_rows
-    from tessera.operators.text import fit_class_index
-    from tessera.plans.text_eval import default_slices, scored_test_rows
-
-    rows = metric_rows(scored_test_rows(spark, sf), fit_class_index(v_text(spark, sf)), default_slices())
-    doc = metric_document(rows).withColumn("model_id", F.lit("text_classifier")).withColumn("run_id", F.lit("r0"))
-    path = scratch_path(spark, "eval")
-    FS.save_json_document(doc, path, sort_keys=True, partition_by=["model_id", "run_id"])
-    return FS.read_json_documents(spark, path)
+    """SC3 + SC14 + SC2: the evaluation document saved under its model and run,
+    logged as an ``evaluation`` artifact, resolved and read back in its order."""
+    doc = materialize(evaluation_of(spark, sf))
+    root = scratch_path(spark, "eval")
+    name = "text_classifier_e0.json"
+    saved = FS.save_document(doc, f"{root}/text_classifier/r0", name)
+    ST.log_file(spark, root, name, "evaluation", saved)
+    art = ST.read_artifacts(spark, root).where("type = 'evaluation'").first()
+    back = FS.read_json_documents(spark, art["path"], doc.schema)
+    return rounded_rows(back).withColumns(
+        {"artifact": F.lit(art["name"]), "type": F.lit(art["type"]), "version": F.lit(art["version"])}
+    )

@@ -11,11 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.text import LLM_TERMS, clean_text, slice_nlp_llm, slice_short_text, text_feature
-from tessera.operators.metrics import metric_rows
+from tessera.operators.metrics import metric_cube
 from tessera.operators.split import filter_split, stratified_split
 from tessera.operators.text import fit_class_index
 from tessera.plans.views import SLICE_TAG, v_text
-from tessera.session import materialize
 
 TEST_SIZE = 0.2
 SEED = 1234
@@ -41,18 +40,14 @@ def scored_test_rows(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def evaluation_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """The metric cube of the test split."""
+    return metric_cube(scored_test_rows(spark, sf), fit_class_index(v_text(spark, sf)), default_slices())
+
+
 def evaluate_text(spark: SparkSession, sf: str) -> DataFrame:
-    """Slice membership is evaluated on the text once, then the scored rows
-    are narrowed to ``(id, y_true, y_pred, tag, flags)`` and checkpointed, so
-    the three metric branches reuse them instead of re-running the split."""
-    slices = default_slices()
-    flags = {name: F.col(f"__in_{name}") for name in slices}
-    scored = scored_test_rows(spark, sf).select(
-        "id", "y_true", "y_pred", "tag", *[c.alias(f"__in_{n}") for n, c in slices.items()]
-    )
-    scored = materialize(scored)
-    classes = fit_class_index(v_text(spark, sf))
-    rows = metric_rows(scored, classes, flags)
+    """All three scopes from one scan of the scored rows."""
+    rows = evaluation_rows(spark, sf)
     return rows.select(
         "scope",
         "key",

@@ -139,6 +139,37 @@ def q_text_train_rows(spark, sf):
     return filter_split(_split(spark, sf), "train").select("id", "tag", "title")
 
 
+@register(
+    "text_split_unshuffled",
+    f"""SELECT id, CASE WHEN row_number() OVER (PARTITION BY source ORDER BY key DESC) <= ceil({TEST_SIZE}::DOUBLE * count(*) OVER (PARTITION BY source))
+    THEN 'test' ELSE 'train' END AS _split
+FROM (SELECT doc_id AS id, 'all' AS source, lang || ':' || text || ':' || doc_id AS key FROM documents)""",
+)
+def q_text_split_unshuffled(spark, sf):
+    """WN10 without shuffling, on a text key with one class: the last rows by
+    key go to test, ranked in buckets of sampled ranges."""
+    from tessera.operators.split import stratified_split
+    from tessera.sources.tables import table
+
+    docs = table(spark, sf, "documents")
+    keyed = docs.select(F.col("doc_id").alias("id"), F.lit("all").alias("source"), F.concat_ws(":", "lang", "text", "doc_id").alias("key"))
+    return stratified_split(keyed, key="key", stratify="source", test_size=TEST_SIZE, shuffle=False).select("id", "_split")
+
+
+@register(
+    "text_shuffle_half",
+    """SELECT doc_id AS id, lang FROM documents
+ORDER BY md5(CAST(doc_id AS VARCHAR) || ':' || '1234'), doc_id LIMIT (SELECT count(*) // 2 FROM documents)""",
+)
+def q_text_shuffle_half(spark, sf):
+    """SK2: half of a table, selected by counts and a filter."""
+    from tessera.operators.core import take_sample
+    from tessera.sources.tables import table
+
+    docs = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "lang")
+    return take_sample(docs, "id", docs.count() // 2, seed=SEED)
+
+
 @register(
     "text_leakage",
     with_views(
@@ -433,16 +464,49 @@ def q_text_slice_metrics(spark, sf):
     return s.select("slice", *[F.round(c, 9).alias(c) for c in ("precision", "recall", "f1")], "num_samples")
 
 
-@register("text_metric_document")
-def q_text_metric_document(spark, sf):
-    """AG8 + AR12 nested document: overall struct, per-class and slice maps."""
-    from tessera.operators.metrics import metric_document, metric_rows
-    from tessera.operators.text import fit_class_index
-    from tessera.plans.text_eval import default_slices
-    from tessera.plans.views import v_text
+DOCUMENT_SQL = with_views(
+    f"""WITH {_SPLIT_CTE},
+{_SCORED_CTE},
+{_PRF_CTES},
+{_CLASSES_CTE},
+{_slices_sql()},
+rows AS (
+  SELECT 'overall' AS scope, 'overall' AS key, 0 AS place, sum(support * precision) / sum(support) AS precision,
+    sum(support * recall) / sum(support) AS recall, sum(support * f1) / sum(support) AS f1, sum(support)::DOUBLE AS num_samples FROM prf
+  UNION ALL
+  SELECT 'per_class', c.tag, class_index, coalesce(p.precision, 0.0), coalesce(p.recall, 0.0), coalesce(p.f1, 0.0),
+    coalesce(p.support, 0)::DOUBLE FROM classes c LEFT JOIN prf p ON c.tag = p.label
+  UNION ALL
+  SELECT 'slices', slice, CASE slice WHEN 'nlp_llm' THEN 0 ELSE 1 END, avg(hit), avg(hit), avg(hit), count(*)::DOUBLE
+  FROM slice_rows GROUP BY slice)
+SELECT 'January 01, 2024 12:00:00 AM' AS timestamp, 'r0' AS run_id, 'e0' AS eval_run_id, scope,
+  CAST(row_number() OVER (PARTITION BY scope ORDER BY CASE WHEN scope = 'per_class' THEN -f1 ELSE 0 END, place) - 1 AS INTEGER) AS position,
+  key, round(precision, 9) AS precision, round(recall, 9) AS recall, round(f1, 9) AS f1, num_samples FROM rows""",
+    "v_text",
+)
+
+
+def evaluation_of(spark, sf):
+    """The evaluation document of the test split, at a fixed time and for fixed runs."""
+    from tessera.functions.strings import readable_timestamp
+    from tessera.operators.metrics import evaluation_document
+    from tessera.plans.text_eval import evaluation_rows
+
+    at = readable_timestamp(F.lit("2024-01-01 00:00:00").cast("timestamp"))
+    return evaluation_document(evaluation_rows(spark, sf), timestamp=at, run_id=F.lit("r0"), eval_run_id=F.lit("e0"))
+
 
-    rows = metric_rows(_scored(spark, sf), fit_class_index(v_text(spark, sf)), default_slices())
-    return metric_document(rows)
+def rounded_rows(documents):
+    from tessera.operators.metrics import document_rows
+
+    rows = document_rows(documents)
+    return rows.withColumns({c: F.round(c, 9) for c in ("precision", "recall", "f1")})
+
+
+@register("text_metric_document", DOCUMENT_SQL)
+def q_text_metric_document(spark, sf):
+    """AG8 + AR12: the nested document, classes by F1, read off in its order."""
+    return rounded_rows(evaluation_of(spark, sf))
 
 
 # ---------------------------------------------------------------------------

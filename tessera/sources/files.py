@@ -3,6 +3,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators.core import take_sample
 from tessera.sources import history_store
+from tessera.sources.store import path_exists
 
 LABELLED_SCHEMA = "id long, created_on timestamp, title string, description string, tag string"
 
@@ -33,7 +35,7 @@ def write_csv(df: DataFrame, path: str) -> None:
     ).csv(path)
 
 
-def read_json_documents(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
+def read_json_documents(spark: SparkSession, path: str, schema=None) -> DataFrame:
     """SC2: whole-file JSON documents (one row per file)."""
     r = spark.read.option("multiLine", "true")
     if schema:
@@ -41,15 +43,40 @@ def read_json_documents(spark: SparkSession, path: str, schema: str | None = Non
     return r.json(path)
 
 
-def save_json_document(df: DataFrame, path: str, *, sort_keys: bool = False, partition_by: list[str] | None = None) -> None:
-    """SC3 / SC14: write rows as JSON; ``sort_keys`` orders the top-level
-    fields alphabetically; ``partition_by`` lays files out as
-    ``col=value`` folders (e.g. model id / run id for evaluation results)."""
-    cols = sorted(df.columns) if sort_keys else df.columns
-    w = df.select(*cols).write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.json(path)
+def save_document(df: DataFrame, folder: str, filename: str, *, sort_keys: bool = False) -> str:
+    """SC3 / SC14: the one row of ``df`` as an indented JSON document of the
+    given name; the path written. ``sort_keys`` orders the keys of all levels.
+
+    A document is small (metrics of a label set), so the driver writes it. Any
+    other number of rows is an error; a file of that name is replaced."""
+    rows = df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})).take(2)
+    if len(rows) != 1:
+        raise ValueError("a document is exactly one row")
+    spark, path = df.sparkSession, f"{folder.rstrip('/')}/{filename}"
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).create(target, True)
+    out.write(bytearray(json.dumps(json.loads(rows[0][0]), indent=2, sort_keys=sort_keys).encode()))
+    out.close()
+    return path
+
+
+def read_config(spark: SparkSession, config: str) -> dict:
+    """ST-16: a configuration given as JSON text, or else as the path of a JSON
+    file on any file system Spark reads. Anything else is a ValueError."""
+    if not isinstance(config, str):
+        raise ValueError(f"a configuration is JSON text or a path, not {type(config).__name__}")
+    text = config
+    if not config.lstrip().startswith("{"):
+        if not config.strip() or not path_exists(spark, config):
+            raise ValueError(f"neither JSON text nor a file: {config!r}")
+        text = spark.read.text(config, wholetext=True).first()[0]
+    try:
+        found = json.loads(text)
+    except ValueError as e:
+        raise ValueError(f"not JSON: {config!r}") from e
+    if not isinstance(found, dict):
+        raise ValueError("a configuration is a JSON object")
+    return found
 
 
 def list_files(spark: SparkSession, dir_path: str) -> DataFrame:

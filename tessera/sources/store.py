@@ -132,3 +132,8 @@ def log_model(spark: SparkSession, model, root: str, name: str) -> str:
     model.write().save(path)
     artifact_log(spark, root, name).append(lambda version, last: _entry(name, "model", version, path, "", 0))
     return path
+
+
+def log_file(spark: SparkSession, root: str, name: str, kind: str, path: str) -> int:
+    """SC14: a file that is there already as a new version of artifact ``name``."""
+    return artifact_log(spark, root, name).append(lambda version, last: _entry(name, kind, version, path, "", 0))
