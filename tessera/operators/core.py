@@ -15,16 +15,17 @@ from pyspark.sql import functions as F
 
 from tessera.functions.hashing import hash_hex
 
-_K = "__bucket_key"
-_OFF = "__offset"
-_N = "__group_n"
+_B = "__bucket"
+_N = "__n"
+_SIZE = "__group_n"
+_ROW = "__is_row"
 
 
-def null_safe_key(group_cols: list[str], bucket: Column) -> Column:
-    """One struct of the group columns (``g0``, ``g1``, ...) and the bucket
-    (``b``). Structs compare NULL fields as equal, so grouping, joining and
-    windowing on it keep rows with NULL keys and share one partitioning."""
-    return F.struct(*[F.col(c).alias(f"g{i}") for i, c in enumerate(group_cols)], bucket.alias("b"))
+def with_starts(rows: DataFrame, starts: DataFrame) -> DataFrame:
+    """``rows`` and, as rows of their own (``__is_row`` false), the totals with
+    which each bucket starts. A running sum inside a bucket that takes its start
+    row first needs no join, and NULL keys group as they are."""
+    return rows.withColumn(_ROW, F.lit(True)).unionByName(starts.withColumn(_ROW, F.lit(False)), allowMissingColumns=True)
 
 
 def bucketed_rank(
@@ -42,29 +43,25 @@ def bucketed_rank(
     ``bucket`` must be non-decreasing along ``order`` (a prefix of an md5
     order key, a time bucket of an event-time order, ...); a NULL bucket sorts
     first. NULL group values form a group of their own. ``size_col``
-    optionally adds the group row count. The (group, bucket) count table is
-    joined back without a hint: AQE broadcasts it after measuring it and
-    otherwise uses a shuffle join on exactly the keys the window needs, so
-    the window reuses that partitioning.
+    optionally adds the group row count. The counts of the buckets before come
+    in as one row per (group, bucket), so the rows are shuffled once.
     """
+    groups = list(group_cols or [])
     order_cols = [F.col(c) if isinstance(c, str) else c for c in order]
-    with_b = df.withColumn(_K, null_safe_key(list(group_cols or []), bucket))
-    counts = with_b.groupBy(_K).agg(F.count(F.lit(1)).alias("__cnt"))
-    group = [F.col(_K).getField(f"g{i}") for i in range(len(group_cols or []))]
-    w_cum = (
-        Window.partitionBy(*group)
-        .orderBy(F.col(_K).getField("b"))
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    offsets = counts.withColumn(_OFF, F.coalesce(F.sum("__cnt").over(w_cum), F.lit(0)))
+    rows = df.withColumn(_B, bucket).withColumn(_N, F.lit(1).cast("bigint"))
+    counts = rows.groupBy(*groups, _B).agg(F.count(F.lit(1)).alias(_N))
+    before = Window.partitionBy(*groups).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.withColumn("__before", F.coalesce(F.sum(_N).over(before), F.lit(0)).cast("bigint"))
     if size_col:
-        offsets = offsets.withColumn(_N, F.sum("__cnt").over(Window.partitionBy(*group)))
-    joined = with_b.join(offsets.drop("__cnt"), on=_K, how="inner")
-    w_local = Window.partitionBy(_K).orderBy(*order_cols)
-    out = joined.withColumn(rank_col, (F.col(_OFF) + F.row_number().over(w_local)).cast("bigint"))
+        starts = starts.withColumn(_SIZE, F.sum(_N).over(Window.partitionBy(*groups)))
+    starts = starts.drop(_N).withColumnRenamed("__before", _N)
+    upto = Window.partitionBy(*groups, _B).orderBy(_ROW, *order_cols).rowsBetween(Window.unboundedPreceding, 0)
+    both = with_starts(rows, starts)
+    made = {rank_col: F.sum(_N).over(upto).cast("bigint")}
     if size_col:
-        out = out.withColumn(size_col, F.col(_N).cast("bigint")).drop(_N)
-    return out.drop(_K, _OFF)
+        made[size_col] = F.first(_SIZE, ignorenulls=True).over(upto).cast("bigint")
+    out = both.select("*", *[c.alias(f"__made_{k}") for k, c in made.items()]).where(_ROW)
+    return out.select(*[c for c in df.columns if c not in made], *[F.col(f"__made_{k}").alias(k) for k in made])
 
 
 def hash_rank(
@@ -102,6 +99,8 @@ def seeded_shuffle(df: DataFrame, key: str, seed: int = 1234) -> DataFrame:
     return df.orderBy(h, F.col(key))
 
 
+#: Rows of a bucket in which batches are numbered.
+BUCKET_ROWS = 20_000
 #: Rows of the last step of a selection that the driver sorts.
 FEW_ROWS = 1_000
 
@@ -199,13 +198,20 @@ def fixed_batches(
     batch_size: int,
     *,
     seed: int | None = None,
-    digits: int = 3,
+    digits: int | None = None,
     batch_col: str = "batch",
     rank_col: str = "rank",
 ) -> DataFrame:
     """AG20: consecutive groups of ``batch_size`` rows in a stable order
     (seeded shuffle order when ``seed`` is given, else key order via the md5
-    of the key with seed 0); the last batch may be short."""
+    of the key with seed 0); the last batch may be short. The rows are ranked in
+    ``16 ** digits`` buckets, by default as many as keep one at about
+    ``BUCKET_ROWS`` rows."""
+    if digits is None:
+        digits = 1
+        rows = df.count()
+        while rows > BUCKET_ROWS * 16**digits and digits < 8:
+            digits += 1
     ranked = hash_rank(df, key, 0 if seed is None else seed, digits=digits, rank_col=rank_col)
     return ranked.withColumn(
         batch_col, F.floor((F.col(rank_col) - 1) / F.lit(int(batch_size))).cast("bigint")

@@ -116,7 +116,9 @@ def trial_table(spark: SparkSession, num_runs: int, seed: int = 1234) -> DataFra
 def tune_text_classifier(train: DataFrame, trials: DataFrame, *, parallelism: int = 2, seed: int = 1234) -> DataFrame:
     """ML4: one MLlib candidate per trial row (regParam <- lr,
     elasticNetParam <- lr_factor, maxIter <- 5 + round(lr_patience));
-    returns ``(trial_id, ..., val_f1, is_best)``. The trial table is a
+    returns ``(trial_id, ..., val_loss, is_best)``, the best being the one of
+    the lowest validation loss (log loss; ties: first trial). ``dropout_p`` has
+    no counterpart in this model and is only reported. The trial table is a
     parameter list of ``num_runs`` rows, collected to build the param maps."""
     pipe = text_classifier_pipeline()
     lr = pipe.getStages()[-1]
@@ -127,18 +129,18 @@ def tune_text_classifier(train: DataFrame, trials: DataFrame, *, parallelism: in
     ]
     tvs = TrainValidationSplit(
         estimator=pipe, estimatorParamMaps=maps, trainRatio=0.8, parallelism=parallelism, seed=seed,
-        evaluator=MulticlassClassificationEvaluator(metricName="f1", labelCol="label", predictionCol="prediction"),
+        evaluator=MulticlassClassificationEvaluator(metricName="logLoss", labelCol="label", predictionCol="prediction"),
     )
     fitted = tvs.fit(train)
     spark = train.sparkSession
-    best = max(range(len(rows)), key=lambda i: fitted.validationMetrics[i])
+    best = min(range(len(rows)), key=lambda i: fitted.validationMetrics[i])
     out = [
         (int(r["trial_id"]), float(r["dropout_p"]), float(r["lr"]), float(r["lr_factor"]), float(r["lr_patience"]),
          float(fitted.validationMetrics[i]), i == best)
         for i, r in enumerate(rows)
     ]
     return spark.createDataFrame(
-        out, "trial_id long, dropout_p double, lr double, lr_factor double, lr_patience double, val_f1 double, is_best boolean"
+        out, "trial_id long, dropout_p double, lr double, lr_factor double, lr_patience double, val_loss double, is_best boolean"
     )
 
 

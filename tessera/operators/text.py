@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.arrays import pad_mask, pad_to
 from tessera.functions.text import STOPWORDS, clean_text, text_feature
-from tessera.operators.core import bucketed_rank
+from tessera.operators.core import bucketed_rank, fixed_batches
 
 
 def with_text(df: DataFrame, title: str = "title", description: str = "description") -> DataFrame:
@@ -65,6 +65,17 @@ def preprocess(
     return encode_labels(t, classes, label, index_col)
 
 
+def preprocess_tokens(
+    df: DataFrame, classes: DataFrame, vocab: DataFrame, *, key: str = "id", batch_size: int = 64, stopwords=STOPWORDS
+) -> DataFrame:
+    """UD5 in one call: ``(key, batch, ids, masks, targets)``, ids padded to the
+    longest text of their batch, targets the class index (NULL if unseen)."""
+    t = preprocess(df, classes, stopwords=stopwords, keep=[key])
+    encoded = encode_tokens(t.select(key, "text", F.col("class_index").alias("targets")), vocab, key)
+    padded = pad_batch(fixed_batches(encoded, key, batch_size), "batch", "ids")
+    return padded.select(key, "batch", "ids", "masks", "targets")
+
+
 def build_vocabulary(df: DataFrame, text: str = "text", *, min_count: int = 1, digits: int = 2) -> DataFrame:
     """AR13 vocabulary: whitespace tokens counted over the corpus, ids by count
     descending then token; 0 = pad, 1 = unknown, words from 2. The ranking is

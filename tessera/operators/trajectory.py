@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.hashing import hash_gaussian
-from tessera.operators.core import null_safe_key
+from tessera.operators.core import with_starts
 
 KEYS = ["traj_id", "particle"]
 FRAME_BUCKET = 1024
@@ -203,20 +203,19 @@ def bucketed_cumsum(df: DataFrame, group_cols: list[str], order_col: str, value,
     first."""
     values = [value] if isinstance(value, str) else list(value)
     outs = [out] if isinstance(out, str) else list(out)
-    b = F.floor(F.col(order_col) / F.lit(bucket_width)).cast("bigint")
-    with_b = df.withColumn("__k", null_safe_key(group_cols, b))
-    part = with_b.groupBy("__k").agg(*[F.sum(v).alias(f"__s{i}") for i, v in enumerate(values)])
-    group = [F.col("__k").getField(f"g{i}") for i in range(len(group_cols))]
-    w_off = Window.partitionBy(*group).orderBy(F.col("__k").getField("b")).rowsBetween(Window.unboundedPreceding, -1)
-    offs = part.select(
-        "__k",
-        *[F.coalesce(F.sum(f"__s{i}").over(w_off), F.lit(0)).alias(f"__off{i}") for i in range(len(values))],
+    rows = df.withColumn("__b", F.floor(F.col(order_col) / F.lit(bucket_width)).cast("bigint"))
+    rows = rows.withColumns({f"__v{i}": F.col(v) for i, v in enumerate(values)})
+    part = rows.groupBy(*group_cols, "__b").agg(*[F.sum(f"__v{i}").alias(f"__s{i}") for i in range(len(values))])
+    before = Window.partitionBy(*group_cols).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    kinds = [rows.schema[f"__v{i}"].dataType for i in range(len(values))]
+    starts = part.select(
+        *group_cols, "__b",
+        *[F.coalesce(F.sum(f"__s{i}").over(before), F.lit(0)).cast(kinds[i]).alias(f"__v{i}") for i in range(len(values))],
     )
-    w_loc = Window.partitionBy("__k").orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
-    joined = with_b.join(offs, on="__k")
-    for i, (v, o) in enumerate(zip(values, outs)):
-        joined = joined.withColumn(o, F.col(f"__off{i}") + F.coalesce(F.sum(v).over(w_loc), F.lit(0)))
-    return joined.drop("__k", *[f"__off{i}" for i in range(len(values))])
+    upto = Window.partitionBy(*group_cols, "__b").orderBy("__is_row", order_col).rowsBetween(Window.unboundedPreceding, 0)
+    made = {o: F.sum(f"__v{i}").over(upto) for i, o in enumerate(outs)}
+    both = with_starts(rows, starts).select("*", *[c.alias(f"__made_{o}") for o, c in made.items()]).where("__is_row")
+    return both.select(*[c for c in df.columns if c not in made], *[F.col(f"__made_{o}").alias(o) for o in made])
 
 
 def integrate(long: DataFrame, acc_pred: DataFrame, seed_frames: int, value: str = "a") -> DataFrame:
@@ -236,22 +235,26 @@ def integrate(long: DataFrame, acc_pred: DataFrame, seed_frames: int, value: str
         .where(F.col("x_last").isNotNull() & F.col("x_prev").isNotNull())
     )
     a = acc_pred.where(F.col("frame") >= W).select(*KEYS, "frame", "d", F.col(value).alias("__a"))
-    a = bucketed_cumsum(a, KEYS + ["d"], "frame", "__a", "__A")
-    a = a.join(anchor, on=KEYS + ["d"]).withColumn("__v", F.col("x_last") - F.col("x_prev") + F.col("__A"))
-    a = bucketed_cumsum(a, KEYS + ["d"], "frame", "__v", "__P")
-    pred = a.select(*KEYS, "frame", "d", (F.col("x_last") + F.col("__P")).alias("x"))
+    a = bucketed_cumsum(a, KEYS + ["d"], "frame", "__a", "__sum_a")
+    a = a.join(anchor, on=KEYS + ["d"]).withColumn("__v", F.col("x_last") - F.col("x_prev") + F.col("__sum_a"))
+    a = bucketed_cumsum(a, KEYS + ["d"], "frame", "__v", "__sum_v")
+    pred = a.select(*KEYS, "frame", "d", (F.col("x_last") + F.col("__sum_v")).alias("x"))
     return seeds.select(*KEYS, "frame", "d", "x").unionByName(pred)
 
 
 def rollout_mse(pred: DataFrame, truth: DataFrame) -> DataFrame:
     """AG14: per trajectory, mean over (frame, particle) of the squared error
-    summed over dims (seed frames included), then the mean over trajectories."""
+    summed over dims (seed frames included)."""
     err = pred.withColumnRenamed("x", "xp").join(truth, on=KEYS + ["frame", "d"]).withColumn(
         "se", (F.col("xp") - F.col("x")) ** 2
     )
     per_row = err.groupBy(*KEYS, "frame").agg(F.sum("se").alias("se"))
-    per_traj = per_row.groupBy("traj_id").agg(F.avg("se").alias("mse"))
-    return per_traj
+    return per_row.groupBy("traj_id").agg(F.avg("se").alias("mse"))
+
+
+def mean_rollout_mse(per_traj: DataFrame) -> DataFrame:
+    """AG14: the unweighted mean over trajectories, one row (NULL without any)."""
+    return per_traj.agg(F.avg("mse").alias("rollout_mse"), F.count(F.lit(1)).alias("num_trajectories"))
 
 
 def frame_skip(traj: DataFrame, skip: int) -> DataFrame:
@@ -328,8 +331,7 @@ def graph_sample_edges(nodes: DataFrame, *, radius: float, dim: int) -> DataFram
     """UD10 (edge side) + JN3 + JN4 + SM5: radius graph on the noised recent
     positions within each sample ``(traj_id, start)``, with displacement / r
     and distance per edge."""
-    from tessera.operators.graph import edge_features, radius_graph
+    from tessera.operators.graph import displacements, radius_graph
 
     pts = nodes.select("traj_id", "start", F.col("particle").alias("node"), F.col("recent").alias("pos"))
-    e = radius_graph(pts, radius, dim=dim, sample=["traj_id", "start"])
-    return edge_features(e, pts, radius, sample=["traj_id", "start"])
+    return displacements(radius_graph(pts, radius, dim=dim, sample=["traj_id", "start"], positions=True), radius)

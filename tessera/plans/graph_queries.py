@@ -72,8 +72,7 @@ SELECT sample, src, dst, round((ps[1] - pd[1]) / {R}::DOUBLE, 9) AS dx, round((p
 )
 def q_points_edge_features(spark, sf):
     """JN4 + SM5 + AR7: displacement / r and distance per radius-graph edge."""
-    pts = v_points(spark, sf)
-    e = G.edge_features(G.radius_graph(pts, R, dim=2), pts, R)
+    e = G.displacements(G.radius_graph(v_points(spark, sf), R, dim=2, positions=True), R)
     return e.select(
         "sample", "src", "dst",
         F.round(F.col("disp")[0], 9).alias("dx"), F.round(F.col("disp")[1], 9).alias("dy"), _rv("dist"),
@@ -224,6 +223,24 @@ def q_mesh_feature_stats(spark, sf):
     return _mesh_stats(v_mesh(spark, sf))
 
 
+@register(
+    "mesh_edge_stats",
+    with_views(
+        f"""WITH {_PAIRS_SQL},
+attr AS (
+  SELECT (ps[1] - pd[1]) * (1.0::DOUBLE / {R}::DOUBLE) AS dx, (ps[2] - pd[2]) * (1.0::DOUBLE / {R}::DOUBLE) AS dy FROM pairs),
+vals AS (SELECT unnest([0, 1, 2]) AS i, unnest([dx, dy, sqrt(dx * dx + dy * dy)]) AS v FROM attr)
+SELECT 'edge_attr' AS feature, CAST(i AS INTEGER) AS i, round(avg(v), 9) AS mean,
+  round(greatest(sqrt(avg(v * v) - avg(v) * avg(v)), 1e-8), 9) AS std FROM vals GROUP BY i""",
+        "v_points",
+    ),
+)
+def q_mesh_edge_stats(spark, sf):
+    """AG9: mean and std of the edge attributes of the radius graph."""
+    edges = G.displacements(G.radius_graph(v_points(spark, sf), R, dim=2, positions=True), R)
+    return M.feature_stats(edges, "edge_attr").select(F.lit("edge_attr").alias("feature"), "i", _rv("mean"), _rv("std"))
+
+
 _Y_STATS_SQL = """ys AS (
   SELECT i, avg(v) AS mean, greatest(sqrt(avg(v * v) - avg(v) * avg(v)), 1e-8) AS std
   FROM (SELECT i, y[i] AS v FROM v_mesh, unnest(range(1, 3)) AS t(i)) GROUP BY i),

@@ -21,13 +21,16 @@ class ModelProject(str, Enum):
 
 
 class DatasetSource(Protocol):
-    """UD6: load, split and describe a dataset (``len`` = ``count()``,
-    ``get(i)`` = a filter on the key)."""
+    """UD6: load, split and describe a dataset (:mod:`tessera.plans.handlers`)."""
 
     def load(self, spark: SparkSession, path: str) -> DataFrame: ...
 
     def split(self, df: DataFrame) -> tuple[DataFrame, DataFrame]: ...
 
+    def size(self, df: DataFrame) -> int: ...
+
+    def get(self, df: DataFrame, item) -> DataFrame: ...
+
 
 class MetricSet(Protocol):
     """UD7: scored rows -> metric rows."""
@@ -39,9 +42,9 @@ class MetricSet(Protocol):
 class PipelineSpec:
     model_id: str
     project: ModelProject
-    data: Callable | None = None
+    data: DatasetSource | None = None
     preprocess: Callable | None = None
-    metrics: Callable | None = None
+    metrics: MetricSet | None = None
     model: Callable | None = None
     required: tuple[str, ...] = field(default=("data", "metrics"))
 
@@ -71,19 +74,18 @@ def registered() -> list[str]:
 
 
 def _builtin() -> None:
-    from tessera.operators import metrics as M
     from tessera.operators import mesh as ME
     from tessera.operators import trajectory as T
-    from tessera.operators.split import stratified_split
+    from tessera.operators.bayes import fit_naive_bayes
     from tessera.operators.text import preprocess
-    from tessera.sources import files, flat_tensor
-
-    register_pipeline(PipelineSpec("text_classifier", ModelProject.LLM, data=files.read_csv,
-                                   preprocess=preprocess, metrics=M.metric_rows, model=stratified_split))
-    register_pipeline(PipelineSpec("trajectory_gns", ModelProject.GNS, data=flat_tensor.read_positions,
-                                   preprocess=T.materialize_windows, metrics=T.rollout_mse))
-    register_pipeline(PipelineSpec("mesh_graph", ModelProject.GNS, data=None, preprocess=ME.feature_stats,
-                                   metrics=ME.masked_rmse_per_batch, required=("metrics",)))
+    from tessera.plans import handlers as H
+
+    register_pipeline(PipelineSpec("text_classifier", ModelProject.LLM, data=H.TextData(), preprocess=preprocess,
+                                   metrics=H.TextMetrics(), model=fit_naive_bayes))
+    register_pipeline(PipelineSpec("trajectory_gns", ModelProject.GNS, data=H.TrajectoryData(),
+                                   preprocess=T.materialize_windows, metrics=H.TrajectoryMetrics()))
+    register_pipeline(PipelineSpec("mesh_graph", ModelProject.GNS, data=H.MeshData(), preprocess=ME.feature_stats,
+                                   metrics=H.MeshMetrics()))
 
 
 _builtin()

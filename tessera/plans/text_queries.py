@@ -15,6 +15,7 @@ from tessera.plans.sql_snippets import (
 )
 from tessera.plans.text_eval import SEED, TEST_SIZE, cleaned_text, evaluate_text
 from tessera.plans.views import with_views
+from tessera.session import materialize
 
 # ---------------------------------------------------------------------------
 # Shared oracle fragments
@@ -183,16 +184,26 @@ GROUP BY _split""",
 )
 def q_text_leakage(spark, sf):
     """JN11: rows of each split whose (title, description) also occurs in the
-    other split (left semi join on the compound key)."""
-    s = _split(spark, sf)
-    other = s.select(
-        F.col("title"), F.col("description"),
-        F.when(F.col("_split") == "train", "test").otherwise("train").alias("_split"),
-    ).distinct()
-    shared = s.join(other, on=["title", "description", "_split"], how="left_semi")
+    other split (left semi join on a digest of the two, so no text is shuffled)."""
+    same = F.sha2(F.concat(F.length("title").cast("string"), F.lit(":"), "title", "description"), 256).alias("same")
+    s = materialize(_split(spark, sf).select("_split", same))
+    other = s.select("same", F.when(F.col("_split") == "train", "test").otherwise("train").alias("_split")).distinct()
+    shared = s.join(other, on=["same", "_split"], how="left_semi")
     return shared.groupBy("_split").agg(F.count(F.lit(1)).cast("bigint").alias("n_shared"))
 
 
+@register(
+    "text_concat_splits",
+    with_views(f"WITH {_SPLIT_CTE} SELECT id, title, _split FROM split", "v_text"),
+)
+def q_text_concat_splits(spark, sf):
+    """SO1: the two splits apart and together again with their split column."""
+    from tessera.operators.split import concat_splits, filter_split
+
+    s = _split(spark, sf).select("id", "title", "_split")
+    return concat_splits(filter_split(s, "train"), filter_split(s, "test"))
+
+
 @register(
     "text_shuffle_take",
     with_views(
@@ -564,6 +575,24 @@ def q_logits_one_hot(spark, sf):
     return v_logits(spark, sf).select("key", one_hot(F.col("target"), LOGIT_CLASSES).alias("onehot"))
 
 
+@register(
+    "logits_group_centred",
+    with_views(
+        "SELECT key, round(list_max(z) - avg(list_max(z)) OVER (PARTITION BY target), 9) AS top FROM v_logits", "v_logits"
+    ),
+)
+def q_logits_group_centred(spark, sf):
+    """UD2 + AG23: a pandas function per group: top scores less their mean in the class."""
+    from tessera.operators.udf import map_groups
+    from tessera.plans.views import v_logits
+
+    def centre(pdf):
+        return pdf.assign(top=pdf["top"] - pdf["top"].mean())[["key", "top"]]
+
+    top = v_logits(spark, sf).select("key", "target", F.array_max("z").alias("top"))
+    return map_groups(top, ["target"], centre, "key long, top double").select("key", F.round("top", 9).alias("top"))
+
+
 BATCH_SIZE = 64
 _BATCH_CTE = f"""b AS (
   SELECT *, CAST(floor((row_number() OVER (ORDER BY md5(CAST(key AS VARCHAR) || ':' || '0'), key) - 1) / {BATCH_SIZE}) AS BIGINT) AS batch
@@ -695,6 +724,33 @@ def q_text_preprocess(spark, sf):
     return preprocess(vt, classes, keep=["id"]).select("id", "text", "tag", "class_index")
 
 
+@register(
+    "text_preprocess_tokens",
+    with_views(
+        f"""WITH {_CLEAN_CTE}, {_VOCAB_CTE}, {_CLASSES_CTE},
+enc AS (
+  SELECT c.id, coalesce(list(coalesce(v.token_id, 1) ORDER BY t.pos) FILTER (WHERE t.token IS NOT NULL), []) AS ids
+  FROM cleaned c LEFT JOIN (SELECT * FROM toks WHERE token <> '') t ON c.id = t.id
+  LEFT JOIN vocab v ON t.token = v.token GROUP BY c.id),
+b AS (SELECT *, CAST(floor((row_number() OVER (ORDER BY md5(CAST(id AS VARCHAR) || ':' || '0'), id) - 1) / 64) AS BIGINT) AS batch FROM enc),
+m AS (SELECT *, max(len(ids)) OVER (PARTITION BY batch) AS max_len FROM b)
+SELECT m.id, batch,
+  list_concat(ids, list_transform(range(max_len - len(ids)), lambda i: CAST(0 AS BIGINT))) AS ids,
+  list_concat(list_transform(range(len(ids)), lambda i: 1), list_transform(range(max_len - len(ids)), lambda i: 0)) AS masks,
+  CAST(c.class_index AS BIGINT) AS targets
+FROM m JOIN v_text v ON v.id = m.id LEFT JOIN classes c ON v.tag = c.tag""",
+        "v_text",
+    ),
+)
+def q_text_preprocess_tokens(spark, sf):
+    """UD5: ids, masks and targets of every text in one call."""
+    from tessera.operators.text import build_vocabulary, fit_class_index, preprocess_tokens
+    from tessera.plans.views import v_text
+
+    vt = v_text(spark, sf, spread=True).drop("y_pred")
+    return preprocess_tokens(vt, fit_class_index(vt), build_vocabulary(cleaned_text(spark, sf)))
+
+
 # ---------------------------------------------------------------------------
 # Slices over the other text tables (benchmark items, conversation turns)
 

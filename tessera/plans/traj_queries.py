@@ -258,6 +258,41 @@ def q_traj_rollout_mse(spark, sf):
     return T.rollout_mse(pred, long).select("traj_id", F.round("mse", 6).alias("mse"))
 
 
+@register(
+    "traj_rollout_error",
+    with_views(
+        f"""WITH {_LONG}, {_ROLLOUT_SQL},
+se AS (SELECT p.traj_id, p.particle, p.frame, sum((p.x - l.x) * (p.x - l.x)) AS se
+       FROM pred p JOIN long l USING (traj_id, particle, frame, d) GROUP BY p.traj_id, p.particle, p.frame),
+per AS (SELECT traj_id, avg(se) AS mse FROM se GROUP BY traj_id)
+SELECT round(avg(mse), 6) AS rollout_mse, CAST(count(*) AS BIGINT) AS num_trajectories FROM per""",
+        "v_traj",
+    ),
+)
+def q_traj_rollout_error(spark, sf):
+    """AG14: the rollout error averaged over trajectories."""
+    long = _long(spark, sf)
+    per = T.rollout_mse(T.integrate(long, _pred_acc(long), SEED_FRAMES), long)
+    return T.mean_rollout_mse(per).select(F.round("rollout_mse", 6).alias("rollout_mse"), "num_trajectories")
+
+
+@register(
+    "traj_rollout_denormalized",
+    with_views(
+        f"""WITH {_LONG}, {_ROLLOUT_SQL}
+SELECT traj_id, particle, frame, CAST(d AS INTEGER) AS d, round(x, 5) AS x FROM pred""",
+        "v_traj",
+    ),
+)
+def q_traj_rollout_denormalized(spark, sf):
+    """SM4 + WN8: accelerations as a model gives them, normalized, put back into units before they are integrated."""
+    long = _long(spark, sf)
+    stats = materialize(T.acc_stats(T.acceleration(long)))
+    normalized = T.normalize_acc(_pred_acc(long), stats, NOISE_STD).drop("a")
+    back = T.denormalize_acc(normalized, stats, NOISE_STD)
+    return T.integrate(long, back, SEED_FRAMES).select(*T.KEYS, "frame", "d", F.round("x", 5).alias("x"))
+
+
 @register(
     "traj_particle_types",
     with_views(

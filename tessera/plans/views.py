@@ -25,14 +25,16 @@ SLICE_TAG = "en"
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
-    """The documents table spread over the cluster by ``doc_id``.
+    """The documents table in at least as many partitions as there are cores.
 
     Per-row text work (regex cleaning, word counts) is CPU-bound, while a
-    parquet file is scanned one row group per task: a table written with few
-    large row groups would put all documents in a handful of tasks. The hash
-    repartition is cheap next to the regex work, Catalyst still prunes columns
-    below it, and AQE sizes the resulting partitions."""
-    return table(spark, sf, "documents").repartition("doc_id")
+    parquet file is scanned one row group per task: a small table written with
+    few row groups would put all documents in a handful of tasks. Such a table
+    is dealt anew; one whose scan has a partition for every core is read as it
+    lies, so no large corpus is shuffled for balance."""
+    docs = table(spark, sf, "documents")
+    few = docs.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism
+    return docs.repartition("doc_id") if few else docs
 
 
 def v_text(spark: SparkSession, sf: str, spread: bool = False) -> DataFrame:
