@@ -5,6 +5,8 @@ of the same k-grams in the license templates. A match votes for the diagonal
 (word of the text minus word of the template) that it lies on. Votes are added
 up per diagonal, neighbouring diagonals (words put in or left out) are merged,
 and a merged span is verified by the template words it covers and its length.
+Verified spans of notices that lie on the same words compete: licenses share most
+of their wording, and the one whose template differs least from the text is meant.
 
 The template table is a parameter, so its size is known before the join; it is
 broadcast below ``BROADCAST_GRAMS`` rows and joined by shuffle above. Only
@@ -57,6 +59,9 @@ NOTICES = [
     ("cc0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."),
 ]
 
+#: Labels from the strictest: of spans that fit a text equally well, the first one stands.
+STRICTEST = ["agpl-3", "gpl-3", "gpl-2", "lgpl-3", "cc-by-nc", "cc-by-sa", "mpl-2", "apache-2", "cc-by", "bsd", "isc", "mit", "unlicense", "cc0"]
+
 
 def words_of(text: str) -> list[str]:
     """Words of a template, cut as the operator cuts texts."""
@@ -76,8 +81,18 @@ class Templates:
     #: Times a notice's length that a span may have.
     max_stretch: float = 1.25
 
+    #: Share of the shorter of two spans on the same words from which they compete.
+    min_overlap: float = 0.5
+
+    def longest(self) -> int:
+        """Words that a verified span of a notice can have."""
+        return int(max([len(words_of(text)) for _, text in self.notices], default=K) * self.max_stretch) + 1
+
+    def strictness(self, label: str) -> int:
+        return STRICTEST.index(label) if label in STRICTEST else len(STRICTEST)
+
     def grams(self) -> list[tuple]:
-        """(template, label, base, n words, position, words of the gram)."""
+        """(template, label, base, strictness, n words, position, words of the gram)."""
         texts = [(label, True, text) for text, label in self.phrases.items()]
         texts += [(label, False, text) for label, text in self.notices]
         out = []
@@ -85,7 +100,7 @@ class Templates:
             words = words_of(text)
             if len(words) < K:
                 raise ValueError(f"a template needs {K} words: {text!r}")
-            out += [(k, label, base, len(words), p, *words[p : p + K]) for p in range(len(words) - K + 1)]
+            out += [(k, label, base, self.strictness(label), len(words), p, *words[p : p + K]) for p in range(len(words) - K + 1)]
         return out
 
 
@@ -94,6 +109,33 @@ def _words(text):
     return F.array_remove(F.split(lowered, SEPARATOR), "")
 
 
+def _fittest(spans: DataFrame, t: Templates) -> DataFrame:
+    """Spans that no better one of another label contests.
+
+    Better is fewer words of difference (words of the span that the template does not explain, and words of the
+    template that the span lacks), then more words covered, then the stricter label. Spans that can meet share one of
+    two stretches of ``longest`` words, so a text of any length is compared in small groups.
+    """
+    length = F.col("end") - F.col("first")
+    off = F.greatest(length - F.col("covered"), F.lit(0)) + F.col("size") - F.col("covered")
+    order = F.struct(off.alias("off"), (-F.col("covered")).alias("fewer"), "strict", "template", F.col("first").alias("place"))
+    spans = spans.withColumn("me", F.struct("label", "first", "end", order.alias("order")))
+    stretches = F.sequence(F.floor(F.col("first") / t.longest()), F.floor((F.col("end") - 1) / t.longest()))
+    columns = [c for c in spans.columns if c not in ("hits", "me")]
+    listed = spans.withColumn("stretch", F.explode(stretches)).groupBy("id", "key", "stretch").agg(
+        F.collect_list(F.struct(*columns, "me")).alias("all")
+    )
+    each = listed.select("all", F.explode("all").alias("s"))
+
+    def contests(b):
+        both = F.least(b.me.end, F.col("s.me.end")) - F.greatest(b.me["first"], F.col("s.me.first"))
+        shorter = F.least(b.me.end - b.me["first"], F.col("s.me.end") - F.col("s.me.first"))
+        return (b.me.label != F.col("s.me.label")) & (both > shorter * t.min_overlap) & (b.me.order < F.col("s.me.order"))
+
+    judged = each.select("s.*", F.exists("all", contests).alias("beaten"))
+    return judged.groupBy(*columns).agg(F.bool_or("beaten").alias("beaten")).where(~F.col("beaten"))
+
+
 def license_scan(
     docs: DataFrame, templates: Templates = Templates(), id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -106,6 +148,8 @@ def license_scan(
     ``score`` is 1 where a phrase stands, else the largest share of a notice
     that a verified span covers, else 0; ``n_spans`` counts verified spans.
 
+    * Notices on the same words: only the label of the one that differs least
+      from the text (``_fittest``). Base phrases always count.
     * Null or empty text, or one of fewer than three words: no match, labels
       are empty strings, score 0.
     * Repeated rows: each gets the same result. Rows that share an id but not
@@ -116,7 +160,7 @@ def license_scan(
     prepare(spark)
     t = templates
     grams = t.grams()
-    table = spark.createDataFrame(grams, "template int, label string, base boolean, size int, at int, w0 string, w1 string, w2 string")
+    table = spark.createDataFrame(grams, "template int, label string, base boolean, strict int, size int, at int, w0 string, w1 string, w2 string")
     table = table.withColumn("gram", F.xxhash64("w0", "w1", "w2"))
     table = F.broadcast(table) if len(grams) <= BROADCAST_GRAMS else table
 
@@ -128,10 +172,10 @@ def license_scan(
     # equal words behind equal hashes: every vote is verified
     same = (F.col("d0") == F.col("w0")) & (F.col("d1") == F.col("w1")) & (F.col("d2") == F.col("w2"))
     votes = rolled.join(table, "gram").where(same).select(
-        "id", "key", "template", "label", "base", "size", "at", (F.col("pos") - F.col("at")).alias("diagonal")
+        "id", "key", "template", "label", "base", "strict", "size", "at", (F.col("pos") - F.col("at")).alias("diagonal")
     )
     of_doc = ["id", "key"]
-    of_template = [*of_doc, "template", "label", "base", "size"]
+    of_template = [*of_doc, "template", "label", "base", "strict", "size"]
     diagonals = votes.groupBy(*of_template, "diagonal").agg(F.collect_set("at").alias("hits"))
 
     order = Window.partitionBy("id", "key", "template").orderBy("diagonal")
@@ -145,10 +189,11 @@ def license_scan(
         F.collect_set("at").alias("hits"),
     )
     covered = F.size(F.array_distinct(F.flatten(F.transform("hits", lambda p: F.sequence(p, p + (K - 1))))))
-    spans = spans.withColumn("cover", covered / F.col("size"))
+    spans = spans.withColumn("covered", covered).withColumn("cover", F.col("covered") / F.col("size"))
     exact = F.col("base") & (F.size("hits") == F.col("size") - (K - 1))
     near = ~F.col("base") & (F.col("cover") >= t.min_cover) & (F.col("end") - F.col("first") <= F.col("size") * t.max_stretch)
-    verified = spans.where(exact | near)
+    kept = ["base", "label", "first", "cover"]
+    verified = spans.where(exact).select(*of_doc, *kept).unionByName(_fittest(spans.where(near), t).select(*of_doc, *kept))
 
     listed = lambda c: F.array_join(F.array_sort(F.collect_set(c)), ",")
     base_only = lambda c: F.when(F.col("base"), F.col(c))
@@ -175,27 +220,33 @@ def oracle_sql(templates: Templates = Templates(), table: str = "documents") ->
     """The same scan as DuckDB SQL, for ``license_scan`` over ``table``."""
     t = templates
     quoted = ", ".join(
-        f"({k}, '{label}', {base}, {size}, {p}, '{a}', '{b}', '{c}')" for k, label, base, size, p, a, b, c in t.grams()
+        f"({k}, '{label}', {base}, {strict}, {size}, {p}, '{a}', '{b}', '{c}')" for k, label, base, strict, size, p, a, b, c in t.grams()
     )
     words = f"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{SEPARATOR.replace('[', '[^', 1)}')"
     return f"""
-WITH templates(template, label, base, size, p, w0, w1, w2) AS (VALUES {quoted}),
+WITH templates(template, label, base, strict, size, p, w0, w1, w2) AS (VALUES {quoted}),
 cut AS (SELECT doc_id, row_number() OVER () AS r, {words} AS words FROM {table}),
 places AS (SELECT r, words, unnest(range(1, len(words) - {K - 2})) AS i FROM cut),
 votes AS (
-  SELECT DISTINCT r, template, label, base, size, p, i - 1 - p AS diagonal
+  SELECT DISTINCT r, template, label, base, strict, size, p, i - 1 - p AS diagonal
   FROM places JOIN templates ON words[i] = w0 AND words[i + 1] = w1 AND words[i + 2] = w2),
 diagonals AS (SELECT DISTINCT r, template, base, diagonal FROM votes),
 cuts AS (
   SELECT *, CASE WHEN base THEN 1 WHEN diagonal - lag(diagonal) OVER w <= {t.max_shift} THEN 0 ELSE 1 END AS starts
   FROM diagonals WINDOW w AS (PARTITION BY r, template ORDER BY diagonal)),
 islands AS (SELECT r, template, diagonal, sum(starts) OVER (PARTITION BY r, template ORDER BY diagonal) AS island FROM cuts),
-spans AS (
-  SELECT r, template, label, base, size, island, min(diagonal + p) AS first, max(diagonal + p) + {K} AS last,
-    count(DISTINCT p) AS grams, len(list_distinct(flatten(list([p, p + 1, p + 2])))) / size AS cover
-  FROM votes JOIN islands USING (r, template, diagonal) GROUP BY r, template, label, base, size, island),
-verified AS (
+counts AS (
+  SELECT r, template, label, base, strict, size, island, min(diagonal + p) AS first, max(diagonal + p) + {K} AS last,
+    count(DISTINCT p) AS grams, len(list_distinct(flatten(list([p, p + 1, p + 2])))) AS covered
+  FROM votes JOIN islands USING (r, template, diagonal) GROUP BY r, template, label, base, strict, size, island),
+spans AS (SELECT *, covered / size AS cover, greatest(last - first - covered, 0) + size - covered AS off FROM counts),
+fitting AS (
   SELECT * FROM spans WHERE CASE WHEN base THEN grams = size - {K - 1} ELSE cover >= {t.min_cover} AND last - first <= size * {t.max_stretch} END),
+verified AS (
+  SELECT * FROM fitting a WHERE base OR NOT EXISTS (
+    SELECT 1 FROM fitting b WHERE NOT b.base AND b.r = a.r AND b.label <> a.label
+      AND least(a.last, b.last) - greatest(a.first, b.first) > least(a.last - a.first, b.last - b.first) * {t.min_overlap}
+      AND (b.off, -b.covered, b.strict, b.template, b.first) < (a.off, -a.covered, a.strict, a.template, a.first))),
 found AS (
   SELECT r, count(*) FILTER (base) AS n_base, min(first) FILTER (base) AS first_word, max(first) FILTER (base) AS last_word,
     string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base) AS base_labels, string_agg(DISTINCT label, ',' ORDER BY label) AS labels,

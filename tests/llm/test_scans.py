@@ -45,6 +45,40 @@ def test_license_scan_equals_sql(spark, odd):
     assert sorted(map(tuple, got.collect()), key=key) == sorted(want, key=key)
 
 
+AGPL = (
+    "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as "
+    "published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."
+)
+
+
+def labels_of(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    con = duckdb.connect()
+    con.register("documents", df.toArrow())
+    got = {r["doc_id"]: r["labels"] for r in licenses.license_scan(df).collect()}
+    assert got == {r[0]: r[6] for r in con.execute(licenses.oracle_sql()).fetchall()}
+    return [got[k] for k in range(len(texts))]
+
+
+def test_one_notice_gives_one_license(spark):
+    notices = licenses.NOTICES
+    texts = [f"Some words before. {text} And others after it." for _, text in notices]
+    assert labels_of(spark, texts) == [label for label, _ in notices]
+
+
+def test_two_notices_give_two_licenses(spark):
+    pairs = [(a, b) for a in licenses.NOTICES for b in licenses.NOTICES if a[0] < b[0]]
+    texts = [f"{a[1]} {b[1]}" for a, b in pairs]
+    assert labels_of(spark, texts) == [",".join(sorted({a[0], b[0]})) for a, b in pairs]
+
+
+def test_notices_that_differ_a_little(spark):
+    gpl = next(text for label, text in licenses.NOTICES if label == "gpl-2")
+    nc = "This work is made available and licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."
+    texts = [AGPL, AGPL.replace("modify it", "change it"), gpl.replace("redistribute", "share"), nc, gpl.replace("version 2", "version X"), (gpl + " filler " * 300) * 40]
+    assert labels_of(spark, texts) == ["agpl-3", "agpl-3", "gpl-2", "cc-by-nc", "gpl-3", "gpl-2"]
+
+
 def test_license_places_by_hand(spark, odd):
     rows = {r["doc_id"]: r for r in licenses.license_scan(odd).collect()}
     r = rows[6]
