@@ -60,7 +60,7 @@ ORDER BY val_loss ASC NULLS LAST, run_id LIMIT 1""",
 )
 def q_runs_best_single(spark, sf):
     """SK3 + FP6 + AG24: best run of one group (top-1 is the feature)."""
-    best = R.best_run(v_runs(spark, sf), "3-MEDIUM")
+    best = R.assert_non_empty(R.best_run(v_runs(spark, sf), "3-MEDIUM"), "group 3-MEDIUM")
     return best.select("run_id", "run_group", "val_loss")
 
 

@@ -609,7 +609,7 @@ def q_logits_batches(spark, sf):
 
 
 _BCE_ROW = (
-    "list_sum(list_transform(range(0, 10), lambda i: greatest(z[i + 1], 0.0) - z[i + 1] * "
+    f"list_sum(list_transform(range(0, {LOGIT_CLASSES}), lambda i: greatest(z[i + 1], 0.0) - z[i + 1] * "
     "(CASE WHEN i = target THEN 1.0 ELSE 0.0 END) + ln(1.0 + exp(-abs(z[i + 1])))))"
 )
 

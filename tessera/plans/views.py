@@ -9,12 +9,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.functions.arrays import to_double_array
+from tessera.functions.arrays import one_hot_decode, to_double_array
 from tessera.operators.core import bucketed_rank
 from tessera.sources.tables import table
 
 # Fixed fixture parameters.
-LOGIT_CLASSES = 10
+LOGIT_CLASSES = 64  # all components of an embedding
 LOGIT_FALLBACK = 9
 LOGIT_THRESHOLD = 0.2
 TRAJ_WINDOW = 7
@@ -55,7 +55,7 @@ def v_logits(spark: SparkSession, sf: str) -> DataFrame:
     e = table(spark, sf, "embeddings")
     return e.select(
         F.col("vec_id").alias("key"),
-        to_double_array(F.slice("embedding", 1, LOGIT_CLASSES)).alias("z"),
+        to_double_array(F.col("embedding")).alias("z"),
         F.col("label").cast("bigint").alias("target"),
     )
 
@@ -122,7 +122,7 @@ def v_mesh(spark: SparkSession, sf: str) -> DataFrame:
         F.col("vec_id").alias("node"),
         to_double_array(F.slice("embedding", 1, 2)).alias("velocity"),
         onehot.alias("onehot"),
-        (F.array_position(onehot, F.array_max(onehot)) - 1).cast("bigint").alias("node_type"),
+        one_hot_decode(to_double_array(F.col("embedding")), 3, MESH_TYPES).alias("node_type"),
         to_double_array(F.slice("embedding", 12, 2)).alias("y"),
         to_double_array(F.slice("embedding", 14, 2)).alias("pred"),
         F.floor(F.col("label") / 2).cast("bigint").alias("batch"),
@@ -220,7 +220,7 @@ SQL_VIEWS = {
     "v_text": """SELECT doc_id AS id, CAST(NULL AS TIMESTAMP) AS created_on,
         substr(text, 1, 40) AS title, substr(text, 41) AS description, lang AS tag,
         CASE WHEN n_chars % 7 = 0 THEN 'en' ELSE lang END AS y_pred FROM documents""",
-    "v_logits": """SELECT vec_id AS key, list_transform(embedding[1:10], lambda x: x::DOUBLE) AS z,
+    "v_logits": """SELECT vec_id AS key, list_transform(embedding, lambda x: x::DOUBLE) AS z,
         CAST(label AS BIGINT) AS target FROM embeddings""",
     "v_traj": """SELECT user_id % 10 AS traj_id, user_id AS particle,
         row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS frame,
