@@ -202,6 +202,8 @@ class Settings:
     min_toxic: int = 6
     #: ... and in at most so many others for each of them.
     max_clean: float = 0.02
+    #: Bounds the model: of more beginnings that qualify, those in the most toxic texts are kept. What qualifies comes
+    #: from the labelled sample alone, so the bound does not depend on the size of the corpus that is scored.
     max_learned: int = 2_000
     #: Calibration without any labelled row of either kind.
     default: tuple[float, ...] = (1.0, 2.0, 0.5, -2.0)
