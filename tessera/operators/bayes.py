@@ -39,24 +39,36 @@ class NaiveBayes:
     def labels(self) -> list[str]:
         return [c[0] for c in self.classes]
 
-    def probabilities(self, df: DataFrame, key: str, text: str) -> DataFrame:
-        """``(key, input_text, probability)``, probabilities in label order. ``key`` tells documents apart; a text
-        without a known word has the priors."""
+    def scores(self, df: DataFrame, key: str, text: str, keep: list[str] | None = None) -> DataFrame:
+        """``(key, input_text, keep..., score)``: log joint probabilities in label order. ``key`` tells documents
+        apart; a text without a known word has the priors."""
         found = _words(df, [key], text).join(self.words, "word")
         known = found.groupBy(key).agg(F.sum("n").alias("__known"))
         added = found.select(key, "n", F.explode("entries").alias("e")).groupBy(key, F.col("e.label").alias("l"))
         added = added.agg(F.sum(F.col("n") * F.col("e.weight")).alias("w"))
         sums = added.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("l", "w"))).alias("__sums"))
-        both = df.select(key, F.col(text).alias("input_text")).join(known, key, "left").join(sums, key, "left")
-        zero = F.lit(0.0)
+        both = df.select(key, F.col(text).alias("input_text"), *(keep or [])).join(known, key, "left").join(sums, key, "left")
         raw = [
-            F.lit(prior) + F.coalesce(F.col("__known"), F.lit(0)) * F.lit(missing) + F.coalesce(F.col("__sums")[label], zero)
+            F.lit(prior) + F.coalesce(F.col("__known"), F.lit(0)) * F.lit(missing) + F.coalesce(F.col("__sums")[label], F.lit(0.0))
             for label, prior, missing in self.classes
         ]
-        both = both.withColumn("__raw", F.array(*raw))
-        both = both.withColumn("__exp", F.transform("__raw", lambda x: F.exp(x - F.array_max("__raw"))))
-        total = F.aggregate("__exp", zero, lambda a, x: a + x)
-        return both.select(key, "input_text", F.transform("__exp", lambda x: x / total).alias("probability"))
+        return both.withColumn("score", F.array(*raw)).drop("__known", "__sums")
+
+    def probabilities(self, df: DataFrame, key: str, text: str) -> DataFrame:
+        """``(key, input_text, probability)``, probabilities in label order."""
+        held = self.scores(df, key, text).withColumn("__exp", F.transform("score", lambda x: F.exp(x - F.array_max("score"))))
+        total = F.aggregate("__exp", F.lit(0.0), lambda a, x: a + x)
+        return held.select(key, "input_text", F.transform("__exp", lambda x: x / total).alias("probability"))
+
+    def log_loss(self, df: DataFrame, key: str, text: str, label: str) -> DataFrame:
+        """ML1: ``(loss, n)``, the mean negative log probability of the true label; rows with an unknown label are
+        left out. Taken from the scores, so a hopeless text has a large loss and not an infinite one."""
+        held = self.scores(df, key, text, [label])
+        top = F.array_max("score")
+        total = F.log(F.aggregate("score", F.lit(0.0), lambda a, x: a + F.exp(x - top)))
+        at = F.array_position(F.array(*[F.lit(c) for c in self.labels]), F.col(label))
+        loss = F.when(at > 0, total + top - F.get("score", (at - 1).cast("int")))
+        return held.agg(F.avg(loss).alias("loss"), F.count(loss).alias("n"))
 
 
 def fit_naive_bayes(train: DataFrame, *, label: str = "tag", text: str = "text", alpha: float = 1.0) -> NaiveBayes:

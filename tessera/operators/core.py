@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.hashing import hash_hex
+from tessera.session import materialize
 
 _B = "__bucket"
 _N = "__n"
@@ -99,6 +100,19 @@ def seeded_shuffle(df: DataFrame, key: str, seed: int = 1234) -> DataFrame:
     return df.orderBy(h, F.col(key))
 
 
+#: Rows up to which a lookup table is broadcast.
+LOOKUP_ROWS = 100_000
+
+
+def checked_broadcast(lookup: DataFrame, at_most: int = LOOKUP_ROWS) -> DataFrame:
+    """``lookup`` with a broadcast hint if it has at most ``at_most`` rows, else
+    as it is, so that the join shuffles. The table is written once and counted
+    there; without the check a label column that is nearly a key would be sent
+    whole to every executor."""
+    held = materialize(lookup)
+    return F.broadcast(held) if held.limit(at_most + 1).count() <= at_most else held
+
+
 #: Rows of a bucket in which batches are numbered.
 BUCKET_ROWS = 20_000
 #: Rows of the last step of a selection that the driver sorts.

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.arrays import thresholded_argmax
 from tessera.functions.hashing import hash_uniform
+from tessera.operators.core import LOOKUP_ROWS
 from tessera.operators.text import encode_labels, fit_class_index
 
 
@@ -80,7 +81,8 @@ def predict_tags(model, df: DataFrame, *, threshold: float, fallback: str, key:
         key, "input_text", thresholded_argmax(F.col("probability"), threshold, labels.index(fallback)).alias("pred_index")
     )
     lut = spark.createDataFrame(list(enumerate(labels)), "pred_index long, predicted_tags string")
-    return scored.join(F.broadcast(lut), on="pred_index", how="left")
+    small = len(labels) <= LOOKUP_ROWS
+    return scored.join(F.broadcast(lut) if small else lut, on="pred_index", how="left")
 
 
 def evaluate_text_model(model, test: DataFrame, slices: dict, *, key: str = "id",

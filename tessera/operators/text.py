@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.arrays import pad_mask, pad_to
 from tessera.functions.text import STOPWORDS, clean_text, text_feature
-from tessera.operators.core import bucketed_rank, fixed_batches
+from tessera.operators.core import bucketed_rank, checked_broadcast, fixed_batches
 
 
 def with_text(df: DataFrame, title: str = "title", description: str = "description") -> DataFrame:
@@ -36,15 +36,15 @@ def fit_class_index(df: DataFrame, label: str = "tag", index_col: str = "class_i
 
 
 def encode_labels(df: DataFrame, classes: DataFrame, label: str = "tag", index_col: str = "class_index") -> DataFrame:
-    """JN1: left lookup, unseen label -> NULL. The class table is bounded by the
-    label set, so it is broadcast."""
-    return df.join(F.broadcast(classes), on=label, how="left")
+    """JN1: left lookup, unseen label -> NULL. The class table is broadcast if
+    its size allows."""
+    return df.join(checked_broadcast(classes), on=label, how="left")
 
 
 def decode_labels(df: DataFrame, classes: DataFrame, index: str, label: str = "tag", index_col: str = "class_index", out: str = "predicted_tag") -> DataFrame:
-    """JN2: index -> class name (broadcast left join)."""
+    """JN2: index -> class name, the class table broadcast if its size allows."""
     lut = classes.select(F.col(index_col).alias(index), F.col(label).alias(out))
-    return df.join(F.broadcast(lut), on=index, how="left")
+    return df.join(checked_broadcast(lut), on=index, how="left")
 
 
 def preprocess(

@@ -107,6 +107,24 @@ def q_text_model_eval(spark, sf):
     return rows.select("scope", "key", *[F.round(c, 9).alias(c) for c in ("precision", "recall", "f1")], "num_samples")
 
 
+@register(
+    "text_model_loss",
+    with_views(
+        f"""{_BAYES_SQL},
+truth AS (
+  SELECT s.id, max(score) AS top, max(score) FILTER (WHERE s.tag = d.tag) AS mine, list(score) AS all_scores
+  FROM scores s JOIN cleaned d USING (id) GROUP BY s.id)
+SELECT round(avg(ln(list_sum(list_transform(all_scores, lambda x: exp(x - top)))) + top - mine), 6) AS valid_loss,
+  CAST(count(mine) AS BIGINT) AS n FROM truth""",
+        "v_text",
+    ),
+)
+def q_text_model_loss(spark, sf):
+    """ML1: the validation loss of the fitted classifier."""
+    model, test = _bayes(spark, sf)
+    return model.log_loss(test, "id", "text", "tag").select(F.round("loss", 6).alias("valid_loss"), "n")
+
+
 @register("text_model_logistic_eval")
 def q_text_model_logistic_eval(spark, sf):
     """ML1 + ML3 with the MLlib pipeline: logistic regression over TF-IDF."""

@@ -278,3 +278,20 @@ def read_store(spark: SparkSession, path: str, split: str = "train") -> DataFram
 def read_flat(spark: SparkSession, path: str, split: str = "train") -> DataFrame:
     """All rows of a split in the flat single-file layout."""
     return read_index(flat_index(spark, path, split))
+
+
+def read_flat_context(spark: SparkSession, path: str, split: str = "train") -> DataFrame:
+    """SC6: ``(traj_id, frame, context)`` of the flat layout; no rows where a trajectory has none."""
+    path = path.rstrip("/")
+    m = manifest_table(spark, path, split).where("context_offset IS NOT NULL")
+    index = m.select(
+        F.col("traj_id").cast("long").alias("traj_id"), F.lit(f"{path}/{split}_step_context.dat").alias("file"),
+        (F.col("context_offset") * 4).alias("position_at"), F.lit(None).cast("long").alias("ids_at"), F.lit(None).cast("long").alias("types_at"),
+        F.lit(0).cast("long").alias("frame0"), F.col("T").cast("long").alias("T"), F.lit(1).cast("long").alias("N"), F.col("context_dim").cast("int").alias("dim"),
+    )
+    return read_index(index).select("traj_id", "frame", F.col("pos").alias("context"))
+
+
+def read_flat_trajectories(spark: SparkSession, path: str, split: str = "train") -> DataFrame:
+    """SC7 + SC8: a split of the flat layout (``split="test"``: the test files) with types and context in each row."""
+    return read_flat(spark, path, split).join(read_flat_context(spark, path, split), ["traj_id", "frame"], "left")

@@ -137,6 +137,23 @@ def test_naive_bayes_equals_brute_force(spark):
         assert got[k] == pytest.approx([brute_bayes(train, text)[c] for c in "abc"], abs=1e-9)
 
 
+def test_log_loss_of_hopeless_and_unknown_labels(spark):
+    train = spark.createDataFrame([("up " * 9, "a"), ("down " * 9, "b")], "text string, tag string")
+    model = fit_naive_bayes(train)
+    tests = spark.createDataFrame([(1, "up", "a"), (2, "down " * 5000, "a"), (3, "up", "new"), (4, "up", None)], "id long, text string, tag string")
+    loss, n = model.log_loss(tests, "id", "text", "tag").first()
+    p = brute_bayes([("up " * 9, "a"), ("down " * 9, "b")], "up")["a"]
+    ratio = math.log(10)  # ten times as likely in b, five thousand times over
+    assert n == 2 and loss == pytest.approx((-math.log(p) + 5000 * ratio) / 2)
+
+
+def test_lookup_is_broadcast_up_to_a_bound(spark):
+    from tessera.operators.core import checked_broadcast
+
+    hinted = lambda d: "broadcast" in d._jdf.queryExecution().logical().toString().lower()
+    assert hinted(checked_broadcast(spark.range(10), 10)) and not hinted(checked_broadcast(spark.range(11), 10))
+
+
 def test_behaviour_of_naive_bayes(spark):
     """Invariant under a word that swaps with one of its kind, directional, and minimum functionality."""
     rows = [

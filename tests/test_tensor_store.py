@@ -87,6 +87,9 @@ def test_flat_layout(spark):
     t, n, d = trajs[0]
     at = t * n * d + (2 * 2 + 1) * 2
     assert got[1, 2, 1] == (11, [float(flat[at]), float(flat[at + 1])])
+    whole = S.read_flat_trajectories(spark, root, "test")
+    assert whole.count() == len(got) and whole.where("context IS NULL OR size(context) <> 1").count() == 0
+    assert S.read_flat_context(spark, root, "test").count() == sum(t for t, _, _ in trajs.values())
     os.truncate(os.path.join(root, "test_position.dat"), 8)
     with pytest.raises(Exception, match="bytes at"):
         S.read_flat(spark, root, "test").collect()
