@@ -99,15 +99,14 @@ def evaluate_text_model(model, test: DataFrame, slices: dict, *, key: str = "id"
     return metric_rows(scored, classes, slices)
 
 
-def trial_table(spark: SparkSession, num_runs: int, seed: int = 1234) -> DataFrame:
-    """SM10: the reference's search space drawn from md5 uniforms of the trial
-    id: dropout U(0.3, 0.9), lr log-U(1e-5, 5e-4), lr_factor U(0.1, 0.9),
-    lr_patience U(1, 10)."""
-    t = spark.range(num_runs).withColumnRenamed("id", "trial_id")
-    u = lambda name: hash_uniform(["trial_id"], f"{seed}:{name}")
+def trial_params(trials: DataFrame, seed: int = 1234, id_col: str = "trial_id") -> DataFrame:
+    """SM10: ``trials`` with the search space drawn from md5 uniforms of the
+    trial id: dropout U(0.3, 0.9), lr log-U(1e-5, 5e-4), lr_factor U(0.1, 0.9),
+    lr_patience U(1, 10). A trial draws the same in every run and order."""
+    u = lambda name: hash_uniform([id_col], f"{seed}:{name}")
     a, b = math.log(1e-5), math.log(5e-4)
-    return t.select(
-        "trial_id",
+    return trials.select(
+        id_col,
         (F.lit(0.3) + F.lit(0.6) * u("dropout_p")).alias("dropout_p"),
         F.exp(F.lit(a) + F.lit(b - a) * u("lr")).alias("lr"),
         (F.lit(0.1) + F.lit(0.8) * u("lr_factor")).alias("lr_factor"),
@@ -115,6 +114,11 @@ def trial_table(spark: SparkSession, num_runs: int, seed: int = 1234) -> DataFra
     )
 
 
+def trial_table(spark: SparkSession, num_runs: int, seed: int = 1234) -> DataFrame:
+    """SM10: the parameters of ``num_runs`` trials, numbered from 0."""
+    return trial_params(spark.range(num_runs).withColumnRenamed("id", "trial_id"), seed)
+
+
 def tune_text_classifier(train: DataFrame, trials: DataFrame, *, parallelism: int = 2, seed: int = 1234) -> DataFrame:
     """ML4: one MLlib candidate per trial row (regParam <- lr,
     elasticNetParam <- lr_factor, maxIter <- 5 + round(lr_patience));

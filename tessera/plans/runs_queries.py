@@ -3,9 +3,13 @@ V_history) and the string / timestamp helpers (ST-10..ST-16)."""
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
+from tessera.functions.hashing import sql_hash_hex, sql_hex_uniform
 from tessera.operators import runs as R
+from tessera.operators.models import trial_params
 from tessera.plans.catalog import register
 from tessera.plans.views import ARTIFACT_TIEBREAK, v_artifacts, v_history, v_runs, with_views
 
@@ -334,3 +338,24 @@ def q_events_config_parse(spark, sf):
 
     ev = table(spark, sf, "events")
     return ev.select("event_id", parse_config(F.col("props"), "k bigint")["k"].alias("k"))
+
+
+def _drawn(name: str) -> str:
+    return sql_hex_uniform(sql_hash_hex(["run_id"], f"1234:{name}"))
+
+
+@register(
+    "runs_trial_params",
+    with_views(
+        f"""SELECT run_id, round(0.3::DOUBLE + 0.6::DOUBLE * {_drawn('dropout_p')}, 9) AS dropout_p,
+  round(exp({math.log(1e-5)!r}::DOUBLE + {math.log(5e-4) - math.log(1e-5)!r}::DOUBLE * {_drawn('lr')}), 12) AS lr,
+  round(0.1::DOUBLE + 0.8::DOUBLE * {_drawn('lr_factor')}, 9) AS lr_factor,
+  round(1.0::DOUBLE + 9.0::DOUBLE * {_drawn('lr_patience')}, 9) AS lr_patience FROM v_runs""",
+        "v_runs",
+    ),
+)
+def q_runs_trial_params(spark, sf):
+    """SM10: the search space drawn for every run."""
+    drawn = trial_params(v_runs(spark, sf), id_col="run_id")
+    exact = {"lr": 12}
+    return drawn.select("run_id", *[F.round(c, exact.get(c, 9)).alias(c) for c in drawn.columns if c != "run_id"])
