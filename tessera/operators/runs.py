@@ -69,9 +69,10 @@ def retention(artifacts: DataFrame, *, artifact_type: str | None = None, id_col:
     rows that still tie are told apart by a hash of the row, equal rows by an
     arbitrary order. NULL runs and types are groups of their own.
 
-    A group is dealt over ``_RETENTION_SALTS`` tasks by the row hash, each
-    names its own newest row, and an aggregate picks among those, so one run
-    with a third of all artifacts is never sorted in one task."""
+    The newest value of a group is an aggregate, combined before the shuffle, and
+    joined back. Only rows equal to it compete; the others are dealt over
+    ``_RETENTION_SALTS`` tasks a group, so one run with a third of all artifacts
+    is never in one task."""
     a = artifacts if artifact_type is None else artifacts.where(F.col(type_col) == F.lit(artifact_type))
     columns = a.columns
     a = a.withColumns({
@@ -79,11 +80,12 @@ def retention(artifacts: DataFrame, *, artifact_type: str | None = None, id_col:
         "__o": F.struct(F.col(ts_col).alias("o0"), *[F.col(c).alias(f"o{i}") for i, c in enumerate(tiebreak or [], 1)]),
         "__h": F.xxhash64(*columns),
     })
-    salted = Window.partitionBy("__k", F.pmod("__h", F.lit(_RETENTION_SALTS))).orderBy(F.desc("__o"), F.desc("__h"))
-    a = a.withColumn("__first", F.row_number().over(salted) == 1)
-    newest = a.where("__first").groupBy("__k").agg(F.max(F.struct("__o", "__h")).alias("__newest"))
-    keep = F.col("__first") & (F.struct("__o", "__h") == F.col("__newest"))
-    return a.join(newest, on="__k").select(*columns, F.when(keep, F.lit("keep")).otherwise(F.lit("delete")).alias("action"))
+    newest = a.groupBy("__k").agg(F.max(F.struct("__o", "__h")).alias("__newest"))
+    a = a.join(newest, on="__k").withColumn("__match", F.struct("__o", "__h") == F.col("__newest"))
+    salt = F.when(~F.col("__match"), F.pmod("__h", F.lit(_RETENTION_SALTS)))
+    equal = Window.partitionBy("__k", "__match", salt).orderBy("__match")
+    keep = F.col("__match") & (F.row_number().over(equal) == 1)
+    return a.select(*columns, F.when(keep, F.lit("keep")).otherwise(F.lit("delete")).alias("action"))
 
 
 def retention_rank(artifacts: DataFrame, *, id_col: str = "run_id", type_col: str = "type",
