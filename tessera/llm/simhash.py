@@ -86,6 +86,10 @@ def _half(fp: np.ndarray, half: int) -> np.ndarray:
     return (fp.view(np.uint64) >> np.uint64(32 * half)).astype(np.uint32)
 
 
+def _quarter(fp: np.ndarray, quarter: int) -> np.ndarray:
+    return (fp.view(np.uint64) >> np.uint64(16 * quarter)).astype(np.uint16)
+
+
 def _vantage(x: np.ndarray) -> tuple[int, int] | None:
     """A vantage point and the radius that best halves ``x``; None if none splits it."""
     best = None
@@ -149,37 +153,70 @@ class _Forest:
     """Spanning forest of the links found so far in a shard."""
 
     def __init__(self, n: int):
-        self.root = np.arange(n)
+        self.parent = np.arange(n)
         self.links: list[tuple[int, int]] = []
 
+    def roots(self, js: np.ndarray) -> np.ndarray:
+        """The root of each of ``js``, whose paths become one step long."""
+        up = self.parent[js]
+        while not np.array_equal(up, above := self.parent[up]):
+            up = above
+        self.parent[js] = up
+        return up
+
+    def connected(self, js: np.ndarray) -> bool:
+        """Whether ``js`` are in one component already, so that no link among them is missing."""
+        return self.parent[js[0]] == self.parent[js[-1]] and len(np.unique(self.roots(js))) == 1
+
     def add(self, i: int, js: np.ndarray) -> None:
-        roots, first = np.unique(self.root[js], return_index=True)
+        roots, first = np.unique(self.roots(js), return_index=True)
+        own = int(self.roots(np.array([i]))[0])
         for r, j in zip(roots.tolist(), js[first].tolist()):
-            if r != self.root[i]:
+            if r != own:
                 self.links.append((i, j))
-                self.root[self.root == r] = self.root[i]
+                self.parent[r] = own
 
 
 def search(fp: np.ndarray, home: np.ndarray, half: int, max_bits: int) -> list[tuple[int, int]]:
-    """Links (places in ``fp``) of a shard's residents with each other and with queries."""
-    reach, x, bits = max_bits // 2, _half(fp, half), fp.view(np.uint64)
+    """Links (places in ``fp``) of a shard's residents with each other and with queries.
+
+    Residents with equal halves are one point to a tree over that half. Of two
+    fingerprints with the same half all differing bits lie in the other one, at
+    most ``max_bits // 2`` of them in one of its quarters, so these residents are
+    split by a tree over each of the two quarters instead.
+    """
+    bits = fp.view(np.uint64)
+    parts = {16: lambda k: _quarter(fp, k), 32: lambda k: _half(fp, k)}
+    made: dict[tuple[int, int], np.ndarray] = {}
     found = _Forest(len(fp))
-    todo = [(np.arange(len(fp)), home)]
+    todo = [(np.arange(len(fp)), home, (32, half))]
     while todo:
-        at, lives = todo.pop()
+        at, lives, part = todo.pop()
         mine = at[lives]
-        if not len(mine):
+        if not len(mine) or found.connected(at):
             continue
+        if part not in made:
+            made[part] = parts[part[0]](part[1])
+        x, reach = made[part], max_bits // 2
         cut = _vantage(x[mine]) if len(mine) > LEAF else None
         if cut:
             inside, outside, home_in, home_out = _sides(_distance(x[at], cut[0]), cut[1], lives, reach)
-            todo += [(at[inside], home_in[inside]), (at[outside], home_out[outside])]
+            todo += [(at[inside], home_in[inside], part), (at[outside], home_out[outside], part)]
+            continue
+        if len(mine) > LEAF and part[0] == 32:
+            # queries lie up to ``reach`` bits away in this half and have fewer left for the other
+            other = 1 - part[1]
+            todo += [(at, lives, (16, 2 * other + k)) for k in (0, 1)]
             continue
-        rows = max(1, (1 << 22) // len(mine))
+        rows = max(1, (1 << 18) // len(mine))
         for k in range(0, len(at), rows):
             some = at[k : k + rows]
+            # rows already linked to all that they are near to add nothing
+            apart = found.roots(some)[:, None] != found.roots(mine)[None, :]
+            if not apart.any():
+                continue
             near = np.bitwise_count(bits[some][:, None] ^ bits[mine][None, :]) <= max_bits
-            near &= some[:, None] != mine[None, :]
+            near &= apart
             for i in np.flatnonzero(near.any(axis=1)).tolist():
                 found.add(int(some[i]), mine[near[i]])
     return found.links

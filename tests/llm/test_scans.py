@@ -181,6 +181,42 @@ def test_keep_one_of_each_component_under_a_shared_id(spark):
     assert sorted(tuple(r) for r in simhash.keep_one(docs).collect()) == [(1, fish, "a"), (1, bird, "b"), rows[-1]]
 
 
+@pytest.mark.parametrize("shape", ["one centre", "equal low halves", "equal high halves"])
+def test_search_of_a_shard_that_one_tree_cannot_split(monkeypatch, shape):
+    """Components of a dense shard, or of equal halves, as all pairs give them; no more links than fingerprints."""
+    rng, centre = random.Random(7), 0x0123456789ABCDEF
+    fps = set()
+    while len(fps) < 700:
+        if shape == "one centre":
+            x = centre
+            for b in rng.sample(range(64), rng.randint(1, 6)):
+                x ^= 1 << b
+        else:
+            x = rng.getrandbits(14) << (rng.choice((0, 9, 18)) + (32 if shape == "equal low halves" else 0))
+        fps.add(x)
+    fp = np.array(sorted(fps), np.uint64).view(np.int64)
+    monkeypatch.setattr(simhash, "LEAF", 16)
+    home = np.array([rng.random() < 0.8 for _ in fp])
+    near = np.bitwise_count(fp.view(np.uint64)[:, None] ^ fp.view(np.uint64)[None, :]) <= 3
+    near &= home[:, None] | home[None, :]
+
+    def components(pairs):
+        root = list(range(len(fp)))
+        for a, b in pairs:
+            while root[a] != a:
+                a = root[a]
+            while root[b] != b:
+                b = root[b]
+            root[max(a, b)] = min(a, b)
+        for k in range(len(fp)):
+            root[k] = root[root[k]]
+        return root
+
+    found = [simhash.search(fp, home, half, 3) for half in (0, 1)]
+    assert all(len(f) < len(fp) and all(near[a, b] for a, b in f) for f in found)
+    assert components(found[0] + found[1]) == components(np.argwhere(near).tolist())
+
+
 def test_vantage_point_trees_find_every_link(spark, monkeypatch):
     """Small shards and leaves, chains and dense groups: same components as all pairs."""
     rng = random.Random(5)
