@@ -12,6 +12,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +25,8 @@ from tessera.llm.features import fit_logistic, gram_counts, shapes, sigmoid, uni
 _SIGNS = re.compile(r"[#*$%&|<>{}=\\^~]")
 _SHOUT = re.compile(r"[!?]{2,}")
 _END = re.compile(r"[.!?]+(?:\s|$)")
+#: Signs that menus and link lists put between their entries.
+SEPARATORS = ("|", "•", "·", "»", "›", "/")
 
 
 @dataclass(frozen=True)
@@ -36,36 +39,71 @@ class Settings:
     min_score: float = 0.5
 
 
-def _vote(value: float, good: float, bad: float) -> int:
-    """1 up to ``good``, -1 from ``bad`` on, else nothing."""
-    return 1 if value <= good else -1 if value >= bad else 0
-
+#: What each labeller measures: good up to the first value, bad from the second on, else no vote.
+CUTS = {
+    "signs": (0.1, 0.3),
+    "shouting": (0.05, 0.2),
+    "capitals": (0.25, 0.6),
+    "other characters": (0.2, 0.35),
+    "word length": (3, 8),
+    "sentence length": (40, 120),
+    "repeated lines": (0.2, 0.5),
+    "lone separators": (0.02, 0.15),
+    "repeated words": (0.03, 0.15),
+    "longest run": (2, 5),
+    "no function words": (0.92, 0.985),
+}
+LABELLERS = tuple(CUTS)
+#: Frequent short words of the languages that the corpus is made of.
+FUNCTION_WORDS = frozenset(
+    """
+    the of and to in is it that for as with by on at this be are or from
+    der die das und in den von zu mit sich des auf für ist im dem nicht ein eine
+    le la les de des et en un une du que est pour dans par sur au qui ne
+    el los las del y que se por con una para es su al lo como más o
+    """.split()
+)
 
-LABELLERS = ("signs", "shouting", "capitals", "other characters", "word length", "sentence length", "repeated lines")
 
+def measures(text: str | None) -> tuple[float | None, ...]:
+    """What each labeller measures on a text; None where there is too little to tell.
 
-def votes(text: str | None) -> tuple[int, ...]:
-    """One vote per labeller: 1 good, -1 bad, 0 nothing. No word: all bad."""
+    A text too short for function words has none missing, so that short texts are not one side's.
+    """
     text = text or ""
     words = text.split()
     n = len(words)
     if not n:
-        return (-1,) * len(LABELLERS)
+        return (None,) * len(CUTS)
     chars = sum(map(len, words))
     alphas = sum(map(str.isalpha, text))
     upper = sum(map(str.isupper, text))
     lines = [x for x in text.split("\n") if x.strip()]
+    runs = [len(list(same)) for _, same in groupby(words)]
+    known = sum(w.strip(".,;:!?").lower() in FUNCTION_WORDS for w in words)
     return (
-        _vote(sum(_SIGNS.search(w) is not None for w in words) / n if _SIGNS.search(text) else 0, 0.1, 0.3),
-        _vote(len(_SHOUT.findall(text)) / n, 0.05, 0.2),
-        _vote(upper / alphas if alphas else 1, 0.25, 0.6) if chars >= 40 else 0,
-        _vote(1 - alphas / chars, 0.2, 0.35),
-        _vote(abs(chars / n - 6), 3, 8),
-        _vote(n / max(1, len(_END.findall(text))), 40, 120),
-        _vote(1 - len(set(lines)) / len(lines), 0.2, 0.5) if len(lines) > 3 else 0,
+        sum(_SIGNS.search(w) is not None for w in words) / n if _SIGNS.search(text) else 0.0,
+        len(_SHOUT.findall(text)) / n,
+        (upper / alphas if alphas else 1.0) if chars >= 40 else None,
+        1 - alphas / chars,
+        abs(chars / n - 6),
+        n / max(1, len(_END.findall(text))),
+        1 - len(set(lines)) / len(lines) if len(lines) > 3 else None,
+        sum(map(words.count, SEPARATORS)) / n,
+        1 - len(runs) / n,
+        max(runs),
+        1 - known / n if n >= 40 else 0.0,
     )
 
 
+def votes(text: str | None, made: tuple[float | None, ...] | None = None) -> tuple[int, ...]:
+    """One vote per labeller: 1 good, -1 bad, 0 nothing. No word: all bad."""
+    made = made or measures(text)
+    if all(m is None for m in made):
+        return (-1,) * len(CUTS)
+    return tuple(0 if m is None else 1 if m <= good else -1 if m >= bad else 0 for m, (good, bad) in zip(made, CUTS.values()))
+
+
 def posteriors(counts: dict[tuple[int, ...], int], rounds: int = 50) -> dict[tuple[int, ...], float]:
     """Probability of good for each combination of votes, by expectation maximisation.
 
@@ -88,8 +126,25 @@ def posteriors(counts: dict[tuple[int, ...], int], rounds: int = 50) -> dict[tup
     return dict(zip(counts, p.tolist()))
 
 
+def _kinds(text: str) -> np.ndarray:
+    """One byte per word: a function word, the word before again, one with signs, or any other."""
+    words = text.split()
+    kinds = bytearray()
+    for word, before in zip(words, [None, *words]):
+        if word == before:
+            kinds += b"r"
+        elif word.strip(".,;:!?").lower() in FUNCTION_WORDS:
+            kinds += b"f"
+        else:
+            kinds += b"s" if _SIGNS.search(word) else b"o"
+    return np.frombuffer(bytes(kinds), np.uint8)
+
+
 def _vector(text: str | None, dim: int) -> np.ndarray:
-    return unit(np.log1p(gram_counts(shapes(text or ""), dim)))
+    """Hashed grams of the characters' shapes, and in an eighth as many buckets those of the words' kinds."""
+    text = text or ""
+    parts = (gram_counts(shapes(text), dim), gram_counts(_kinds(text), dim // 8))
+    return np.concatenate([unit(np.log1p(part)) for part in parts])
 
 
 @dataclass(frozen=True)
@@ -101,8 +156,9 @@ class Model:
 def fit(docs: DataFrame, settings: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text") -> Model | None:
     """Votes over all rows, accuracies, and a scorer of a bounded sample; None without rows.
 
-    Equal rows draw the same lot, so a sample of repeated rows could exceed its
-    bound: the lot is drawn from the row's place too.
+    A row's lot is drawn from its id and text, so rows that repeat both would all
+    be drawn at once: they count once in the sample. Where so many rows repeat
+    that none is drawn, lots are drawn from the rows' places as well.
     """
     prepare(docs.sparkSession)
     s = settings
@@ -124,11 +180,14 @@ def fit(docs: DataFrame, settings: Settings = Settings(), id_col: str = "doc_id"
             yield pa.RecordBatch.from_arrays([pa.array(raw, pa.binary()), pa.array([good[votes(t)] for t in texts])], names=["vector", "good"])
 
     keyed = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    sample = threshold_sample(keyed, F.xxhash64("id", "text"), s.sample, sum(counts.values()))
-    found = sample.mapInArrow(vectors, "vector binary, good double").toArrow().sort_by([("vector", "ascending")])
-    if not len(found):
+    for lot in (F.xxhash64("id", "text"), F.xxhash64("id", "text", F.monotonically_increasing_id())):
+        sample = threshold_sample(keyed, lot, s.sample, sum(counts.values())).dropDuplicates(["id", "text"])
+        found = sample.mapInArrow(vectors, "vector binary, good double").toArrow().sort_by([("vector", "ascending")])
+        if len(found):
+            break
+    else:
         return None
-    x = np.frombuffer(b"".join(found.column("vector").to_pylist()), "<f4").reshape(-1, s.dim)
+    x = np.frombuffer(b"".join(found.column("vector").to_pylist()), "<f4").reshape(len(found), -1)
     return Model(fit_logistic(x, found.column("good").to_numpy(), ridge=0.05, steps=12), s)
 
 
@@ -161,7 +220,12 @@ def classify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_
 
 
 def keep_good(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows that ``classify`` rejects; the columns stay."""
+    """``docs`` without the rows that ``classify`` rejects; the columns stay.
+
+    * Null texts and those without a word are rejected.
+    * Repeated rows and null ids: each row is judged on its own, equal texts alike.
+    * Other columns may have any name and pass through. An empty table gives no rows.
+    """
     prepare(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     limit = model.settings.min_score if model else 0.5

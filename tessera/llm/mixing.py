@@ -168,6 +168,11 @@ def mixed_docs(docs: DataFrame, mix: Mix = Mix(), id_col: str = "doc_id", text_c
     """Rows of ``docs`` as often as the mix selects them; the columns stay.
 
     Ids and hashes are shuffled to choose, then whole rows once to multiply.
+
+    * Null or empty texts have one token, their end; a null source or language is a leaf of its own.
+    * Repeated rows are selected one by one, each at most ``max_epochs`` times.
+    * Other columns pass through; names that begin with two underscores are taken.
+    * An empty table gives no rows.
     """
     prepare(docs.sparkSession)
     rows = materialize(tree(docs, id_col, text_col))

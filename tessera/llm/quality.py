@@ -179,6 +179,10 @@ def keep_clean(docs: DataFrame, rules: Rules = Rules(), text_col: str = "text",
     """``docs`` without the rejected documents and without the failing lines of the others.
 
     The columns stay as they are; ``chars_col``, where there is one, follows the text.
+
+    * Null and empty texts have no word and are rejected, whatever their other columns hold.
+    * Repeated rows and null ids: each row is judged on its own, equal texts alike.
+    * Other columns may have any name and pass through. An empty table gives no rows.
     """
     prepare(docs.sparkSession)
     names = docs.columns

@@ -301,6 +301,10 @@ def keep_one(
 
     Of repeated rows of that id, and of a component without any id, any one row stays. Rows
     that share an id but no component are told apart by their fingerprints.
+
+    * Null or empty texts are one component, that of fingerprint zero.
+    * Other columns pass through; names that begin with two underscores are taken.
+    * An empty table gives no rows.
     """
     prepare(docs.sparkSession)
     made = materialize(fingerprints(docs, shingle, id_col, text_col))

@@ -283,6 +283,35 @@ def test_classifier_votes_and_edges(spark, bilingual):
     assert kept.columns == docs.columns and kept.count() == sum(r.kept for r in classifier.classify(docs, classifier.fit(docs)).collect())
 
 
+def test_classifier_on_labelled_documents(spark):
+    """Labels are not used in training, so all labelled documents are held out."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    marked = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    got = classifier.classify(docs, classifier.fit(docs)).join(marked, "doc_id").select("quality", "kept").collect()
+    bad, good = ([r.kept for r in got if r.quality == q] for q in (0, 1))
+    assert sum(bad) <= 0.2 * len(bad) and sum(good) >= 0.98 * len(good) and len(bad) > 30
+
+
+def test_classifier_sample_of_repeated_rows(spark, bilingual, monkeypatch):
+    """A sample keeps its bound where one row is most of the table, and is drawn where all rows are copies."""
+    sizes = []
+    fit = classifier.fit_logistic
+    monkeypatch.setattr(classifier, "fit_logistic", lambda x, y, **k: (sizes.append(len(x)), fit(x, y, **k))[1])
+    copies = docs_of(spark, [(7, EN * 3, "en", "s0")] * 3_000)
+    for docs in (bilingual.unionByName(copies), copies):
+        model = classifier.fit(docs, classifier.Settings(sample=40))
+        assert model is not None and 0 < sizes[-1] <= 70
+        assert all(r.kept for r in classifier.classify(docs, model).where("doc_id = 7").distinct().collect())
+
+
+def test_classifier_votes_on_repeats_and_menus():
+    vote = dict(zip(classifier.LABELLERS, classifier.votes(EN + "blah " * 30)))
+    assert vote["repeated words"] == vote["longest run"] == -1 and vote["lone separators"] == 1
+    vote = dict(zip(classifier.LABELLERS, classifier.votes("Home | News | Sport | Shop | Contact | Terms " * 8)))
+    assert vote["lone separators"] == vote["signs"] == vote["no function words"] == -1 and vote["longest run"] == 1
+    assert set(classifier.votes(EN + FR)[-4:]) == {1} and set(classifier.votes(None)) == {-1}
+
+
 def test_posteriors_follow_the_majority():
     p = classifier.posteriors({(1, 1, 1): 80, (-1, -1, -1): 15, (1, -1, 1): 3, (-1, 1, -1): 2})
     assert p[1, 1, 1] > 0.9 > 0.5 > p[-1, -1, -1] and p[1, -1, 1] > p[-1, 1, -1]
@@ -301,6 +330,57 @@ def test_pipeline_stages(spark):
     assert full.where("n > 4096 or n != end").count() == 0 and out.count() > 0
 
 
+LONG = " ".join(f"{w} and word{k}." for k, w in enumerate(("the river of the town " * 4_000).split()))
+
+
+def odd_documents(spark):
+    """Nulls, ties, repeated rows, a very long text, texts without a word, and extra columns with clashing names."""
+    rng = random.Random(4)
+    prose = [" ".join(rng.choice(EN.split()) + rng.choice(("", "s", "ly")) for _ in range(80)) + "." for _ in range(12)]
+    rows = [(k, t, "en", f"s{k % 2}") for k, t in enumerate(prose)]
+    rows += [rows[0], rows[0], (0, prose[1], "en", "s0"), (20, prose[2], "en", None), (None, prose[3], None, "s1"), (None, prose[4] + " then", None, None)]
+    rows += [(30, None, None, None), (30, None, "en", "s0"), (31, "", "en", "s0"), (32, " \n\t", "en", "s0"), (33, LONG, "en", "s0")]
+    docs = docs_of(spark, rows)
+    for name in ("id", "fp", "label", "tokens", "epoch", "score", "kept", "key", "copy", "rank", "length", "sequence_id"):
+        docs = docs.withColumn(name, F.lit("x"))
+    return docs
+
+
+def test_stages_on_odd_rows(spark):
+    docs = odd_documents(spark)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, docs, SF)
+        assert after.columns == docs.columns and after.schema.simpleString() == docs.schema.simpleString(), name
+        got = after.collect()
+        assert got and all(r.id == "x" and r.sequence_id == "x" for r in got), name
+        if name in ("quality_rules", "quality_classifier"):
+            assert all((r.text or "").strip() for r in got), name
+        if name == "quality_rules":
+            assert [r.text for r in got if r.doc_id == 33] == [LONG]
+        if name == "simhash_near_dedup":
+            ids = sorted(-1 if r.doc_id is None else r.doc_id for r in got)
+            assert ids.count(0) <= 2 and ids.count(30) == 1 and not {31, 32} & set(ids)
+        assert stage(spark, docs.limit(0), SF).count() == 0, name
+
+
+@pytest.mark.parametrize("empty", [False, True])
+def test_pipeline_on_odd_rows(spark, tmp_path, empty):
+    docs = odd_documents(spark)
+    (docs.limit(0) if empty else docs).write.parquet(f"{tmp_path}/documents.parquet")
+    out = corpus_pipeline.run(spark, str(tmp_path)).select("doc_id", "sequence_id", "offset", "length", "piece").collect()
+    assert bool(out) != empty
+    places = {}
+    for r in out:
+        places.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for pieces in places.values():
+        end = 0
+        for offset, length in sorted(pieces):
+            assert offset == end
+            end += length
+        assert end <= 4096
+    assert empty or len({r.piece for r in out if r.doc_id == 33}) > 1
+
+
 def test_words_of_a_mix(spark):
     texts = [None, "", " \t\n", "one", " two\x0bwords ", "x xx\r\n\x0cé\xa0é 日本", "w " * 50_000 + "end"]
     frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
