@@ -32,7 +32,9 @@ NONE = "(none)"
 class Mix:
     #: Weight of a node, named by its path such as ``("domain-0", "en")``.
     weights: dict[tuple[str, ...], float] = field(default_factory=dict)
-    #: Weight of other nodes: their tokens to this power (1: as they come, 0: all alike).
+    #: Weight of other leaves: their tokens to this power (1: as they come, 0: all alike).
+    #: Other inner nodes weigh what their children do together, so that leaves of
+    #: equal size have equal targets wherever they stand in the tree.
     flatten: float = 0.7
     #: Tokens to select over tokens given.
     budget: float = 1.0
@@ -67,8 +69,15 @@ def share_out(budget: float, limits: list[float], weights: list[float]) -> list[
 def budgets(tokens: dict[tuple[str, ...], int], mix: Mix, total: float) -> dict[tuple[str, ...], float]:
     """The budget of each leaf; ``tokens`` has the leaves' paths, all equally deep."""
 
-    def weight(path: tuple[str, ...], size: float) -> float:
-        return mix.weights.get(path, size**mix.flatten if size else 0.0)
+    def weight(path: tuple[str, ...], leaves: dict[tuple[str, ...], int]) -> float:
+        if path in mix.weights:
+            return mix.weights[path]
+        if path in leaves:
+            return float(leaves[path]) ** mix.flatten if leaves[path] else 0.0
+        below: dict[tuple[str, ...], dict] = {}
+        for leaf, n in leaves.items():
+            below.setdefault(leaf[: len(path) + 1], {})[leaf] = n
+        return sum(weight(p, part) for p, part in below.items())
 
     def down(prefix: tuple[str, ...], leaves: dict[tuple[str, ...], int], budget: float) -> dict:
         if list(leaves) == [prefix]:
@@ -77,10 +86,9 @@ def budgets(tokens: dict[tuple[str, ...], int], mix: Mix, total: float) -> dict[
         for path, n in leaves.items():
             children.setdefault(path[: len(prefix) + 1], {})[path] = n
         paths = sorted(children)
-        sizes = [sum(children[p].values()) for p in paths]
         # a subtree's limit counts only leaves that a positive weight reaches
         limits = [float(mix.max_epochs * reach(p, children[p])) for p in paths]
-        given = share_out(budget, limits, [weight(p, s) for p, s in zip(paths, sizes)])
+        given = share_out(budget, limits, [weight(p, children[p]) for p in paths])
         return {k: v for p, b in zip(paths, given) for k, v in down(p, children[p], b).items()}
 
     def reach(prefix: tuple[str, ...], leaves: dict[tuple[str, ...], int]) -> int:

@@ -68,6 +68,15 @@ def test_budgets_siblings_before_ancestors():
     assert mixing.budgets({}, mix, 5) == {}
 
 
+def test_leaves_of_equal_size_have_equal_targets():
+    sizes = {("a", "x"): 100, ("b", "x"): 100, ("b", "y"): 100, ("b", "z"): 800}
+    got = mixing.budgets(sizes, mixing.Mix(flatten=0.5), 500.0)
+    assert got["a", "x"] == pytest.approx(got["b", "x"]) == pytest.approx(got["b", "y"])
+    assert sum(got.values()) == pytest.approx(500) and got["b", "z"] / got["b", "x"] == pytest.approx(8**0.5)
+    got = mixing.budgets(sizes, mixing.Mix(weights={("a",): 1, ("b",): 3, ("b", "z"): 0}), 400.0)
+    assert got["a", "x"] == pytest.approx(100) and got["b", "x"] == pytest.approx(150) and got["b", "z"] == 0
+
+
 @pytest.mark.parametrize("bucket_rows", [3, 1_000])
 def test_mixing_against_brute_force(spark, monkeypatch, bucket_rows):
     monkeypatch.setattr(mixing, "BUCKET_ROWS", bucket_rows)
