@@ -46,6 +46,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of the documents that the stages keep, with their places in sequences.
+
+    * Null and empty texts go in the first stage; null ids, sources and languages pass all stages.
+    * Repeated rows count as near copies: one of them stays, until the mix repeats it.
+    * Further columns of ``documents`` pass all stages but the last; names that begin
+      with two underscores are taken. An empty table gives no rows.
+    """
     base = f"{checkpoint_dir(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex[:12]}"
     docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
     for name, stage in STAGES:
