@@ -1,10 +1,10 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
 Words become symbols (insult, threat verb, intent, target, object, article, negation,
-report, end of clause). The words of the symbols are given; further insults are learned as
+waste, chore, wish, fate, hell, report, end of clause). The words of the symbols are given; further insults are learned as
 beginnings of words, and words of intent and objects from those around threat verbs, from
-one half of a bounded sample of the labelled rows. Six small transducers rewrite and weigh
-the symbols: threats become hits after a word of intent or before an object, insults are
+one half of a bounded sample of the labelled rows. Seven small transducers rewrite and weigh
+the symbols: idioms become insults, hits or plain words, threats become hits after a word of intent or before an object, insults are
 hits, a target near a hit adds weight, negation and reported speech take weight away. Their composition is one
 table, run over the clauses that can match. A text's features are the weights of
 its matched clauses; their calibration is learned from the sample's other half.
@@ -27,16 +27,21 @@ from tessera.llm.features import fit_logistic, sigmoid
 
 #: Words of each symbol. Fixed values.
 LEXICON = {
-    "insult": "idiot idiots moron morons imbecile stupid dumb fool loser losers clown clowns trash garbage scum scumbag vermin filth worthless pathetic disgusting ugly bastard jerk creep retard pig coward "
-    "crétin imbécile débile ordure salaud abruti stupide dégoûtant pathétique "
+    "insult": "idiot idiots moron morons imbecile stupid dumb fool loser losers clown clowns scum scumbag vermin filth worthless pathetic disgusting ugly bastard jerk creep retard pig coward fuck fucker shit shithead bitch asshole cunt whore slut "
+    "crétin imbécile débile salaud abruti stupide dégoûtant pathétique "
     "dummkopf trottel abschaum arschloch schwachkopf widerlich erbärmlich wertlos "
-    "idiota imbécil estúpido basura escoria asqueroso patético inútil",
+    "idiota imbécil estúpido escoria asqueroso patético inútil",
     "threat": "kill hurt destroy murder stab shoot beat burn hang attack tuer frapper détruire töten umbringen schlagen matar golpear destruir",
     "intent": "will shall gonna must should ll d would going want wants wanna veux vais werde werden voy quiero",
     "target": "your they he she these those tu du ihr",
     "object": "you u them him her yourself yourselves himself herself themselves vous toi dich euch sie usted ustedes",
     "article": "the a an this that",
     "negation": "not no never isn't aren't wasn't don't dont cannot nobody pas jamais nicht kein keine nie nunca",
+    "waste": "trash garbage rubbish ordure basura",
+    "chore": "take takes took taken taking throw threw thrown empty emptied collect collects collected",
+    "wish": "hope hopes wish wishes go",
+    "fate": "die dead suffer",
+    "hell": "hell",
     "report": "said says say told called wrote claimed quoted reported dit sagte dijo",
 }
 SYMBOLS = ("word", *LEXICON, "hit", "end")
@@ -102,6 +107,26 @@ def _aimed(q: int, s: str):
     return (2 if s == "article" else 0), s, 0.0
 
 
+def _idiom(q: int, s: str):
+    """Waste is an insult, but not within three words after a chore; an ill fate wished upon someone, or hell, is a hit.
+
+    States 1 to 3 count the words down after a wish, 4 to 6 after one that has met
+    a target or an object, 7 to 9 after a chore.
+    """
+    if s == "wish":
+        return 3, "word", 0.0
+    if s == "chore":
+        return 9, "word", 0.0
+    if s == "waste":
+        return 0, ("word" if q > 6 else "insult"), 0.0
+    if s == "hell" and 0 < q < 7 or s == "fate" and 3 < q < 7:
+        return 0, "hit", 1.5
+    if s in ("target", "object"):
+        return (q + 2 if 1 < q < 4 else max(4, q - 1) if 3 < q < 7 else 0), s, 0.0
+    left = 0 if s == "end" or q in (1, 4, 7) else max(0, q - 1)
+    return left, ("word" if s in ("fate", "hell") else s), 0.0
+
+
 def _insult(q: int, s: str):
     return 0, ("hit" if s == "insult" else s), (1.0 if s == "insult" else 0.0)
 
@@ -129,7 +154,7 @@ def _report(q: int, s: str):
     return q, s, (-0.6 if s == "hit" and q else 0.0)
 
 
-GRAMMAR = reduce(compose, [machine(4, _threat), machine(3, _aimed), machine(1, _insult), machine(5, _target), machine(3, _negation), machine(2, _report)])
+GRAMMAR = reduce(compose, [machine(10, _idiom), machine(4, _threat), machine(3, _aimed), machine(1, _insult), machine(5, _target), machine(3, _negation), machine(2, _report)])
 
 
 #: Lengths of learned beginnings; a whole word is written with a blank behind it.
@@ -172,7 +197,7 @@ def features(text: str | None, learned: frozenset[str] = frozenset()) -> tuple[f
     """(log of the summed weight, largest weight, log of the matched clauses)."""
     low = _lower(text)
     symbols = _symbols(set(_WORD.findall(low)), learned)
-    hits = {w for w, s in symbols.items() if s in ("insult", "threat")}
+    hits = {w for w, s in symbols.items() if s in ("insult", "threat", "waste", "fate", "hell")}
     if not hits:
         return 0.0, 0.0, 0.0
     total, top, clauses = 0.0, 0.0, 0

@@ -136,6 +136,16 @@ def test_toxic_threats(text):
     assert toxicity.features(text)[1] >= 1.5
 
 
+@pytest.mark.parametrize("text", ["I hope you die", "I wish they were dead", "go to hell", "fuck you", "you are trash", "you piece of shit"])
+def test_toxic_idioms(text):
+    assert toxicity.features(text)[1] >= 1.0
+
+
+@pytest.mark.parametrize("text", ["they took out the trash", "we empty the garbage", "the battery may die", "hell of a ride", "hope is the last to die", "we go there", "they burn wood", "rot und hell", "he suffers", ""])
+def test_plain_idioms(text):
+    assert toxicity.features(text) == (0, 0, 0)
+
+
 def test_toxic_threats_negated_reported_and_nouns():
     plain = toxicity.features("I want to kill you")[1]
     for text in ("I don't want to kill you", "I'm not going to kill you", "I won't kill you", "They can't ever hurt you"):
