@@ -6,6 +6,7 @@ import os
 import tempfile
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -60,6 +61,35 @@ def test_flat_tensor_reference_layout(spark):
     assert [r.particle_type for r in types] == [0, 1, 2, 10, 11]
 
 
+def test_many_trajectories_make_few_files_and_tasks(spark):
+    """2,000 trajectories of 3 chunks each: files and input partitions do not grow with them."""
+    root = tempfile.mkdtemp(prefix="flat-")
+    rows = spark.range(2000 * 70).select(
+        F.expr("cast(id % 2000 as int)").alias("traj_id"), F.expr("cast(id div 2000 as int)").alias("frame"), F.lit(0).alias("particle"),
+        F.expr("array(cast(id as double), id * 0.5D)").alias("pos"),
+    )
+    types = rows.select("traj_id", "particle", (F.col("traj_id") % 9).cast("long").alias("particle_type")).distinct()
+    FT.write_trajectories(rows, root, "train", frames_per_chunk=32, particle_type=types)
+    assert len(os.listdir(os.path.join(root, "train_position"))) < 100
+    back = FT.read_trajectories(spark, root, "train")
+    assert FT.read_positions(spark, root, "train").rdd.getNumPartitions() < 200
+    wrong = (F.col("particle_type") != F.col("traj_id") % 9) | (F.col("pos")[0] != F.col("frame") * 2000 + F.col("traj_id")) | (F.col("pos")[1] * 2 != F.col("pos")[0])
+    assert back.count() == back.select("traj_id", "frame").distinct().count() == 140_000
+    assert back.where(wrong | F.col("particle_type").isNull()).count() == 0
+
+
+def test_chunks_of_several_particles_and_frames_apart(spark):
+    root = tempfile.mkdtemp(prefix="flat-")
+    rows = [(t, f, p, [float(t), float(f), p * 0.5]) for t in (3, 1) for f in range(25) for p in range(4)]
+    df = spark.createDataFrame(rows, "traj_id int, frame int, particle int, pos array<double>").repartition(5)
+    FT.write_trajectories(df, root, "test", frames_per_chunk=10)
+    back = FT.read_positions(spark, root, "test", frames_per_partition=4)
+    assert sorted(map(tuple, back.collect())) == sorted(rows)
+    gap = df.where("frame <> 4 OR particle <> 2")
+    with pytest.raises(Exception, match="not dense"):
+        FT.write_trajectories(gap, tempfile.mkdtemp(prefix="flat-"), "test", frames_per_chunk=10)
+
+
 def test_behavioral_checks(spark):
     rows = [
         ("Word embeddings help a parser read sentences.", "natural-language-processing"),
