@@ -18,6 +18,10 @@ from tessera.sources import tensor_store as TS
 from tessera.sources.csv_split import read_csv_split
 
 
+#: Bytes of text that one task writes to one CSV file: several read blocks, whatever the table.
+CSV_FILE_BYTES = 512 << 20
+
+
 @register("csv_roundtrip", with_views("SELECT id, tag, title, description FROM v_text", "v_text"))
 def q_csv_roundtrip(spark, sf):
     """SC1: labelled table written as header CSV (multi-line quoted text) and
@@ -29,9 +33,12 @@ def q_csv_roundtrip(spark, sf):
 
 @register("csv_split_roundtrip", with_views("SELECT id, tag, title, description FROM v_text", "v_text"))
 def q_csv_split_roundtrip(spark, sf):
-    """SC1: the same table as one large CSV file, read in byte blocks by many tasks."""
+    """SC1: the same table as one large CSV file, or several of about ``CSV_FILE_BYTES`` where it is larger, read in
+    byte blocks by many tasks."""
     path = scratch_path(spark, "csv-one")
-    FS.write_csv(v_text(spark, sf).drop("y_pred").coalesce(1), path)
+    rows = v_text(spark, sf).drop("y_pred")
+    size = rows.agg(F.sum(F.octet_length("title") + F.octet_length("description"))).first()[0] or 0
+    FS.write_csv(rows.coalesce(max(1, -(-size // CSV_FILE_BYTES))), path)
     return read_csv_split(spark, path).select("id", "tag", "title", "description")
 
 
