@@ -42,17 +42,17 @@ class NaiveBayes:
     def scores(self, df: DataFrame, key: str, text: str, keep: list[str] | None = None) -> DataFrame:
         """``(key, input_text, keep..., score)``: log joint probabilities in label order. ``key`` tells documents
         apart; a text without a known word has the priors."""
-        found = _words(df, [key], text).join(self.words, "word")
-        known = found.groupBy(key).agg(F.sum("n").alias("__known"))
-        added = found.select(key, "n", F.explode("entries").alias("e")).groupBy(key, F.col("e.label").alias("l"))
-        added = added.agg(F.sum(F.col("n") * F.col("e.weight")).alias("w"))
-        sums = added.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("l", "w"))).alias("__sums"))
-        both = df.select(key, F.col(text).alias("input_text"), *(keep or [])).join(known, key, "left").join(sums, key, "left")
+        found = _words(df, [key], text).join(self.words, "word").withColumn("__w", F.map_from_entries("entries"))
+        sums = found.groupBy(key).agg(
+            F.sum("n").alias("__known"),
+            *[F.sum(F.col("n") * F.col("__w")[label]).alias(f"__sum{i}") for i, (label, _, _) in enumerate(self.classes)],
+        )
+        both = df.select(key, F.col(text).alias("input_text"), *(keep or [])).join(sums, key, "left")
         raw = [
-            F.lit(prior) + F.coalesce(F.col("__known"), F.lit(0)) * F.lit(missing) + F.coalesce(F.col("__sums")[label], F.lit(0.0))
-            for label, prior, missing in self.classes
+            F.lit(prior) + F.coalesce(F.col("__known"), F.lit(0)) * F.lit(missing) + F.coalesce(F.col(f"__sum{i}"), F.lit(0.0))
+            for i, (_, prior, missing) in enumerate(self.classes)
         ]
-        return both.withColumn("score", F.array(*raw)).drop("__known", "__sums")
+        return both.withColumn("score", F.array(*raw)).drop("__known", *[f"__sum{i}" for i in range(len(self.classes))])
 
     def probabilities(self, df: DataFrame, key: str, text: str) -> DataFrame:
         """``(key, input_text, probability)``, probabilities in label order."""

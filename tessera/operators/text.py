@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tessera.functions.arrays import pad_mask, pad_to
 from tessera.functions.text import STOPWORDS, clean_text, text_feature
 from tessera.operators.core import bucketed_rank, checked_broadcast, fixed_batches
+from tessera.session import materialize
 
 
 def with_text(df: DataFrame, title: str = "title", description: str = "description") -> DataFrame:
@@ -66,12 +67,15 @@ def preprocess(
 
 
 def preprocess_tokens(
-    df: DataFrame, classes: DataFrame, vocab: DataFrame, *, key: str = "id", batch_size: int = 64, stopwords=STOPWORDS
+    df: DataFrame, classes: DataFrame, vocab: DataFrame | None = None, *, key: str = "id", batch_size: int = 64, stopwords=STOPWORDS
 ) -> DataFrame:
     """UD5 in one call: ``(key, batch, ids, masks, targets)``, ids padded to the
-    longest text of their batch, targets the class index (NULL if unseen)."""
+    longest text of their batch, targets the class index (NULL if unseen).
+    Without ``vocab`` the vocabulary is that of the texts themselves."""
     t = preprocess(df, classes, stopwords=stopwords, keep=[key])
-    encoded = encode_tokens(t.select(key, "text", F.col("class_index").alias("targets")), vocab, key)
+    cleaned = materialize(t.select(key, "text", F.col("class_index").alias("targets")))  # read twice to be encoded
+    vocab = build_vocabulary(cleaned) if vocab is None else vocab
+    encoded = materialize(encode_tokens(cleaned, vocab, key).drop("text"))  # counted, ranked and padded
     padded = pad_batch(fixed_batches(encoded, key, batch_size), "batch", "ids")
     return padded.select(key, "batch", "ids", "masks", "targets")
 
@@ -117,10 +121,12 @@ def encode_tokens(df: DataFrame, vocab: DataFrame, key: str, text: str = "text")
 
 def pad_batch(df: DataFrame, batch: str = "batch", ids: str = "ids") -> DataFrame:
     """AR5 + AR6 + AG22: pad each row to the longest row of its batch and add
-    the mask. The batch maximum is a per-batch aggregate joined back."""
-    longest = df.groupBy(batch).agg(F.max(F.size(ids)).alias("max_len"))
+    the mask. The batch maximum is taken over the rows of the batch, which the
+    one shuffle brings together: the rows are not made a second time for it."""
+    longest = F.max(F.size(ids)).over(Window.partitionBy(batch))
     return (
-        df.join(longest, on=batch, how="inner")
+        df.where(F.col(batch).isNotNull())
+        .withColumn("max_len", longest)
         .withColumn("masks", pad_mask(F.col(ids), F.col("max_len")))
         .withColumn(ids, pad_to(F.col(ids), F.col("max_len")))
     )

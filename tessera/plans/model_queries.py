@@ -13,20 +13,26 @@ from tessera.plans.sql_snippets import sql_clean_text
 from tessera.plans.text_eval import SEED, TEST_SIZE, default_slices
 from tessera.plans.text_queries import _PRF_CTES, _SPLIT_CTE, _slices_sql
 from tessera.plans.views import v_mesh, v_text, with_views
+from tessera.session import materialize
 
 THRESHOLD = 0.5
 FALLBACK = "en"
 
 
-def _splits(spark, sf):
+def _splits(spark, sf, raw: bool = False):
+    """Train and test rows ``(id, tag, text)``, with ``raw`` also the test rows' ``raw_text``, cleaned and split once:
+    each pass of a fit and each use of a split reads the written rows."""
     vt = v_text(spark, sf, spread=True).withColumn("raw_text", text_feature(F.col("title"), F.col("description")))
-    vt = vt.withColumn("text", clean_text(F.col("raw_text")))
+    vt = vt.select("id", "tag", clean_text(F.col("raw_text")).alias("text"), *(["raw_text"] if raw else []))
     s = stratified_split(vt, key="id", stratify="tag", test_size=TEST_SIZE, seed=SEED)
-    return filter_split(s, "train"), filter_split(s, "test")
+    if raw:
+        s = s.withColumn("raw_text", F.when(F.col("_split") == "test", F.col("raw_text")))
+    s = materialize(s)
+    return filter_split(s, "train").select("id", "tag", "text"), filter_split(s, "test")
 
 
 def _fit(spark, sf, **kw):
-    train, test = _splits(spark, sf)
+    train, test = _splits(spark, sf, kw.pop("raw", False))
     model, history = MD.fit_text_classifier(train, max_iter=kw.pop("max_iter", 15), **kw)
     return model, history, train, test
 
@@ -68,8 +74,8 @@ predicted AS (
   FROM cleaned d JOIN best b USING (id))"""
 
 
-def _bayes(spark, sf):
-    train, test = _splits(spark, sf)
+def _bayes(spark, sf, raw: bool = False):
+    train, test = _splits(spark, sf, raw)
     return fit_naive_bayes(train), test
 
 
@@ -102,7 +108,7 @@ SELECT 'slices', slice, round(avg(hit), 9), round(avg(hit), 9), round(avg(hit),
 )
 def q_text_model_eval(spark, sf):
     """ML3: evaluate naive Bayes on the test split (AG8 rows)."""
-    model, test = _bayes(spark, sf)
+    model, test = _bayes(spark, sf, raw=True)
     rows = MD.evaluate_text_model(model, test, default_slices(text="raw_text"), threshold=THRESHOLD, fallback=FALLBACK)
     return rows.select("scope", "key", *[F.round(c, 9).alias(c) for c in ("precision", "recall", "f1")], "num_samples")
 
@@ -128,7 +134,7 @@ def q_text_model_loss(spark, sf):
 @register("text_model_logistic_eval")
 def q_text_model_logistic_eval(spark, sf):
     """ML1 + ML3 with the MLlib pipeline: logistic regression over TF-IDF."""
-    model, _, _, test = _fit(spark, sf)
+    model, _, _, test = _fit(spark, sf, raw=True)
     slices = default_slices(text="raw_text")
     return MD.evaluate_text_model(model, test, slices, threshold=THRESHOLD, fallback=FALLBACK)
 

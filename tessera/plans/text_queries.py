@@ -696,8 +696,8 @@ def q_text_encode_pad(spark, sf):
     from tessera.operators.core import fixed_batches
     from tessera.operators.text import build_vocabulary, encode_tokens, pad_batch
 
-    cl = cleaned_text(spark, sf)
-    enc = encode_tokens(cl, build_vocabulary(cl), "id")
+    cl = materialize(cleaned_text(spark, sf))  # read by the vocabulary and by the encoder
+    enc = materialize(encode_tokens(cl, build_vocabulary(cl), "id").drop("text"))  # counted, ranked and padded
     b = fixed_batches(enc, "id", 64)
     return pad_batch(b, "batch", "ids").select("id", "batch", F.col("max_len").cast("int").alias("max_len"), "ids", "masks")
 
@@ -744,11 +744,11 @@ FROM m JOIN v_text v ON v.id = m.id LEFT JOIN classes c ON v.tag = c.tag""",
 )
 def q_text_preprocess_tokens(spark, sf):
     """UD5: ids, masks and targets of every text in one call."""
-    from tessera.operators.text import build_vocabulary, fit_class_index, preprocess_tokens
+    from tessera.operators.text import fit_class_index, preprocess_tokens
     from tessera.plans.views import v_text
 
     vt = v_text(spark, sf, spread=True).drop("y_pred")
-    return preprocess_tokens(vt, fit_class_index(vt), build_vocabulary(cleaned_text(spark, sf)))
+    return preprocess_tokens(vt, fit_class_index(vt))
 
 
 # ---------------------------------------------------------------------------
